@@ -63,8 +63,9 @@ def emoji_demojize(c: Column | str, names: Mapping[str, str] | None = None) -> C
     Only rows that hold an emoji are cut into pieces, and only emoji pieces are looked up.
     """
     table = names or emoji_names()
-    spaced = {k: (f" {v} " if v else "") for k, v in table.items()}
-    mapping = F.create_map(*[F.lit(x) for kv in spaced.items() for x in kv])
+    # One foldable string: the optimizer turns it into a map literal once per query.
+    listed = ";".join(f"{k}= {v} " if v else f"{k}=" for k, v in table.items())
+    mapping = F.str_to_map(F.lit(listed), F.lit(";"), F.lit("="))
     text = null_text(c)
 
     def named(piece: Column) -> Column:

@@ -118,7 +118,7 @@ def term_counts(terms: Column | str) -> Column:
 
     Counting inside the row keeps term frequencies free of any (document, term) shuffle.
     """
-    return _run_lengths(F.array_sort(_c(terms)))
+    return _run_lengths(F.sort_array(_c(terms)))
 
 
 def _run_lengths(sorted_terms: Column) -> Column:
