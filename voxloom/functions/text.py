@@ -64,23 +64,32 @@ def keyword_match(c: Column | str, keywords: list[str]) -> Column:
     return F.lower(null_text(c)).rlike(aspect_regex(keywords))
 
 
+def present(cases: list[tuple[Column, Column]], item_type: str) -> Column:
+    """Array of the values whose condition holds, in order.
+
+    A concatenation of small arrays: unlike a higher-order filter it stays in generated
+    code, where parts shared by the conditions (the lower-cased text) are evaluated once.
+    """
+    none = F.array().cast(f"array<{item_type}>")
+    if not cases:
+        return none
+    return F.concat(none, *[F.when(cond, F.array(value)).otherwise(none) for cond, value in cases])
+
+
 def extract_aspects(c: Column | str, taxonomy: Taxonomy) -> Column:
     """Matched aspects in taxonomy order; an empty array for null text."""
-    if not taxonomy:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[
-        F.when(keyword_match(c, kws), F.lit(aspect)) for aspect, kws in taxonomy.items()
-    ]))
+    return present([(keyword_match(c, kws), F.lit(aspect)) for aspect, kws in taxonomy.items()],
+                   "string")
 
 
 def matched_keywords(c: Column | str, taxonomy: Taxonomy) -> Column:
     """Every (aspect, keyword) pair found, row-local: no join against the keyword list."""
     low = F.lower(null_text(c))
-    return F.array_compact(F.array(*[
-        F.when(low.rlike(keyword_regex(kw)),
-               F.struct(F.lit(aspect).alias("aspect"), F.lit(kw).alias("keyword")))
-        for aspect, kws in taxonomy.items() for kw in kws
-    ]))
+    return present(
+        [(low.rlike(keyword_regex(kw)),
+          F.struct(F.lit(aspect).alias("aspect"), F.lit(kw).alias("keyword")))
+         for aspect, kws in taxonomy.items() for kw in kws],
+        "struct<aspect:string,keyword:string>")
 
 
 def split_sentences(c: Column | str) -> Column:
@@ -101,14 +110,16 @@ def tokenize(c: Column | str) -> Column:
 
 
 def ngrams(tokens: Column | str, n_max: int = 2) -> Column:
-    """All word n-grams up to ``n_max`` of a token array, built row by row."""
+    """All word n-grams up to ``n_max`` of a token array, built row by row.
+
+    Pass a token column: a token expression would be evaluated at each of its uses.
+    """
     t = _c(tokens)
     out, grams = t, t
     for n in range(2, n_max + 1):
-        shifted = F.slice(t, n, F.greatest(F.size(t), F.lit(0)))
-        grams = F.filter(
-            F.zip_with(grams, shifted, lambda a, b: F.concat(a, F.lit(" "), b)),
-            lambda g: g.isNotNull())
+        count = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        grams = F.zip_with(F.slice(grams, 1, count), F.slice(t, n, count),
+                           lambda a, b: F.concat(a, F.lit(" "), b))
         out = F.concat(out, grams)
     return out
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from voxloom.functions.labels import (NO_ASPECT_TEXT, NO_VALUE, argmax_label, language_name,
                                       score_map)
 from voxloom.functions.text import (aspect_sentences, display_aspect, keyword_match, null_text,
-                                    percent, strip_space)
+                                    percent, present, strip_space)
 from voxloom.operators.models import predict_scores
 from voxloom.schema import LABELS, OVERALL
 from voxloom.taxonomy import Taxonomy
@@ -29,9 +29,9 @@ def aspect_snippets(df: DataFrame, text: str, taxonomy: Taxonomy) -> DataFrame:
     def part(aspect: str, snippet: Column) -> Column:
         return F.struct(F.lit(aspect).alias("aspect"), snippet.alias("_snippet"))
 
-    found = F.array_compact(F.array(*[
-        F.when(keyword_match(text, kws), part(aspect, aspect_sentences(text, kws)))
-        for aspect, kws in taxonomy.items()]))
+    found = present(
+        [(keyword_match(text, kws), part(aspect, aspect_sentences(text, kws)))
+         for aspect, kws in taxonomy.items()], "struct<aspect:string,_snippet:string>")
     none = F.array(part(NO_ASPECT_TEXT, F.lit("")))
     parts = F.concat(F.array(part(OVERALL, F.col(text))),
                      F.when(F.size("_found") == 0, none).otherwise(F.col("_found")))

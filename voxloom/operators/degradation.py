@@ -12,6 +12,7 @@ from voxloom.functions.labels import cell_note
 from voxloom.functions.stats import wilson_ci
 from voxloom.functions.text import extract_aspects
 from voxloom.operators.metrics import scores
+from voxloom.operators.shaping import fan_out
 from voxloom.schema import MIN_SUPPORT, OVERALL
 from voxloom.taxonomy import Taxonomy
 
@@ -22,7 +23,7 @@ def tag_aspects(df: DataFrame, taxonomy: Taxonomy, text: str = "cleaned_text") -
 
 
 def aspect_distribution(df: DataFrame, aspects: str = "aspects") -> DataFrame:
-    return (df.select(F.explode(aspects).alias("aspect"))
+    return (fan_out(df, aspects, "aspect", keep=[])
             .groupBy("aspect").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), "aspect"))
 
@@ -43,7 +44,7 @@ def aspect_degradation(pairs: DataFrame, taxonomy: Taxonomy, min_support: int =
     names = [OVERALL, *taxonomy]
     sliced = pairs.select(
         "model", "tier", "label_id", "pred_id",
-        F.explode(F.concat(F.array(F.lit(OVERALL)), "aspects")).alias("aspect"))
+        F.explode_outer(F.concat(F.array(F.lit(OVERALL)), "aspects")).alias("aspect"))
     per_slice = scores(sliced, ["model", "tier", "aspect"])
     folded = per_slice.groupBy("model", "tier").agg(F.map_from_entries(F.collect_list(F.struct(
         "aspect", F.struct("n", "correct", "macro_f1")))).alias("found"))

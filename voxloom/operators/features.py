@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.text import TOKEN_RE, ngrams, term_counts, tokenize
@@ -16,19 +16,27 @@ MIN_DF = 2
 
 def document_terms(df: DataFrame, id_col: str, text: str, n_max: int = 2) -> DataFrame:
     """(id, term, tf). Counted inside each row: no shuffle on (document, term)."""
-    return df.select(id_col, F.inline(term_counts(ngrams(tokenize(text), n_max))))
+    tokens = df.select(id_col, tokenize(text).alias("_tokens"))
+    return tokens.select(id_col, F.inline(term_counts(ngrams("_tokens", n_max))))
 
 
 def vocabulary(terms: DataFrame, min_df: int = MIN_DF, max_features: int = MAX_FEATURES,
                ) -> DataFrame:
     """Terms in at least ``min_df`` documents, the most frequent ones first.
 
-    One shuffle by term with map-side sums, then a top-n, so no task holds more than
-    ``max_features`` candidates of a partition.
+    One shuffle by term with map-side sums. A histogram over powers of two then gives a
+    frequency floor that at least ``max_features`` terms reach, so the final top-n compares
+    little more than the terms it returns, not the top terms of every partition.
     """
-    return (terms.groupBy("term")
-            .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
-            .filter(F.col("df") >= min_df)
+    counted = (terms.groupBy("term")
+               .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
+               .filter(F.col("df") >= min_df))
+    level = F.floor(F.log2("tf"))
+    higher = Window.orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)
+    floor = (counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("above", F.coalesce(F.sum("n").over(higher), F.lit(0)))
+             .filter(F.col("above") < max_features).agg(F.min("level")).scalar())
+    return (counted.filter(level >= floor)
             .orderBy(F.desc("tf"), "term").limit(max_features))
 
 
@@ -59,21 +67,22 @@ def tfidf(df: DataFrame, id_col: str, text: str, n_max: int = 2, min_df: int = M
 
 def _terms_sql(text: str) -> str:
     tokens = f"regexp_extract_all(lower(coalesce(`{text}`, '')), r'{TOKEN_RE}', 0)"
-    pairs = ("filter(zip_with(_tokens, slice(_tokens, 2, size(_tokens)), "
-             "(a, b) -> concat(a, ' ', b)), g -> g is not null)")
+    n_pairs = "greatest(size(_tokens) - 1, 0)"
+    pairs = (f"zip_with(slice(_tokens, 1, {n_pairs}), slice(_tokens, 2, {n_pairs}), "
+             "(a, b) -> concat(a, ' ', b))")
     return (f"SELECT * EXCEPT (_tokens), concat(_tokens, {pairs}) AS terms "
             f"FROM (SELECT *, {tokens} AS _tokens FROM __THIS__)")
 
 
-def tfidf_stages(train: DataFrame, id_col: str, text: str, min_df: int = MIN_DF,
-                 max_features: int = MAX_FEATURES) -> list[Transformer]:
+def tfidf_stages(train: DataFrame, id_col: str, text: str, n_docs: int | None = None,
+                 min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> list[Transformer]:
     """Fitted ML stages text -> unit-length TF-IDF vector ``features``.
 
     The vocabulary (at most ``max_features`` rows) is all that comes to the driver; the
     stages then work row by row on the executors.
     """
     terms = document_terms(train, id_col, text)
-    n_docs = train.count()
+    n_docs = train.count() if n_docs is None else n_docs
     rows = (vocabulary(terms, min_df, max_features)
             .select("term", smooth_idf(F.col("df"), n_docs).alias("idf"))
             .limit(max_features).collect())

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.functions.text import null_text, strip_space
+from voxloom.functions.text import null_text, present, strip_space
 from voxloom.operators.dedup import keep_first
+from voxloom.operators.shaping import fan_out
 
 HOT_SHARE = 1000   # a key is hot from 1/1000 of all rows, hence at most 1000 hot keys
 SALTS = 64
@@ -83,9 +84,8 @@ def search_terms(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
     """One row per (row, contained term). Terms are literals of the expression, so the text
     never meets a term table in a join."""
     low = F.lower(null_text(text))
-    found = F.array_compact(F.array(*[
-        F.when(low.contains(t.lower()), F.lit(t)) for t in terms]))
-    return df.withColumn("term", F.explode(found))
+    found = present([(low.contains(t.lower()), F.lit(t)) for t in terms], "string")
+    return fan_out(df.withColumn("_terms", found), "_terms", "term")
 
 
 def disjoint_check(train: DataFrame, test: DataFrame, key: str) -> DataFrame:

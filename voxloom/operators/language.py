@@ -22,10 +22,13 @@ def _words(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(null_text(text)), F.lit(WORD_RE), F.lit(0))
 
 
-def _grams(word: Column | str) -> Column:
-    padded = F.concat(F.lit("_"), _c(word), F.lit("_"))
+def _padded(word: Column | str) -> Column:
+    return F.concat(F.lit("_"), _c(word), F.lit("_"))
+
+
+def _grams(padded: str) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(padded) - (GRAM - 1)),
-                       lambda i: F.substring(padded, i, F.lit(GRAM)))
+                       lambda i: F.substring(F.col(padded), i, F.lit(GRAM)))
 
 
 def learn_profiles(labelled: DataFrame, text: str = "cleaned_text", language: str = "language",
@@ -35,8 +38,9 @@ def learn_profiles(labelled: DataFrame, text: str = "cleaned_text", language: st
     Words are counted per language first, so grams are cut from distinct words only.
     """
     words = (labelled.select(language, F.inline(term_counts(_words(text))))
-             .groupBy(language, "term").agg(F.sum("tf").alias("tf")))
-    grams = (words.select(language, "tf", F.explode(_grams("term")).alias("gram"))
+             .groupBy(language, "term").agg(F.sum("tf").alias("tf"))
+             .withColumn("_w", _padded("term")))
+    grams = (words.select(language, "tf", F.explode(_grams("_w")).alias("gram"))
              .groupBy(language, "gram").agg(F.sum("tf").alias("c")))
     top = head_per_group(grams, [language], [F.desc("c"), "gram"], size)
     totals = top.groupBy(language).agg(F.sum("c").alias("total"))
@@ -71,7 +75,8 @@ def identify_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame
         .select("gram", *[F.coalesce(f"w{i}", floor[f"m{i}"]).alias(f"w{i}") for i in every]))
     # Outer fan-out keeps documents without a word, so no second join is needed.
     grams = (df.select(id_col, F.inline_outer(term_counts(_words(text))))
-             .select(id_col, "tf", F.explode_outer(_grams("term")).alias("gram")))
+             .select(id_col, "tf", _padded("term").alias("_w"))
+             .select(id_col, "tf", F.explode_outer(_grams("_w")).alias("gram")))
     summed = grams.join(table, "gram", "left").groupBy(id_col).agg(*[
         F.sum(F.col("tf") * F.col(f"w{i}")).alias(f"s{i}") for i in every])
     best = F.array_max(F.array(*[

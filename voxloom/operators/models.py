@@ -37,16 +37,25 @@ def _classifier(kind: str, n_rows: int, max_iter: int):
 def fit_classifier(train: DataFrame, kind: str = "logreg", id_col: str = "id",
                    text: str = "cleaned_text", max_iter: int = MAX_ITER,
                    min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> PipelineModel:
-    """TF-IDF and a linear classifier as one fitted, savable PipelineModel."""
+    """TF-IDF and a linear classifier as one fitted, savable PipelineModel.
+
+    The training text is read three times (size, vocabulary, vectors) and the vectors once
+    per solver step, so both are kept on the executors, spilling to their disks.
+    """
     require_columns(train, [id_col, text, "label_id"])
-    train = train.select(id_col, text, F.col("label_id").cast("double").alias("label_id"))
-    stages = tfidf_stages(train, id_col, text, min_df, max_features)
-    featured = featurize(stages, train).select("features", "label_id").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    rows = train.select(id_col, text, F.col("label_id").cast("double").alias("label_id"))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = _classifier(kind, featured.count(), max_iter).fit(featured)
+        n_rows = rows.count()
+        stages = tfidf_stages(rows, id_col, text, n_rows, min_df, max_features)
+        featured = featurize(stages, rows).select("features", "label_id").persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = _classifier(kind, n_rows, max_iter).fit(featured)
+        finally:
+            featured.unpersist()
     finally:
-        featured.unpersist()
+        rows.unpersist()
     return PipelineModel([*stages, model])
 
 

@@ -17,7 +17,8 @@ from voxloom.functions.text import _c
 from voxloom.schema import SEED
 from voxloom.session import checkpointed
 
-HEX_DIGITS = 4  # 16 ** 4 buckets per group
+HEX_DIGITS = 4      # 16 ** 4 buckets per group
+MAX_GROUPS = 10_000  # quotas are per class or source; more groups than this is an error
 
 
 def seeded_hash(id_col: Column | str, seed: int = SEED) -> Column:
@@ -66,8 +67,11 @@ def cutoffs(df: DataFrame, id_col: str, groups: Sequence[str], quota: Column,
             .filter((F.col("_before") < F.col("_quota"))
                     & (F.col("_before") + F.col("_in_bucket") >= F.col("_quota")))
             .select(*groups, "_bucket", (F.col("_quota") - F.col("_before")).alias("_nth")))
-    # At most one row per group.
-    edge = keyed.join(F.broadcast(last), [*groups, "_bucket"])
+    # One row per group, and the number of groups is checked before it is broadcast.
+    n_groups = last.agg(F.count(F.lit(1))).scalar()
+    few = last.filter(F.when(n_groups <= MAX_GROUPS, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_GROUPS} groups")).cast("boolean")))
+    edge = keyed.join(F.broadcast(few), [*groups, "_bucket"])
     within = Window.partitionBy(*groups, "_bucket").orderBy("_hash", id_col)
     return (edge.withColumn("_rn", F.row_number().over(within))
             .filter(F.col("_rn") == F.col("_nth"))
@@ -81,7 +85,7 @@ def mark_quota(df: DataFrame, id_col: str, groups: Sequence[str], quota: Column,
     keyed = df.withColumn("_hash", seeded_hash(id_col, seed))
     inside = (F.col("_hash") < F.col("_cut_hash")) | (
         (F.col("_hash") == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id")))
-    # One row per group: the label set or the source list, both fixed and small.
+    # One row per group; ``cutoffs`` fails beyond MAX_GROUPS of them.
     return (keyed.join(F.broadcast(cut), list(groups), "left")
             .withColumn(name, F.coalesce(inside, F.lit(False)))
             .select(*df.columns, name))

@@ -20,6 +20,20 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(packed)))
 
 
+def fan_out(df: DataFrame, array: str, *names: str, keep: list[str] | None = None,
+            position: bool = False) -> DataFrame:
+    """One row per array item; rows with an empty or null array disappear.
+
+    A plain ``explode`` of a computed array makes the optimizer filter on its size below
+    the projection, which evaluates the array twice. The outer form is not rewritten; the
+    filter on the item then works on the finished value.
+    """
+    kept = [c for c in df.columns if c != array] if keep is None else keep
+    explode = F.posexplode_outer if position else F.explode_outer
+    out = df.select(*kept, explode(array).alias(*names))
+    return out.filter(F.col(names[-1]).isNotNull())
+
+
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """Union all; columns a frame lacks become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

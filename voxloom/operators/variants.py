@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +22,17 @@ def ablation(train: DataFrame, tiers: DataFrame, modes: Sequence[str],
 
     The loop runs over the few modes; training and scoring are Spark jobs over all rows.
     """
+    base = train.select(id_col, text, "label_id").persist(StorageLevel.MEMORY_AND_DISK)
     scored = []
     for mode in modes:
         def varied(df: DataFrame, mode: str = mode) -> DataFrame:
             return computed_once(df, **{text: variant(text, mode)})
 
-        model = fit_classifier(varied(train.select(id_col, text, "label_id")),
-                               id_col=id_col, text=text, **fit)
+        model = fit_classifier(varied(base), id_col=id_col, text=text, **fit)
         kept = ["tier", "label_id"]
         pairs = predict(model, varied(tiers.select(*kept, text)), mode, kept)
         scored.append(pairs.withColumnRenamed("model", "mode"))
+    base.unpersist()
     return scores(union_by_name(scored), ["mode", "tier"]).select(
         "mode", "tier", "accuracy", "macro_f1")
 

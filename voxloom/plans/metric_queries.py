@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voxloom.functions import text as X
 from voxloom.functions.stats import wilson_ci as wilson
 from voxloom.operators import degradation, joins, labeling, metrics, variants
+from voxloom.operators.shaping import fan_out
 from voxloom.operators.models import score_metrics as score_table
 from voxloom.plans import views as V
 from voxloom.plans.registry import query
@@ -91,8 +92,8 @@ SELECT aspect, keyword, count(*) AS n FROM reviews JOIN kws
   ON regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}_])' || keyword || '($|[^\\p{{L}}\\p{{N}}_])')
 GROUP BY aspect, keyword""")
 def keyword_theta_join(spark, d):
-    return (V.reviews(spark, d).select(F.inline(X.matched_keywords("text", V.TAXONOMY)))
-            .groupBy("aspect", "keyword").agg(F.count(F.lit(1)).alias("n")))
+    found = V.reviews(spark, d).select(X.matched_keywords("text", V.TAXONOMY).alias("found"))
+    return (fan_out(found, "found", "hit").select("hit.*").groupBy("aspect", "keyword").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("truth_pred_join", f"WITH {V.PREDS_SQL} SELECT model, tier, id, label_id, pred_id FROM pairs")

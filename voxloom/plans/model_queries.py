@@ -43,10 +43,11 @@ def tfidf(spark, d):
 
 
 def rows(spark, d):
-    """Labelled, cleaned rows with their part; the in-domain tier is split, others are test."""
-    cleaned = V.cleaned(V.labelled(spark, d)).select(
-        "id", "cleaned_text", "language", "tier", "sentiment_label", "label_id")
-    return stratified_split(cleaned, "id", "sentiment_label", 0.2)
+    """Labelled, cleaned rows with their part. The split sees ids and labels only; texts are
+    cleaned after it."""
+    parted = stratified_split(V.labelled(spark, d), "id", "sentiment_label", 0.2)
+    return V.cleaned(parted).select(
+        "id", "cleaned_text", "language", "tier", "sentiment_label", "label_id", "part")
 
 
 def train_and_tiers(spark, d):

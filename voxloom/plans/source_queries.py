@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voxloom.functions.dates import aligned_dates, find_post_dates, post_date_to_ts
 from voxloom.operators import corpus, dedup, metrics, ranking
 from voxloom.operators.degradation import aspect_distribution, tag_aspects
+from voxloom.operators.shaping import fan_out
 from voxloom.operators.shaping import union_by_name as union_all
 from voxloom.plans import views as V
 from voxloom.plans.registry import query
@@ -221,8 +222,8 @@ FROM ads GROUP BY page_id""")
 def page_blocks(spark, d):
     ship_package(spark)
     blocks = html.post_blocks("html", "div", "ad", [])
-    return (V.table(spark, d, "pages").select("page_id", F.explode(blocks).alias("t"))
-            .groupBy("page_id").agg(F.count(F.lit(1)).alias("n_blocks"),
+    found = V.table(spark, d, "pages").select("page_id", blocks.alias("_blocks"))
+    return (fan_out(found, "_blocks", "t").groupBy("page_id").agg(F.count(F.lit(1)).alias("n_blocks"),
                                     F.sum(F.length("t")).cast("long").alias("n_chars")))
 
 

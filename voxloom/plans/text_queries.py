@@ -105,7 +105,7 @@ FROM (SELECT id, p, unnest(range(1, len(p) + 1)) AS i FROM parts)""")
 def split_sentences(spark, d):
     return documents(spark, d).select(
         F.col("doc_id").alias("id"),
-        F.posexplode(X.split_sentences("text")).alias("pos", "sentence"))
+        F.posexplode_outer(X.split_sentences("text")).alias("pos", "sentence"))
 
 
 @query("aspect_sentences", rf"""

@@ -14,6 +14,7 @@ from voxloom.functions.labels import label_id
 from voxloom.functions.text import clean_text, word_count
 from voxloom.operators.shaping import computed_once
 from voxloom.schema import LABELS
+from voxloom.sources.readers import spread_small
 
 # A taxonomy whose keywords occur in the invented prose of the given tables: words,
 # a phrase, accents, a suffix that is rarely a whole word, and one without support.
@@ -26,8 +27,12 @@ TIER_SHORT = ["in_domain", "cross_platform", "cross_domain"]
 LANGUAGES = ["de", "en", "es", "fr"]
 
 
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_small(df) if name in TEXT_TABLES else df
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from voxloom.functions.text import concat_title_body, id_fallback, null_text, st
 from voxloom.operators.dedup import keep_first
 from voxloom.operators.joins import search_terms
 from voxloom.operators.ranking import head_per_group
+from voxloom.operators.shaping import fan_out
 from voxloom.schema import FEED_SCHEMA, REPLIES_PER_THREAD, REVIEW_COLS, require_columns
 
 # --- fixed values: field names of the app-store source ------------------------
@@ -33,7 +34,8 @@ def feed_reviews(feed: DataFrame, source: str, brand: str = "brand", page: str =
                  body: str = "json") -> DataFrame:
     """Embedded page JSON -> one row per review, with its page and position."""
     parsed = F.from_json(F.col(body), FEED_SCHEMA)["props"]["pageProps"]["reviews"]
-    rows = feed.select(brand, page, F.posexplode(parsed).alias("pos", "rv"))
+    rows = fan_out(feed.select(brand, page, parsed.alias("_reviews")), "_reviews", "pos", "rv",
+                   position=True)
     return rows.select(
         F.col("rv.id").alias("id"), strip_space(null_text("rv.text")).alias("text"),
         F.col("rv.rating").alias("rating"), iso_to_ts("rv.dates.publishedDate").alias("date"),
@@ -59,20 +61,27 @@ def readable_pages(reviews: DataFrame, page: str = "page") -> DataFrame:
 def dedup_feed(reviews: DataFrame, page: str = "page") -> DataFrame:
     """First row per (app, id) by page and position; a missing id gets a made one.
 
-    The made id counts the rows kept before it. A brand has at most two such rows (a null
-    and an empty id), so counting is a small conditional aggregation.
+    The made id counts the rows kept before it. A brand keeps at most two such rows (one
+    null and one empty id). Rows are counted per page first, so whole pages, not rows, meet
+    by brand; only the page of the nameless row itself is compared row by row.
     """
     kept = keep_first(reviews, ["app", "id"], [page, "pos"])
-    nameless = kept.filter(F.coalesce("id", F.lit("")) == "").select(
-        "app", F.struct(page, "pos").alias("_at"), F.col("id").alias("_id"))
-    before = (kept.select("app", page, "pos").join(nameless, "app")
-              .filter(F.struct(page, "pos") < F.col("_at"))
-              .groupBy("app", "_at").agg(F.count(F.lit(1)).alias("_n")))
-    joined = (kept.withColumn("_at", F.when(F.coalesce("id", F.lit("")) == "",
-                                            F.struct(page, "pos")))
-              .join(before, ["app", "_at"], "left"))
-    made = id_fallback("id", "app", page, F.coalesce("_n", F.lit(0)))
-    return joined.withColumn("id", made).select(*reviews.columns)
+    no_id = F.coalesce("id", F.lit("")) == ""
+    nameless = kept.filter(no_id).select(
+        "app", F.col(page).alias("_page"), F.col("pos").alias("_pos"))
+    per_page = kept.groupBy("app", page).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = (per_page.join(nameless, "app").filter(F.col(page) < F.col("_page"))
+               .select("app", "_page", "_pos", "_n"))
+    same = (kept.select("app", F.col(page).alias("_page"), "pos")
+            .join(nameless, ["app", "_page"]).filter(F.col("pos") < F.col("_pos"))
+            .select("app", "_page", "_pos", F.lit(1).cast("long").alias("_n")))
+    before = earlier.unionByName(same).groupBy(
+        "app", F.col("_page").alias(page), F.col("_pos").alias("pos")).agg(
+        F.sum("_n").alias("_before"))
+    named = kept.filter(~no_id)
+    made = (kept.filter(no_id).join(before, ["app", page, "pos"], "left")
+            .withColumn("id", id_fallback("id", "app", page, F.coalesce("_before", F.lit(0)))))
+    return named.unionByName(made.select(*named.columns)).select(*reviews.columns)
 
 
 def flatten_threads(roots: DataFrame, replies: DataFrame, source: str,

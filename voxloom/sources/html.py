@@ -17,6 +17,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from voxloom.functions.dates import aligned_dates, find_post_dates, post_date_to_ts
 from voxloom.functions.text import _c, post_id, strip_space
+from voxloom.operators.shaping import fan_out
 from voxloom.schema import POSTS_PER_PAGE
 
 # --- fixed values: class names of post and quote blocks -----------------------
@@ -94,8 +95,7 @@ def posts_from_pages(pages: DataFrame, source: str, thread: str = "thread_id",
                             post_blocks(html, **select).alias("_posts"),
                             find_post_dates(page_text(html)).alias("_dates"))
                .withColumn("_dates", aligned_dates("_dates", "_posts")))
-    rows = scanned.select(thread, page, forum, "_dates",
-                          F.posexplode("_posts").alias("pos", "text"))
+    rows = fan_out(scanned, "_posts", "pos", "text", position=True)
     return (rows.filter(F.length("text") > 0).select(
         post_id(source, thread, page, "pos", page_size).alias("id"), "text",
         F.lit(None).cast("double").alias("rating"),
@@ -117,6 +117,7 @@ def link_ids(pages: DataFrame, page_id: str, html: str, href: str = r"/topic/(\d
                                    F.lit(0))
     target = F.regexp_extract("anchor", r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)""", 1)
     shown = strip_space(F.regexp_replace("anchor", r"<[^>]+>", ""))
-    return (pages.select(page_id, *keep, F.posexplode(anchors).alias("pos", "anchor"))
+    found = pages.select(page_id, *keep, anchors.alias("_anchors"))
+    return (fan_out(found, "_anchors", "pos", "anchor", position=True)
             .filter(target.rlike(href) & (shown != ""))
             .select(page_id, *keep, "pos", F.regexp_extract(target, href, 1).alias("topic_id")))

@@ -32,6 +32,16 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
     return reader.csv(path)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer files than cores out to all cores.
+
+    Text expressions are CPU-bound and one Parquet row group is one task. Tables of many
+    files are returned as they are: they need no shuffle to fill a cluster.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 64) else df
+
+
 def read_reviews(spark: SparkSession, glob: str, tolerant: bool = True) -> DataFrame:
     """Every raw review file below a glob. No file at all is an error."""
     try:
