@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from voxloom.functions.dates import aligned_dates, find_post_dates, post_date_to_ts
 from voxloom.functions.text import _c, post_id, strip_space
-from voxloom.operators.shaping import fan_out
+from voxloom.operators.shaping import computed_once, fan_out
 from voxloom.schema import POSTS_PER_PAGE
 
 # --- fixed values: class names of post and quote blocks -----------------------
@@ -118,6 +118,7 @@ def link_ids(pages: DataFrame, page_id: str, html: str, href: str = r"/topic/(\d
     target = F.regexp_extract("anchor", r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)""", 1)
     shown = strip_space(F.regexp_replace("anchor", r"<[^>]+>", ""))
     found = pages.select(page_id, *keep, anchors.alias("_anchors"))
-    return (fan_out(found, "_anchors", "pos", "anchor", position=True)
-            .filter(target.rlike(href) & (shown != ""))
-            .select(page_id, *keep, "pos", F.regexp_extract(target, href, 1).alias("topic_id")))
+    links = computed_once(fan_out(found, "_anchors", "pos", "anchor", position=True),
+                          _target=target, _shown=shown)
+    return (links.filter(F.col("_target").rlike(href) & (F.col("_shown") != ""))
+            .select(page_id, *keep, "pos", F.regexp_extract("_target", href, 1).alias("topic_id")))
