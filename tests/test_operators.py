@@ -89,6 +89,16 @@ def test_head_per_group_limits_before_the_shuffle(skewed):
     assert max(Counter(r.g for r in out.collect()).values()) == 4
 
 
+def test_head_per_group_above_the_group_limit(skewed, monkeypatch):
+    df, rows = skewed
+    want = {g: sorted(r[0] for r in rows if r[1] == g)[:50] for g in {r[1] for r in rows}}
+    monkeypatch.setattr(ranking, "GROUP_LIMIT", 10)
+    got = defaultdict(list)
+    for r in ranking.head_per_group(df, ["g"], ["id"], 50).collect():
+        got[r.g].append(r.id)
+    assert {g: sorted(v) for g, v in got.items()} == want
+
+
 def test_running_total_and_cap(spark):
     rnd = random.Random(3)
     rows = [(i, rnd.randint(0, 9)) for i in range(400)]

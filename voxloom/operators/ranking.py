@@ -18,6 +18,8 @@ from voxloom.schema import SEED
 from voxloom.session import checkpointed
 
 HEX_DIGITS = 4      # 16 ** 4 buckets per group
+GROUP_LIMIT = 1000   # Spark's default bound for a group limit below the shuffle
+PARTS = 1024
 MAX_GROUPS = 10_000  # quotas are per class or source; more groups than this is an error
 
 
@@ -123,9 +125,18 @@ def seeded_sample(df: DataFrame, id_col: str, n: int, seed: int = SEED) -> DataF
 
 def head_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str],
                    n: int) -> DataFrame:
-    """First n rows per group. The rank filter lets Spark cut every map task to n rows per
-    group before the shuffle (a group-limit below the exchange), so a hot group stays small.
+    """First n rows per group; ``order`` should be a total order.
+
+    Up to GROUP_LIMIT the rank filter lets Spark cut every map task to n rows per group
+    before the shuffle (a group limit below the exchange), so a hot group stays small. For
+    larger n the groups are ranked in salted parts first: the first n of a group are among
+    the first n of its parts.
     """
+    if n > GROUP_LIMIT:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
+        parts = Window.partitionBy(*groups, "_part").orderBy(*order)
+        df = (df.withColumn("_part", salt).withColumn("_rn", F.row_number().over(parts))
+              .filter(F.col("_rn") <= n).drop("_part", "_rn"))
     w = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
