@@ -74,15 +74,15 @@ def _terms_sql(text: str) -> str:
             f"FROM (SELECT *, {tokens} AS _tokens FROM __THIS__)")
 
 
-def tfidf_stages(train: DataFrame, id_col: str, text: str, n_docs: int | None = None,
-                 min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> list[Transformer]:
+def tfidf_stages(train: DataFrame, id_col: str, text: str, min_df: int = MIN_DF,
+                 max_features: int = MAX_FEATURES) -> list[Transformer]:
     """Fitted ML stages text -> unit-length TF-IDF vector ``features``.
 
     The vocabulary (at most ``max_features`` rows) is all that comes to the driver; the
     stages then work row by row on the executors.
     """
     terms = document_terms(train, id_col, text)
-    n_docs = train.count() if n_docs is None else n_docs
+    n_docs = train.agg(F.count(F.lit(1)).alias("n")).scalar()
     rows = (vocabulary(terms, min_df, max_features)
             .select("term", smooth_idf(F.col("df"), n_docs).alias("idf"))
             .limit(max_features).collect())

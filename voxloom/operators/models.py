@@ -13,8 +13,10 @@ from voxloom.functions.labels import argmax_id
 from voxloom.operators.features import MAX_FEATURES, MIN_DF, featurize, tfidf_stages
 from voxloom.operators.metrics import scores
 from voxloom.schema import require_columns
+from voxloom.session import checkpointed
 
 MAX_ITER = 2000
+ROWS_PER_TASK = 20_000
 MODEL_NAMES = {"logreg": "LogReg", "svm": "LinearSVM"}
 
 
@@ -39,23 +41,23 @@ def fit_classifier(train: DataFrame, kind: str = "logreg", id_col: str = "id",
                    min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> PipelineModel:
     """TF-IDF and a linear classifier as one fitted, savable PipelineModel.
 
-    The training text is read three times (size, vocabulary, vectors) and the vectors once
-    per solver step, so both are kept on the executors, spilling to their disks.
+    The rows are read for their count, the vocabulary and the vectors, so they are cut from
+    their lineage once: cleaning, splits and text variants do not run again. The solver
+    reads the vectors at every step, so those stay on the executors and spill to their
+    disks. A task gets at least ROWS_PER_TASK rows: each one returns a full gradient per step.
     """
     require_columns(train, [id_col, text, "label_id"])
-    rows = train.select(id_col, text, F.col("label_id").cast("double").alias("label_id"))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = checkpointed(
+        train.select(id_col, text, F.col("label_id").cast("double").alias("label_id")))
+    stages = tfidf_stages(rows, id_col, text, min_df, max_features)
+    featured = featurize(stages, rows).select("features", "label_id").persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        n_rows = rows.count()
-        stages = tfidf_stages(rows, id_col, text, n_rows, min_df, max_features)
-        featured = featurize(stages, rows).select("features", "label_id").persist(
-            StorageLevel.MEMORY_AND_DISK)
-        try:
-            model = _classifier(kind, n_rows, max_iter).fit(featured)
-        finally:
-            featured.unpersist()
+        n_rows = featured.count()
+        dense = featured.coalesce(1 + n_rows // ROWS_PER_TASK)
+        model = _classifier(kind, n_rows, max_iter).fit(dense)
     finally:
-        rows.unpersist()
+        featured.unpersist()
     return PipelineModel([*stages, model])
 
 

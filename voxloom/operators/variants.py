@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from voxloom.functions.stem import STEM_MODES, stem_variant
 from voxloom.operators.metrics import scores
 from voxloom.operators.models import fit_classifier, predict
 from voxloom.operators.shaping import computed_once, union_by_name
+from voxloom.session import checkpointed
 
 
 def ablation(train: DataFrame, tiers: DataFrame, modes: Sequence[str],
@@ -21,8 +21,9 @@ def ablation(train: DataFrame, tiers: DataFrame, modes: Sequence[str],
     """(mode, tier, accuracy, macro_f1): retrain on each text variant, score all tiers.
 
     The loop runs over the few modes; training and scoring are Spark jobs over all rows.
+    The training rows are cut from their lineage once, since every mode reads them again.
     """
-    base = train.select(id_col, text, "label_id").persist(StorageLevel.MEMORY_AND_DISK)
+    base = checkpointed(train.select(id_col, text, "label_id"))
     scored = []
     for mode in modes:
         def varied(df: DataFrame, mode: str = mode) -> DataFrame:
@@ -32,7 +33,6 @@ def ablation(train: DataFrame, tiers: DataFrame, modes: Sequence[str],
         kept = ["tier", "label_id"]
         pairs = predict(model, varied(tiers.select(*kept, text)), mode, kept)
         scored.append(pairs.withColumnRenamed("model", "mode"))
-    base.unpersist()
     return scores(union_by_name(scored), ["mode", "tier"]).select(
         "mode", "tier", "accuracy", "macro_f1")
 
