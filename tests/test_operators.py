@@ -76,9 +76,19 @@ def test_split_is_disjoint_complete_and_stratified(skewed):
     assert all(test[g] == math.floor(0.2 * n + 0.5) for g, n in sizes.items())
     row = joins.disjoint_check(parts.filter("part='train'"), parts.filter("part='test'"), "id").first()
     assert row.n_shared == 0 and row.n_train + row.n_test == len(rows)
-    carved = ranking.validation_carve(parts.filter("part='train'").drop("part"), "id", "g", 3)
-    smoke = Counter(r.g for r in carved.filter("part='validation'").collect())
-    assert set(smoke.values()) == {3}
+
+
+def test_validation_carve(spark, skewed):
+    """An integer size counts rows over all labels: four rows per label give one each."""
+    smoke = spark.createDataFrame([(i, f"l{i % 3}") for i in range(12)], "id long, g string")
+    carved = ranking.validation_carve(smoke, "id", "g", 3)
+    assert Counter(r.g for r in carved.filter("part='validation'").collect()) == {
+        "l0": 1, "l1": 1, "l2": 1}
+    df, rows = skewed
+    sizes = Counter(r[1] for r in rows)
+    share = Counter(r.g for r in ranking.validation_carve(df, "id", "g", 0.15)
+                    .filter("part='validation'").collect())
+    assert all(share[g] == math.floor(0.15 * n + 0.5) for g, n in sizes.items())
 
 
 def test_head_per_group_limits_before_the_shuffle(skewed):
@@ -162,6 +172,23 @@ def test_salted_lookup_with_a_hot_key(spark):
         map(tuple, want.collect()), key=str)
 
 
+def test_salted_lookup_as_a_shuffled_join(spark):
+    """Without any automatic broadcast the hot key is spread over many partitions."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
+            F.concat(F.lit("k"), F.col("id") % 500)).alias("k"))
+        right = spark.range(500).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v"))
+        right = right.unionByName(spark.createDataFrame([("hot", -1)], "k string, v long"))
+        got = joins.salted_lookup(left, right, ["k"], "inner", ["id"])
+        assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 6000 and got.filter("v = -1").count() == 2000
+        assert got.filter("v >= 0 and k <> concat('k', v)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_lookup_fallback(spark):
     texts = spark.createDataFrame([(1, " hola "), (2, "hi"), (3, ""), (4, None), (5, "hola")],
                                   "id int, text string")

@@ -110,9 +110,15 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_share: float =
 
 def validation_carve(train: DataFrame, id_col: str, label: str, size: float | int = 0.15,
                      seed: int = SEED, name: str = "part") -> DataFrame:
-    """Carve a validation part out of the training rows: a share, or rows per label."""
-    quota = (F.lit(size) if isinstance(size, int)
-             else F.round(F.col("n_group") * F.lit(size)))
+    """Carve a validation part out of the training rows, in proportion to the labels.
+
+    ``size`` is a share, or as an integer the number of rows over all labels.
+    """
+    if isinstance(size, int):
+        n_all = train.agg(F.count(F.lit(1)).alias("n")).scalar()
+        quota = F.round(F.col("n_group") * F.lit(size) / n_all)
+    else:
+        quota = F.round(F.col("n_group") * F.lit(size))
     marked = mark_quota(train, id_col, [label], quota, seed + 1)
     return (marked.withColumn(name, F.when(F.col("chosen"), "validation").otherwise("train"))
             .drop("chosen"))
