@@ -161,3 +161,10 @@ def test_block_texts_edge_cases():
     inside = '<div class="p">a<div class="q"><div class="p">gone</div></div>b</div>'
     assert scan(inside, "div", "p", frozenset({"q"})) == ["a b", ""]
     assert scan('<div title="a > b" class="p">x < y</div>', "div", "p", frozenset()) == ["x < y"]
+
+
+def test_spread_only_small_scans(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    assert readers.spread_small(spark.range(50, numPartitions=1)).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 50, 1, cores + 1)
+    assert readers.spread_small(wide) is wide

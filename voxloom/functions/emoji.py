@@ -9,7 +9,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from voxloom.functions.text import _c, null_text
+from voxloom.functions.text import null_text
 
 # --- fixed values: code-point ranges treated as emoji -------------------------
 SYMBOL_RANGES = [(0x1F1E6, 0x1F1FF), (0x1F300, 0x1FAFF), (0x2600, 0x27BF)]

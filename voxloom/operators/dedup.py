@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order``; null keys form one group."""
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not rest and set(order) <= set(keys):
+        return keep_any(df, keys)
     first = F.min(F.struct(*[c for c in order if c not in keys], *rest)).alias("_first")
     # The 64-bit hash leads the sort, so long text keys are rarely compared in full.
     hashed = F.xxhash64(*keys).alias("_key_hash")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.labels import id_label
 from voxloom.functions.stats import f1
-from voxloom.schema import LABEL_IDS, LABELS
+from voxloom.schema import LABEL_IDS
 
 TRUTH, PRED = "label_id", "pred_id"
 
@@ -156,7 +156,3 @@ def corpus_totals(raw: DataFrame, clean: DataFrame) -> DataFrame:
 def corpus_span(df: DataFrame, date: str, words: str) -> DataFrame:
     return df.agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"),
                   F.median(words).alias("median_words"))
-
-
-def label_order() -> list[str]:
-    return list(LABELS)

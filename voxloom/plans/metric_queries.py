@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.functions import text as X
+from voxloom.functions.labels import is_label, star_label
 from voxloom.functions.stats import wilson_ci as wilson
 from voxloom.operators import degradation, joins, labeling, metrics, variants
-from voxloom.operators.shaping import fan_out
 from voxloom.operators.models import score_metrics as score_table
+from voxloom.operators.shaping import fan_out
 from voxloom.plans import views as V
 from voxloom.plans.registry import query
 from voxloom.plans.text_queries import SHEET_SQL, STAR_SQL, sheets
-from voxloom.schema import LABELS, OVERALL
+from voxloom.schema import EXPORT_COLS, OVERALL
 
 BY = ["model", "tier"]
 G = "model, tier"
@@ -70,7 +71,8 @@ def lookup_fallback(spark, d):
         "id", "translated", "failed")
 
 
-@query("changed_rows", f"WITH {LOOKUP_SQL} SELECT id FROM translated WHERE trim(original) <> trim(translated)")
+@query("changed_rows", f"""
+WITH {LOOKUP_SQL} SELECT id FROM translated WHERE trim(original) <> trim(translated)""")
 def changed_rows(spark, d):
     texts = V.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
     return (joins.lookup_fallback(texts, "text", lookup_table(spark, d))
@@ -93,7 +95,8 @@ SELECT aspect, keyword, count(*) AS n FROM reviews JOIN kws
 GROUP BY aspect, keyword""")
 def keyword_theta_join(spark, d):
     found = V.reviews(spark, d).select(X.matched_keywords("text", V.TAXONOMY).alias("found"))
-    return (fan_out(found, "found", "hit").select("hit.*").groupBy("aspect", "keyword").agg(F.count(F.lit(1)).alias("n")))
+    return (fan_out(found, "found", "hit").select("hit.*")
+            .groupBy("aspect", "keyword").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("truth_pred_join", f"WITH {V.PREDS_SQL} SELECT model, tier, id, label_id, pred_id FROM pairs")
@@ -121,7 +124,8 @@ def aspect_distribution(spark, d):
 
 
 @query("accuracy", f"""
-WITH {V.PREDS_SQL} SELECT {G}, round(avg(CASE WHEN label_id = pred_id THEN 1.0 ELSE 0 END), 6) AS accuracy
+WITH {V.PREDS_SQL}
+SELECT {G}, round(avg(CASE WHEN label_id = pred_id THEN 1.0 ELSE 0 END), 6) AS accuracy
 FROM pairs GROUP BY {G}""")
 def accuracy(spark, d):
     return rounded(metrics.accuracy(V.pairs(spark, d), BY), "accuracy")
@@ -176,8 +180,6 @@ duo AS (SELECT * FROM proxied WHERE proxy <> '')"""
 
 def proxied(spark, d):
     done = labeling.with_final_label(sheets(spark, d))
-    from voxloom.functions.labels import is_label, star_label
-
     return (done.filter(is_label("sentiment_label")).withColumn("proxy", star_label("rating"))
             .filter(is_label("proxy")).select("tier", F.col("sentiment_label").alias("human"), "proxy"))
 
@@ -380,8 +382,6 @@ WITH {V.CLEANED_SQL}, {V.LABELLED_SQL}
 SELECT l.id, l.source, l.language, c.cleaned_text, l.sentiment_label FROM labelled l
 JOIN cleaned c ON CAST(l.id AS VARCHAR) = c.id""")
 def export_labelled(spark, d):
-    from voxloom.schema import EXPORT_COLS
-
     return V.cleaned(V.labelled(spark, d)).select(*EXPORT_COLS)
 
 
@@ -406,7 +406,3 @@ SELECT tier, metric, round(value, 6) AS value FROM long""")
 def agreement_report(spark, d):
     done = labeling.with_final_label(sheets(spark, d))
     return rounded(labeling.agreement_report(done, V.TIERS[:2]), "value")
-
-
-def label_names():
-    return LABELS

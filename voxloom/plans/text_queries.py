@@ -9,6 +9,7 @@ from voxloom.functions import emoji as E
 from voxloom.functions import labels as L
 from voxloom.functions import stem as S
 from voxloom.functions import text as X
+from voxloom.operators import corpus, degradation, labeling
 from voxloom.plans import views as V
 from voxloom.plans.registry import query
 from voxloom.schema import LABELS, TRANSLATION_CHARS
@@ -200,10 +201,8 @@ SELECT lang, round(avg(CASE WHEN regexp_matches({EMOJI_SQL}, '{SYMBOL_SQL}') THE
          AS emoji_percent, count(*) AS n
 FROM documents GROUP BY lang""")
 def emoji_prevalence(spark, d):
-    from voxloom.operators.degradation import emoji_prevalence as prevalence
-
     marked = documents(spark, d).select("lang", with_emoji().alias("text"))
-    return prevalence(marked, "lang", "text").withColumn(
+    return degradation.emoji_prevalence(marked, "lang", "text").withColumn(
         "emoji_percent", F.round("emoji_percent", 6))
 
 
@@ -356,10 +355,7 @@ SELECT id, sentiment_label, CAST(CASE sentiment_label WHEN 'negative' THEN 0 WHE
          ELSE 2 END AS INTEGER) AS label_id
 FROM finals WHERE sentiment_label IN {V.label_list_sql()}""")
 def valid_labels(spark, d):
-    from voxloom.operators.corpus import valid_labels as keep
-    from voxloom.operators.labeling import with_final_label
-
-    return keep(with_final_label(sheets(spark, d))).select("id", "sentiment_label", "label_id")
+    return corpus.valid_labels(labeling.with_final_label(sheets(spark, d))).select("id", "sentiment_label", "label_id")
 
 
 @query("language_name", """

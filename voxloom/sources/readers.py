@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxloom.operators.corpus import valid_labels
 from voxloom.operators.shaping import union_by_name
 from voxloom.schema import LABELLED_SCHEMA, REVIEW_SCHEMA, require_columns
 
+MAX_SPREAD = 64  # a scan with this many splits is large enough to stay where it is
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -33,13 +35,13 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer files than cores out to all cores.
+    """Deal the rows of a scan with fewer splits than cores out to all cores.
 
-    Text expressions are CPU-bound and one Parquet row group is one task. Tables of many
-    files are returned as they are: they need no shuffle to fill a cluster.
+    Text expressions are CPU-bound and one Parquet row group is one task. A table with a
+    split per core is returned as it is: it needs no shuffle to fill a cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 64) else df
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_reviews(spark: SparkSession, glob: str, tolerant: bool = True) -> DataFrame:
@@ -80,8 +82,6 @@ def read_labelled(spark: SparkSession, path: str, fmt: str = "parquet",
 def read_tiers(spark: SparkSession, tiers: dict[str, str], schema: T.StructType,
                fmt: str = "csv") -> DataFrame:
     """One frame for all tiers that exist, with ``tier`` and its position ``tier_ord``."""
-    from pyspark.sql import functions as F
-
     frames = []
     for ord_, (name, path) in enumerate(tiers.items()):
         try:
