@@ -21,17 +21,17 @@ def ablation(train: DataFrame, tiers: DataFrame, modes: Sequence[str],
     """(mode, tier, accuracy, macro_f1): retrain on each text variant, score all tiers.
 
     The loop runs over the few modes; training and scoring are Spark jobs over all rows.
-    The training rows are cut from their lineage once, since every mode reads them again.
+    Training and tier rows are cut from their lineage once, since every mode reads them.
     """
     base = checkpointed(train.select(id_col, text, "label_id"))
+    tested = checkpointed(tiers.select("tier", "label_id", text))
     scored = []
     for mode in modes:
         def varied(df: DataFrame, mode: str = mode) -> DataFrame:
             return computed_once(df, **{text: variant(text, mode)})
 
         model = fit_classifier(varied(base), id_col=id_col, text=text, **fit)
-        kept = ["tier", "label_id"]
-        pairs = predict(model, varied(tiers.select(*kept, text)), mode, kept)
+        pairs = predict(model, varied(tested), mode, ["tier", "label_id"])
         scored.append(pairs.withColumnRenamed("model", "mode"))
     return scores(union_by_name(scored), ["mode", "tier"]).select(
         "mode", "tier", "accuracy", "macro_f1")
