@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import quality, simhash, toxicity
+from voxloom.llm import quality, simhash, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
+    "op10_substrings": op10_substrings,
 }
 SQL: dict[str, str] = {}

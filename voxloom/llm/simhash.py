@@ -51,13 +51,7 @@ _LOWER[ord("A"): ord("Z") + 1] += 32
 
 def _shingle_hashes(texts: words.Texts) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, number of shingles of each row)."""
-    starts, ends = texts.starts, texts.ends
-    # Words of the slice, each followed by one space.
-    joined = np.full(int((ends - starts).sum()) + len(starts), 0x20, dtype=np.uint8)
-    begin = np.concatenate(([0], np.cumsum(ends - starts + 1)))
-    inside = np.ones(len(joined), dtype=bool)
-    inside[begin[1:] - 1] = False
-    joined[inside] = _LOWER[texts.data[~words.SPACE[texts.data]]]
+    joined, begin = texts.joined(table=_LOWER)
     raw = joined.tobytes()
     counts = np.diff(texts.doc_first)
     shingles = np.where(counts == 0, 0, np.maximum(counts - SHINGLE + 1, 1))

@@ -58,6 +58,22 @@ class Texts:
     def hashes(self) -> np.ndarray:
         return word_hashes(self.data, self.starts, self.ends)
 
+    def joined(self, keep: np.ndarray | None = None, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of the words, each followed by one space; where each word begins, and the end).
+
+        ``keep`` picks words; ``table`` maps bytes.
+        """
+        lengths = self.ends - self.starts
+        solid = self.data[~SPACE[self.data]]
+        if keep is not None:
+            solid, lengths = solid[np.repeat(keep, lengths)], lengths[keep]
+        begin = np.concatenate(([0], np.cumsum(lengths + 1)))
+        out = np.full(int(begin[-1]), 0x20, dtype=np.uint8)
+        inside = np.ones(len(out), dtype=bool)
+        inside[begin[1:] - 1] = False
+        out[inside] = solid if table is None else table[solid]
+        return out, begin
+
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts, offsets of each text); nulls are empty."""
