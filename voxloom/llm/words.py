@@ -119,14 +119,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(sums + (ends - starts).astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F))
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
-    """Rows of a text column in slices of at most ``limit`` bytes (or one longer text)."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, table: np.ndarray | None = None) -> Iterator[Texts]:
+    """Rows of a text column in slices of at most ``limit`` bytes (or one longer text).
+
+    ``table`` maps bytes first, for instance to lower case or other bytes to blanks.
+    """
     data, offsets = text_buffer(column)
     at = 0
     while at < len(offsets) - 1:
         to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
         to = min(max(to, at + 1), len(offsets) - 1)
         part, own = data[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at]
+        part = part if table is None else table[part]
         starts, ends = word_bounds(part, own)
         yield Texts(slice(at, to), part, own, starts, ends, np.searchsorted(starts, own))
         at = to
