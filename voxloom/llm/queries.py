@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import packing, pii, quality, secrets, simhash, substrings, toxicity
+from voxloom.llm import chat, packing, pii, quality, secrets, simhash, substrings, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_every(table(spark, sf_dir, "embeddings"), step=50, k=5)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -45,11 +53,13 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_chat": op3_chat,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
+    "op6_topk": op6_topk,
     "op7_packing": op7_packing,
     "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_chat": chat.SQL, "op6_topk": topk.SQL}
