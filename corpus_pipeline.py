@@ -1,11 +1,16 @@
-"""The corpus pipeline: each stage applies one operator of ``voxloom.llm`` to what is left."""
+"""The corpus pipeline: each stage applies one operator of ``voxloom.llm`` to what is left.
+
+Quality classifier -> SimHash near-duplicates -> benchmark decontamination -> secret scans ->
+packing. A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written to the shared
+folder and read again as the next one's ``docs``. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import quality
-from voxloom.session import scratch_path
+from voxloom.llm import decontamination, packing, quality, secrets, simhash
+from voxloom.llm.components import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,14 +22,34 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep(docs, quality.learn(docs, _table(spark, sf_dir, "labels")))
 
 
-STAGES = [("quality", keep_quality)]
+def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near-duplicates."""
+    return simhash.keep_first(docs)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontamination.keep_clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by their kind."""
+    return secrets.redacted(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document in a training sequence."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality", keep_quality), ("near_duplicates", keep_first), ("decontamination", keep_uncontaminated),
+          ("secrets", without_secrets), ("packing", packed)]
+#: Models and tokenizers are beyond SQL; tests hold each stage against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

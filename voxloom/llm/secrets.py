@@ -138,3 +138,32 @@ def report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     return joined.select(
         F.col("id").alias("doc_id"), *[F.coalesce(F.col(f"n_{k}"), F.lit(0)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
+
+
+def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """``docs``, all columns, with every reported span replaced by ``[kind]``.
+
+    ``n_chars``, where there is one, follows the text. Only texts with a candidate meet the spans in
+    a join; all others pass as they are.
+    """
+    held = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col("text").rlike(_ANY), F.lit(False)).alias("suspect"))
+    suspects = held.filter("suspect").select("doc")
+    spans = scan(suspects.select("doc.doc_id", "doc.text"), scope)
+    before = Window.partitionBy("id", "row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    spans = (spans.withColumn("done", F.coalesce(F.max("end").over(before), F.lit(0)))
+             .filter(F.col("end") > F.col("done"))
+             .groupBy("id", "row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "done", "kind"))).alias("spans")))
+    keyed = suspects.withColumns({"key": F.col("doc.doc_id").cast("long"), "code": F.xxhash64(F.coalesce("doc.text", F.lit("")))})
+    joined = keyed.join(spans, F.col("key").eqNullSafe(F.col("id")) & (F.col("code") == F.col("row")), "left")
+    text = F.col("doc.text")
+    pieces = F.transform("spans", lambda s: F.concat(
+        F.substring(text, (s["done"] + 1).cast("int"), F.greatest(s["start"] - s["done"], F.lit(0)).cast("int")),
+        F.lit("["), s["kind"], F.lit("]")))
+    last = F.element_at("spans", -1)["end"]
+    clean = F.when(F.size("spans") > 0, F.concat(F.array_join(pieces, ""), F.substring(
+        text, (last + 1).cast("int"), F.length(text)))).otherwise(text)
+    doc = F.col("doc").withField("text", clean)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        doc = doc.withField("n_chars", F.when(F.size("spans") > 0, F.length(clean).cast(kind)).otherwise(F.col("doc.n_chars")))
+    return held.filter("not suspect").select("doc.*").union(joined.select(doc.alias("doc")).select("doc.*"))

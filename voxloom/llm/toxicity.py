@@ -40,19 +40,10 @@ _LOWER[ord("A"): ord("Z") + 1] += 32
 _LOWER[words.SPACE] = _BLANK
 
 
-def lowered(data: np.ndarray) -> np.ndarray:
-    """Lower case for ASCII and the Latin-1 letters; every blank becomes a space."""
-    out = _LOWER[data]
-    lead = np.zeros(len(data), dtype=bool)
-    lead[1:] = data[:-1] == 0xC3
-    out[lead & (out >= 0x80) & (out <= 0x9E) & (out != 0x97)] += 32
-    return out
-
-
 def grams(texts: words.Texts) -> tuple[np.ndarray, np.ndarray]:
     """(row, bucket) of every character n-gram."""
     offsets = texts.offsets
-    data = np.append(np.insert(lowered(texts.data), offsets[:-1], _BLANK), np.uint8(_BLANK))
+    data = np.append(np.insert(words.lower(texts.data, _LOWER), offsets[:-1], _BLANK), np.uint8(_BLANK))
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) + 1)
     blanks = np.concatenate(([0], np.cumsum(data == _BLANK)))
     code = _BYTE[data]

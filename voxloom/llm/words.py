@@ -119,10 +119,19 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(sums + (ends - starts).astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F))
 
 
+def lower(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Bytes mapped by ``table``; capital Latin-1 letters become small ones."""
+    out = table[data]
+    lead = np.zeros(len(data), dtype=bool)
+    lead[1:] = data[:-1] == 0xC3
+    out[lead & (out >= 0x80) & (out <= 0x9E) & (out != 0x97)] += 32
+    return out
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES, table: np.ndarray | None = None) -> Iterator[Texts]:
     """Rows of a text column in slices of at most ``limit`` bytes (or one longer text).
 
-    ``table`` maps bytes first, for instance to lower case or other bytes to blanks.
+    With ``table``, texts are first mapped by ``lower``.
     """
     data, offsets = text_buffer(column)
     at = 0
@@ -130,7 +139,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES, table: np.ndarray | None
         to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
         to = min(max(to, at + 1), len(offsets) - 1)
         part, own = data[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at]
-        part = part if table is None else table[part]
+        part = part if table is None else lower(part, table)
         starts, ends = word_bounds(part, own)
         yield Texts(slice(at, to), part, own, starts, ends, np.searchsorted(starts, own))
         at = to
