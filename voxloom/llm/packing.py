@@ -14,8 +14,8 @@ memory of a task is bounded by a window and its longest document. Within a windo
 The longer the window, the more even the costs; the results of a task depend on its rows alone, so
 a lost task is simply run again. Sequence ids are unique over all tasks.
 
-Words are tokenised once and kept in a bounded table per worker: the tokenizer drops white space
-and never joins characters across it, so the ids of a text are those of its words.
+Words are tokenised once and kept in bounded tables per worker: the tokenizer drops white space and
+never joins characters across it, so the ids of a text are those of its words.
 
 Null and empty texts are the end id alone. Repeated rows and null ids are documents like any other;
 an empty table gives no rows.
@@ -24,6 +24,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import cache
 
@@ -42,11 +43,14 @@ CAPACITY = 4096
 WINDOW_TOKENS = 1 << 21
 #: Cost of a token, and of a pair of tokens in one document, in units of the former.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
+#: Words of a table; a worker holds two of them.
 KNOWN_WORDS = 400_000
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long")
 _IDS = np.dtype("<u4")
+#: Words of ASCII and Latin-1 letters, with marks behind: one piece of letters, one of marks.
+_PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+([.,;:!?]*)")
 
 
 def cost(n):
@@ -54,7 +58,7 @@ def cost(n):
 
 
 class WordTokens:
-    """Ids of words, as little-endian bytes, in a table that is emptied when it is full."""
+    """Ids of words, as little-endian bytes, in two bounded tables: recent words, and those before."""
 
     def __init__(self, path: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -65,25 +69,67 @@ class WordTokens:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool) if suffix else None
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def _encode(self, some: list[bytes]) -> list[bytes]:
+        codes = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+        return [np.array(code.ids, _IDS).tobytes() for code in codes]
+
+    def _encode_plain(self, some: list[bytes], pieces: np.ndarray) -> list[bytes]:
+        """Of words whose number of pieces is known, as one text: a piece ends with an id marked so."""
+        [code] = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
+        ids = np.array(code.ids, _IDS)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != pieces.sum() or not len(ids) or ends[-1] != len(ids):
+            return self._encode(some)
+        cuts = np.concatenate(([0], ends[np.cumsum(pieces) - 1])).tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def learn(self, new: list[bytes]) -> None:
+        plain, pieces, others = [], [], []
+        for w in new:
+            m = _PLAIN.fullmatch(w) if self.last is not None else None
+            if m:
+                plain.append(w)
+                pieces.append(1 + bool(m[1]))
+            else:
+                others.append(w)
+        for at in range(0, len(plain), 512):
+            some = plain[at: at + 512]
+            self.known.update(zip(some, self._encode_plain(some, np.array(pieces[at: at + 512])), strict=True))
+        for at in range(0, len(others), 512):
+            some = others[at: at + 512]
+            self.known.update(zip(some, self._encode(some), strict=True))
 
     def documents(self, texts: words.Texts) -> list[bytes]:
-        """The ids of each row."""
-        raw = texts.data.tobytes()
-        parts = [raw[a:b] for a, b in zip(texts.starts.tolist(), texts.ends.tolist(), strict=True)]
+        """The ids of each row. Each different word of the slice is looked up once."""
+        raw, h = texts.data.tobytes(), texts.hashes()
+        _, first, at = np.unique(h, return_index=True, return_inverse=True)
+        parts = [raw[a:b] for a, b in zip(texts.starts[first].tolist(), texts.ends[first].tolist(), strict=True)]
         if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        known = self.known
-        new = list({w for w in parts if w not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at: at + 4096]
-            for word, code in zip(some, self.tokenizer.encode_batch_fast(
-                    [w.decode() for w in some], add_special_tokens=False), strict=True):
-                known[word] = np.array(code.ids, _IDS).tobytes()
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = [w for w in parts if w not in known]
+        known.update((w, before[w]) for w in new if w in before)
+        self.learn([w for w in new if w not in known])
         codes = [known[w] for w in parts]
-        first = texts.doc_first.tolist()
-        end = np.array([END], _IDS).tobytes()
-        return [b"".join(codes[a:b]) + end for a, b in zip(first[:-1], first[1:], strict=True)]
+        flat = np.frombuffer(b"".join(codes), _IDS)
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        begin = np.cumsum(sizes) - sizes
+        size = sizes[at]  # of each word in turn
+        rows = len(texts.offsets) - 1
+        row = np.repeat(np.repeat(np.arange(rows), np.diff(texts.doc_first)), size)
+        place = np.arange(len(row))
+        out = np.full(len(row) + rows, END, dtype=_IDS)
+        out[place + row] = flat[np.repeat(begin[at] - (np.cumsum(size) - size), size) + place]
+        ends = np.cumsum(np.bincount(row, minlength=rows) + 1)
+        return [out[a:b].tobytes() for a, b in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True)]
 
 
 @cache
