@@ -3,7 +3,8 @@
 A text is the bag of its character n-grams (``SHORTEST`` to ``LONGEST`` bytes of the lower-cased
 text, blanks mark where words begin and end, none crosses a blank), hashed into ``2^BITS`` rows of
 an embedding table. The mean of the bag's rows goes through a linear softmax of two classes;
-embeddings and softmax are learnt together with Adagrad steps over a bounded labelled sample. A
+embeddings (plain steps that shrink) and softmax (Adagrad) are learnt together over a bounded
+labelled sample. A
 misspelt word shares most n-grams with the word it stands for, so it needs no row of its own.
 Because mean and softmax are linear, scoring needs one number per row, ``E (w1 - w0)``: that table
 of ``2^BITS`` floats is the only thing broadcast, and every whole text is scored in Arrow batches.
@@ -27,9 +28,9 @@ DIM = 8
 ROWS_PER_CLASS = 2500
 MAX_CHARS = 40_000_000
 THRESHOLD = 0.5
-EPOCHS = 3
-#: Step sizes of the embeddings, the softmax weights and its bias.
-RATE, WEIGHT_RATE, BIAS_RATE = 1.0, 0.1, 0.05
+EPOCHS = 5
+#: Step sizes of the embeddings (large: shares of n-grams are tiny), the softmax weights and its bias.
+RATE, WEIGHT_RATE, BIAS_RATE = 3000.0, 0.1, 0.05
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -74,12 +75,13 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> tuple[np.ndarray,
         examples += [(keys[a:b], (counts[a:b] / max(counts[a:b].sum(), 1)).astype(np.float32))
                      for a, b in zip(at[:-1], at[1:], strict=True)]
     random = np.random.default_rng(seed)
-    table = random.normal(0, 0.1, (1 << BITS, DIM)).astype(np.float32)
+    table = random.normal(0, 0.01, (1 << BITS, DIM)).astype(np.float32)
     softmax = random.normal(0, 0.5, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    seen, seen_softmax, seen_bias = np.full(1 << BITS, 1e-8, np.float32), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
+    seen_softmax, seen_bias = np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
     order = np.arange(len(examples))
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS):
+        rate = RATE * (1 - epoch / EPOCHS)
         random.shuffle(order)
         for i in order:
             bucket, share = examples[i]
@@ -94,8 +96,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> tuple[np.ndarray,
             softmax -= (WEIGHT_RATE * slope / np.sqrt(seen_softmax)).astype(np.float32)
             seen_bias += error * error
             bias -= (BIAS_RATE * error / np.sqrt(seen_bias)).astype(np.float32)
-            seen[bucket] += share * share * float(back @ back) / DIM
-            table[bucket] = own - RATE * (share / np.sqrt(seen[bucket]))[:, None] * back
+            table[bucket] = own - (rate * share)[:, None] * back.astype(np.float32)
     return table @ (softmax[:, 1] - softmax[:, 0]), float(bias[1] - bias[0])
 
 
