@@ -60,11 +60,9 @@ def test_quota_in_one_bucket(spark, monkeypatch):
     assert got == want
 
 
-def test_too_many_groups_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_GROUPS", 3)
-    df = spark.range(50).withColumn("g", F.col("id") % 5)
-    with pytest.raises(Exception, match="more than 3 groups"):
-        ranking.balanced_sample(df, "id", "g", 2).collect()
+def test_many_groups(spark):
+    df = spark.range(30_000).withColumn("g", F.col("id") % 12_000)
+    assert ranking.balanced_sample(df, "id", "g", 2).count() == 24_000
 
 
 def test_split_is_disjoint_complete_and_stratified(skewed):
@@ -84,6 +82,9 @@ def test_validation_carve(spark, skewed):
     carved = ranking.validation_carve(smoke, "id", "g", 3)
     assert Counter(r.g for r in carved.filter("part='validation'").collect()) == {
         "l0": 1, "l1": 1, "l2": 1}
+    uneven = spark.createDataFrame([(i, "a" if i < 30 else "b" if i < 35 else "c") for i in range(40)], "id long, g string")
+    for n in (1, 3, 7, 39):
+        assert ranking.validation_carve(uneven, "id", "g", n).filter("part='validation'").count() == n
     df, rows = skewed
     sizes = Counter(r[1] for r in rows)
     share = Counter(r.g for r in ranking.validation_carve(df, "id", "g", 0.15)
@@ -489,3 +490,24 @@ def test_analyze(sentiment, spark):
     assert math.isclose(sum(got[1, OVERALL].scores.values()), 1.0, rel_tol=1e-9)
     assert got[2, "(no aspect keywords detected)"].sentiment == "—"
     assert got[2, OVERALL].language.startswith("Indonesian")
+
+
+def test_lookups_without_translation_say_nothing(spark):
+    texts = spark.createDataFrame([(1, "hola"), (2, " abcdef tail"), (3, "none"), (4, None)], "id long, text string")
+    lookup = spark.createDataFrame([("hola", None), ("hola", "hello"), ("abcdef", "cut"), ("none", None)],
+                                   "text string, translated string")
+    got = {r.id: (r.translated, r.failed) for r in joins.lookup_fallback(texts, "text", lookup, max_chars=6).collect()}
+    assert got == {1: ("hello", False), 2: ("cut", False), 3: ("none", True), 4: ("", False)}
+
+
+def test_salted_lookup_takes_left_and_inner_only(spark):
+    df = spark.createDataFrame([(1,)], "id long")
+    with pytest.raises(ValueError, match="left or inner"):
+        joins.salted_lookup(df, df, ["id"], "right")
+
+
+def test_seeded_sample_of_any_size(skewed):
+    df, rows = skewed
+    for n in (0, 1, len(rows) // 2, len(rows) + 5):
+        got = {r.id for r in ranking.seeded_sample(df, "id", n).collect()}
+        assert got == set(sorted((r[0] for r in rows), key=h)[:n])

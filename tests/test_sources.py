@@ -99,8 +99,14 @@ def test_feed(spark):
     assert rows.filter("app = 'A' and page = 1 and id is null").first().text == ""
     got = {(r.app, r.id) for r in adapters.dedup_feed(rows.filter("page < 4")).collect()}
     assert got == {("A", "x"), ("A", "y"), ("A", "A_1_2"), ("A", "A_2_3"), ("A", "z"), ("B", "x")}
-    pages = sorted((r.app, r.page, r.new_ids) for r in adapters.readable_pages(rows).collect())
+    pages = sorted((r.app, r.page, r.new_ids) for r in adapters.readable_pages(f, rows).collect())
     assert pages == [("A", 1, 3), ("A", 2, 2), ("B", 1, 1)]
+    assert {(r.app, r.id) for r in adapters.feed_corpus(f, "trustpilot").collect()} == got
+    gaps = feed(spark, [("A", 1, [rv("x")]), ("A", 2, []), ("A", 3, [rv("y")]), ("B", 1, [rv("x")]), ("B", 3, [rv("y")]),
+                        ("C", 2, [rv("x")])])
+    rows = adapters.feed_reviews(gaps, "trustpilot")
+    run = sorted((r.app, r.page) for r in adapters.readable_pages(gaps, rows, first_page=1).collect())
+    assert run == [("A", 1), ("B", 1)]
 
 
 def test_threads(spark):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.functions.text import null_text, present, strip_space
+from voxloom.functions.text import null_text, present, strip_space, truncate_text
 from voxloom.operators.dedup import keep_first
 from voxloom.operators.shaping import fan_out
 
@@ -25,11 +25,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def salted_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   how: str = "left", salt_by: Sequence[str] | None = None) -> DataFrame:
-    """Join ``left`` to a keyed table, spreading hot keys over SALTS partitions.
+    """Left or inner join of ``left`` to a keyed table, hot keys spread over SALTS partitions.
 
-    Only rows of the table with a hot key are copied, SALTS times each. The broadcast hot
+    Other joins would return the copies of the table's hot rows. Only rows of the table with a hot key are copied, SALTS times each. The broadcast hot
     list has at most HOT_SHARE rows by construction.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"salted_lookup joins left or inner, not {how!r}")
     keys = list(keys)
     hot = F.broadcast(hot_keys(left.select(*keys), keys).withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*(salt_by or left.columns)), F.lit(SALTS)).cast("int")
@@ -59,20 +61,27 @@ def lookup_fallback(texts: DataFrame, text: str, lookup: DataFrame, id_col: str
                     max_chars: int | None = None) -> DataFrame:
     """Translated text by lookup; own (trimmed) text if there is none, '' for empty text.
 
-    Adds ``translated`` and ``failed``. ``lookup`` has ``text`` and ``translated``.
+    Adds ``translated`` and ``failed``. ``lookup`` has ``text`` and ``translated``; rows without
+    a translation say nothing. With ``max_chars`` the lookup was asked with that much of a text
+    (a request limit), so both sides are cut to it; the own text stays whole.
     """
+    def asked(c: Column) -> Column:
+        return c if max_chars is None else truncate_text(c, max_chars)
+
     own = strip_space(null_text(text))
     table = keep_first(
-        lookup.select(strip_space(null_text("text")).alias("_own"),
-                      F.col("translated").alias("_found")),
-        ["_own"], ["_found"])
-    joined = salted_lookup(texts.withColumn("_own", own), table, ["_own"], "left", [id_col])
+        lookup.filter(F.col("translated").isNotNull()).select(
+            asked(strip_space(null_text("text"))).alias("_asked"),
+            F.col("translated").alias("_found")),
+        ["_asked"], ["_found"])
+    keyed = texts.withColumn("_own", own).withColumn("_asked", asked(F.col("_own")))
+    joined = salted_lookup(keyed, table, ["_asked"], "left", [id_col])
     empty = F.col("_own") == ""
     return (joined
             .withColumn("translated", F.when(empty, F.lit("")).otherwise(
                 F.coalesce("_found", "_own")))
             .withColumn("failed", F.col("_found").isNull() & ~empty)
-            .drop("_own", "_found"))
+            .drop("_own", "_asked", "_found"))
 
 
 def changed_text(original: Column | str, variant: Column | str) -> Column:

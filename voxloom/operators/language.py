@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.text import _c, null_text, term_counts
-from voxloom.operators.ranking import head_per_group
 from voxloom.session import checkpointed
 
 GRAM = 3
-PROFILE_SIZE = 1000   # grams per language: the profile table is at most languages x this
 SCALE = 1_000_000     # log-probabilities as integers: sums do not depend on row order
 WORD_RE = r"\p{L}+"
 UNKNOWN = "unknown"
@@ -32,8 +30,8 @@ def _grams(padded: str) -> Column:
 
 
 def learn_profiles(labelled: DataFrame, text: str = "cleaned_text", language: str = "language",
-                   size: int = PROFILE_SIZE) -> DataFrame:
-    """(language, gram, weight, missing): scaled log-probabilities of the top grams.
+                   ) -> DataFrame:
+    """(language, gram, weight, missing): scaled log-probabilities of every gram seen.
 
     Words are counted per language first, so grams are cut from distinct words only.
     """
@@ -42,15 +40,14 @@ def learn_profiles(labelled: DataFrame, text: str = "cleaned_text", language: st
              .withColumn("_w", _padded("term")))
     grams = (words.select(language, "tf", F.explode(_grams("_w")).alias("gram"))
              .groupBy(language, "gram").agg(F.sum("tf").alias("c")))
-    top = head_per_group(grams, [language], [F.desc("c"), "gram"], size)
-    totals = top.groupBy(language).agg(F.sum("c").alias("total"))
-    smoothed = F.col("total") + size
+    totals = grams.groupBy(language).agg(F.sum("c").alias("total"))
+    smoothed = F.col("total") + grams.agg(F.count_distinct("gram")).scalar()
 
     def scaled(p: Column) -> Column:
         return F.round(F.log(p) * SCALE).cast("long")
 
-    # A learnt artefact of at most languages x size rows: written once, read by every scoring.
-    return checkpointed(top.join(totals, language).select(
+    # A learnt artefact: written once, read by every scoring.
+    return checkpointed(grams.join(totals, language).select(
         F.col(language).alias("language"), "gram",
         scaled((F.col("c") + 1.0) / smoothed).alias("weight"),
         scaled(1.0 / smoothed).alias("missing")))
@@ -60,8 +57,8 @@ def identify_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame
                       languages: Sequence[str], name: str = "language") -> DataFrame:
     """(id, language): the best profile; ``unknown`` without any known gram.
 
-    The broadcast side has one row per gram with a weight per language. Every document sums
-    its grams on the map side, so one row per document and task is shuffled.
+    The table has one row per gram with a weight per language; Spark broadcasts it by its
+    measured size, or shuffles. Every document sums its grams before they are shuffled by id.
     """
     def weight_of(i: int, column: str) -> Column:
         return F.max(F.when(F.col("language") == languages[i], F.col(column)))
@@ -69,10 +66,8 @@ def identify_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame
     every = range(len(languages))
     floor = profiles.agg(F.struct(*[weight_of(i, "missing").alias(f"m{i}") for i in every])
                          .alias("m")).scalar()
-    # At most languages x PROFILE_SIZE rows: one per gram, a weight per language.
-    table = F.broadcast(
-        profiles.groupBy("gram").agg(*[weight_of(i, "weight").alias(f"w{i}") for i in every])
-        .select("gram", *[F.coalesce(f"w{i}", floor[f"m{i}"]).alias(f"w{i}") for i in every]))
+    table = (profiles.groupBy("gram").agg(*[weight_of(i, "weight").alias(f"w{i}") for i in every])
+             .select("gram", *[F.coalesce(f"w{i}", floor[f"m{i}"]).alias(f"w{i}") for i in every]))
     # Outer fan-out keeps documents without a word, so no second join is needed.
     grams = (df.select(id_col, F.inline_outer(term_counts(_words(text))))
              .select(id_col, "tf", _padded("term").alias("_w"))

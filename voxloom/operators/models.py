@@ -16,7 +16,7 @@ from voxloom.schema import require_columns
 from voxloom.session import checkpointed
 
 MAX_ITER = 2000
-ROWS_PER_TASK = 20_000
+DEPTH = 2   # levels in which the gradients of the tasks are added up
 MODEL_NAMES = {"logreg": "LogReg", "svm": "LinearSVM"}
 
 
@@ -25,12 +25,12 @@ def _classifier(kind: str, n_rows: int, max_iter: int):
     reg = 1.0 / max(n_rows, 1)
     if kind == "logreg":
         return LogisticRegression(family="multinomial", regParam=reg, elasticNetParam=0.0,
-                                  standardization=False, maxIter=max_iter,
+                                  standardization=False, maxIter=max_iter, aggregationDepth=DEPTH,
                                   featuresCol="features", labelCol="label_id",
                                   predictionCol="prediction")
     if kind == "svm":
         return OneVsRest(classifier=LinearSVC(regParam=reg, standardization=False,
-                                              maxIter=max_iter),
+                                              maxIter=max_iter, aggregationDepth=DEPTH),
                          featuresCol="features", labelCol="label_id",
                          predictionCol="prediction", parallelism=3)
     raise ValueError(f"unknown classifier {kind!r}")
@@ -43,8 +43,8 @@ def fit_classifier(train: DataFrame, kind: str = "logreg", id_col: str = "id",
 
     The rows are read for their count, the vocabulary and the vectors, so they are cut from
     their lineage once: cleaning, splits and text variants do not run again. The solver
-    reads the vectors at every step, so those stay on the executors and spill to their
-    disks. A task gets at least ROWS_PER_TASK rows: each one returns a full gradient per step.
+    reads the vectors at every step until its tolerance is met, so those stay on the executors
+    and spill to their disks, in the partitions of the rows; gradients are added up as a tree.
     """
     require_columns(train, [id_col, text, "label_id"])
     rows = checkpointed(
@@ -54,8 +54,7 @@ def fit_classifier(train: DataFrame, kind: str = "logreg", id_col: str = "id",
         StorageLevel.MEMORY_AND_DISK)
     try:
         n_rows = featured.count()
-        dense = featured.coalesce(1 + n_rows // ROWS_PER_TASK)
-        model = _classifier(kind, n_rows, max_iter).fit(dense)
+        model = _classifier(kind, n_rows, max_iter).fit(featured)
     finally:
         featured.unpersist()
     return PipelineModel([*stages, model])

@@ -20,7 +20,6 @@ from voxloom.session import checkpointed
 HEX_DIGITS = 4      # 16 ** 4 buckets per group
 GROUP_LIMIT = 1000   # Spark's default bound for a group limit below the shuffle
 PARTS = 1024
-MAX_GROUPS = 10_000  # quotas are per class or source; more groups than this is an error
 
 
 def seeded_hash(id_col: Column | str, seed: int = SEED) -> Column:
@@ -54,41 +53,39 @@ def seeded_rank(df: DataFrame, id_col: str, groups: Sequence[str] = (), seed: in
             .select(*df.columns, name))
 
 
-def cutoffs(df: DataFrame, id_col: str, groups: Sequence[str], quota: Column,
+def cutoffs(df: DataFrame, id_col: str, groups: Sequence[str], quota: Column | DataFrame,
             seed: int = SEED) -> DataFrame:
     """Per group: the order key of the last row inside the quota.
 
-    ``quota`` may use ``n_group``, the size of the group. A group whose quota is below one
-    has no row here. Rows of one bucket per group are ranked, nothing else is shuffled.
+    ``quota`` may use ``n_group``, the size of the group, or is a table with ``quota`` per
+    group. A group whose quota is below one has no row here. Rows of one bucket per group are
+    ranked. The joins are left to Spark: few groups are broadcast by their measured size.
     """
     keyed = _keyed(df.select(*groups, id_col), id_col, seed)
     # Both windows run over the (group, bucket) counts, never over rows.
     sized = _offsets(keyed, groups).withColumn(
         "n_group", F.sum("_in_bucket").over(Window.partitionBy(*groups)))
+    if isinstance(quota, DataFrame):
+        sized, quota = sized.join(quota, list(groups)), F.col("quota")
     last = (sized.withColumn("_quota", F.least(quota.cast("long"), F.col("n_group")))
             .filter((F.col("_before") < F.col("_quota"))
                     & (F.col("_before") + F.col("_in_bucket") >= F.col("_quota")))
             .select(*groups, "_bucket", (F.col("_quota") - F.col("_before")).alias("_nth")))
-    # One row per group, and the number of groups is checked before it is broadcast.
-    n_groups = last.agg(F.count(F.lit(1))).scalar()
-    few = last.filter(F.when(n_groups <= MAX_GROUPS, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_GROUPS} groups")).cast("boolean")))
-    edge = keyed.join(F.broadcast(few), [*groups, "_bucket"])
+    edge = keyed.join(last, [*groups, "_bucket"])
     within = Window.partitionBy(*groups, "_bucket").orderBy("_hash", id_col)
     return (edge.withColumn("_rn", F.row_number().over(within))
             .filter(F.col("_rn") == F.col("_nth"))
             .select(*groups, F.col("_hash").alias("_cut_hash"), F.col(id_col).alias("_cut_id")))
 
 
-def mark_quota(df: DataFrame, id_col: str, groups: Sequence[str], quota: Column,
+def mark_quota(df: DataFrame, id_col: str, groups: Sequence[str], quota: Column | DataFrame,
                seed: int = SEED, name: str = "chosen") -> DataFrame:
     """Flag the first ``quota`` rows of each group in seeded order; the rows do not move."""
     cut = cutoffs(df, id_col, groups, quota, seed)
     keyed = df.withColumn("_hash", seeded_hash(id_col, seed))
     inside = (F.col("_hash") < F.col("_cut_hash")) | (
         (F.col("_hash") == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id")))
-    # One row per group; ``cutoffs`` fails beyond MAX_GROUPS of them.
-    return (keyed.join(F.broadcast(cut), list(groups), "left")
+    return (keyed.join(cut, list(groups), "left")
             .withColumn(name, F.coalesce(inside, F.lit(False)))
             .select(*df.columns, name))
 
@@ -112,11 +109,18 @@ def validation_carve(train: DataFrame, id_col: str, label: str, size: float | in
                      seed: int = SEED, name: str = "part") -> DataFrame:
     """Carve a validation part out of the training rows, in proportion to the labels.
 
-    ``size`` is a share, or as an integer the number of rows over all labels.
+    ``size`` is a share, or as an integer the exact number of rows over all labels: each label
+    gets the whole part of its share, what is over goes to the largest remainders (ties to the
+    smaller label). The window for that holds one row per label.
     """
     if isinstance(size, int):
-        n_all = train.agg(F.count(F.lit(1)).alias("n")).scalar()
-        quota = F.round(F.col("n_group") * F.lit(size) / n_all)
+        exact = F.col("n") * F.lit(size) / F.sum("n").over(Window.partitionBy(F.lit(0)))
+        shares = train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).select(
+            label, F.floor(exact).alias("whole"), (exact - F.floor(exact)).alias("rest"))
+        order = Window.partitionBy(F.lit(0)).orderBy(F.desc(F.round("rest", 9)), label)
+        over = F.lit(size) - F.sum("whole").over(Window.partitionBy(F.lit(0)))
+        quota = shares.withColumn("_over", over).withColumn("_at", F.row_number().over(order)).select(
+            label, (F.col("whole") + (F.col("_at") <= F.col("_over")).cast("int")).alias("quota"))
     else:
         quota = F.round(F.col("n_group") * F.lit(size))
     marked = mark_quota(train, id_col, [label], quota, seed + 1)
@@ -125,8 +129,14 @@ def validation_carve(train: DataFrame, id_col: str, label: str, size: float | in
 
 
 def seeded_sample(df: DataFrame, id_col: str, n: int, seed: int = SEED) -> DataFrame:
-    """n rows in seeded order: a top-n, so every partition keeps at most n rows."""
-    return df.orderBy(seeded_hash(id_col, seed), id_col).limit(n)
+    """The n rows that are first in seeded order, found by their cut-off: for any n the rows
+    stay where they are, and only one bucket of ids is ranked."""
+    keyed = df.withColumn("_all", F.lit(0))
+    cut = F.broadcast(cutoffs(keyed, id_col, ["_all"], F.lit(n), seed))  # a single row
+    h = seeded_hash(id_col, seed)
+    return (keyed.join(cut, "_all")
+            .filter((h < F.col("_cut_hash")) | ((h == F.col("_cut_hash")) & (F.col(id_col) <= F.col("_cut_id"))))
+            .select(*df.columns))
 
 
 def head_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str],

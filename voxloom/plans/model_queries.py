@@ -12,8 +12,6 @@ from voxloom.plans.text_queries import EMOJI_TAILS
 from voxloom.functions.labels import lookup
 from voxloom.session import scratch_path, ship_package
 
-MAX_ITER = 25
-
 GRAMS_SQL = f"""
 tok AS (SELECT doc_id AS id, {V.tokens_sql('text')} AS t FROM documents),
 grams AS (SELECT id, unnest(list_concat(t, list_transform(range(1, greatest(len(t), 1)),
@@ -58,7 +56,7 @@ def train_and_tiers(spark, d):
 
 def _fit_scores(spark, d, kind):
     train, tiers = train_and_tiers(spark, d)
-    model = models.fit_classifier(train, kind, max_iter=MAX_ITER)
+    model = models.fit_classifier(train, kind)
     pairs = models.predict(model, tiers, models.MODEL_NAMES[kind], ["id", "tier", "label_id"])
     return metrics.tier_eval(pairs)
 
@@ -76,14 +74,14 @@ def svm_fit(spark, d):
 @query("fit_predict")
 def fit_predict(spark, d):
     train, tiers = train_and_tiers(spark, d)
-    model = models.fit_classifier(train, "logreg", max_iter=MAX_ITER)
+    model = models.fit_classifier(train, "logreg")
     return models.predict(model, tiers, "LogReg", ["id", "tier", "label_id"])
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark, d):
     train, tiers = train_and_tiers(spark, d)
-    model = models.fit_classifier(train, "logreg", max_iter=MAX_ITER)
+    model = models.fit_classifier(train, "logreg")
     path = models.save_model(model, scratch_path(spark, "model"))
     found = models.load_available({"LogReg": path, "absent": path + "-absent"})
     return models.predict(found["LogReg"], tiers, "LogReg", ["id", "tier", "label_id"])
@@ -94,14 +92,14 @@ def ablation_emoji(spark, d):
     tail = F.coalesce(lookup("language", EMOJI_TAILS), F.lit(""))
     train, tiers = (df.withColumn("cleaned_text", F.concat("cleaned_text", tail))
                     for df in train_and_tiers(spark, d))
-    return variants.ablation_emoji(train, tiers, max_iter=MAX_ITER)
+    return variants.ablation_emoji(train, tiers)
 
 
 @query("ablation_stemming")
 def ablation_stemming(spark, d):
     ship_package(spark)
     train, tiers = train_and_tiers(spark, d)
-    return variants.ablation_stemming(train, tiers, max_iter=MAX_ITER)
+    return variants.ablation_stemming(train, tiers)
 
 
 def _language_sql() -> str:
@@ -110,13 +108,14 @@ def _language_sql() -> str:
     return rf"""
 WITH words AS (SELECT doc_id AS id, lang, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS w
                FROM documents),
+parts AS (SELECT doc_id AS id, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY md5('42-' || doc_id), doc_id)
+            <= round(0.2 * count(*) OVER (PARTITION BY lang)) THEN 'test' ELSE 'train' END AS part FROM documents),
 doc_words AS (SELECT id, lang, w, count(*) AS tf FROM words GROUP BY ALL),
 doc_grams AS (SELECT id, lang, tf, substring('_' || w || '_', i, 3) AS gram
   FROM (SELECT *, unnest(range(1, length(w) + 1)) AS i FROM doc_words)),
-counted AS (SELECT lang, gram, sum(tf) AS c FROM doc_grams GROUP BY lang, gram),
-top AS (SELECT * FROM counted
-        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, gram) <= 1000),
-totals AS (SELECT lang, sum(c) + 1000 AS total FROM top GROUP BY lang),
+top AS (SELECT lang, gram, sum(tf) AS c FROM doc_grams SEMI JOIN (SELECT id FROM parts WHERE part = 'train') t USING (id)
+        GROUP BY lang, gram),
+totals AS (SELECT lang, sum(c) + (SELECT count(DISTINCT gram) FROM top) AS total FROM top GROUP BY lang),
 langs AS (SELECT * FROM (VALUES {values}) v(lang, o)),
 known AS (SELECT DISTINCT gram FROM top),
 score AS (SELECT g.id, l.lang, l.o, sum(g.tf * CAST(round(ln((coalesce(t.c, 0) + 1.0) / tt.total) * 1000000)
@@ -124,19 +123,21 @@ score AS (SELECT g.id, l.lang, l.o, sum(g.tf * CAST(round(ln((coalesce(t.c, 0) +
   FROM doc_grams g JOIN known k ON g.gram = k.gram CROSS JOIN langs l JOIN totals tt ON tt.lang = l.lang
   LEFT JOIN top t ON t.gram = g.gram AND t.lang = l.lang GROUP BY g.id, l.lang, l.o),
 best AS (SELECT id, lang FROM score QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, o) = 1)
-SELECT d.doc_id AS id, coalesce(b.lang, 'unknown') AS language FROM documents d
-LEFT JOIN best b ON d.doc_id = b.id"""
+SELECT d.id, d.part, coalesce(b.lang, 'unknown') AS language FROM parts d LEFT JOIN best b ON d.id = b.id"""
 
 
 @query("language_id", _language_sql())
 def language_id(spark, d):
+    """Profiles learnt on the train part; every document is scored, the test part is the check."""
     docs = documents(spark, d)
-    profiles = language.learn_profiles(docs, "text", "lang")
-    return language.identify_language(docs, "id", "text", profiles, V.LANGUAGES)
+    parts = stratified_split(docs.select("id", "lang"), "id", "lang", 0.2).select("id", "part")
+    train = docs.join(parts.filter("part = 'train'"), "id", "left_semi")
+    profiles = language.learn_profiles(train, "text", "lang")
+    return language.identify_language(docs, "id", "text", profiles, V.LANGUAGES).join(parts, "id")
 
 
 @query("analyze_batch")
 def analyze_batch(spark, d):
     train, _ = train_and_tiers(spark, d)
-    model = models.fit_classifier(train, "logreg", max_iter=MAX_ITER)
+    model = models.fit_classifier(train, "logreg")
     return analyze.analyze(V.labelled(spark, d), model, V.TAXONOMY)

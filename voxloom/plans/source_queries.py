@@ -75,15 +75,13 @@ def sink_ignore_existing(spark, d):
     return _rows(spark.read.schema(REVIEW_SCHEMA).parquet(path))
 
 
-@query("empty_result_schema", f"""
-WITH {V.PREDS_SQL}, {V.class_sql('pairs', 'tier, model')}
-SELECT tier, model, round(CAST(sum(tp) AS DOUBLE) / sum(nt), 6) AS accuracy, round(avg(f1), 6) AS macro_f1
-FROM classes GROUP BY tier, model""")
+@query("empty_result_schema", """
+SELECT '' AS tier, '' AS model, 0.0::DOUBLE AS accuracy, 0.0::DOUBLE AS macro_f1 FROM documents WHERE false""")
 def empty_result_schema(spark, d):
-    scored = metrics.tier_eval(V.pairs(spark, d))
+    """No prediction at all: the header-only result, of the declared columns."""
+    scored = metrics.tier_eval(V.pairs(spark, d).filter(F.col("pred_id") < 0))
     return sinks.results_or_empty(spark, [scored], TIER_EVAL_SCHEMA).select(
-        "tier", "model", F.round("accuracy", 6).alias("accuracy"),
-        F.round("macro_f1", 6).alias("macro_f1"))
+        "tier", "model", "accuracy", "macro_f1")
 
 
 # --- adapters -----------------------------------------------------------------
@@ -101,8 +99,14 @@ def adapt_flat_source(spark, d):
         raw, "play_store", F.concat(F.lit("App-"), F.col("lang"))))
 
 
+EMPTY_EVERY = 50
+
+
 def feed(spark, d):
-    """One JSON page per document: its text under a content id, and a row without an id."""
+    """One JSON page per document: its text under a content id, and a row without an id.
+
+    Every fiftieth page is empty.
+    """
     doc = F.col("doc_id")
     day = F.date_format(F.timestamp_seconds(doc * 3600 + 1_600_000_000),
                         "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -112,7 +116,8 @@ def feed(spark, d):
     none = F.struct(F.lit(None).cast("string").alias("id"), F.col("source").alias("text"),
                     F.lit(3.0).alias("rating"),
                     F.struct(F.lit(None).cast("string").alias("publishedDate")).alias("dates"))
-    page = F.struct(F.struct(F.struct(F.array(own, none).alias("reviews")).alias("pageProps"))
+    listed = F.when(doc % EMPTY_EVERY != EMPTY_EVERY - 1, F.array(own, none)).otherwise(F.array())
+    page = F.struct(F.struct(F.struct(listed.alias("reviews")).alias("pageProps"))
                     .alias("props"))
     return V.table(spark, d, "documents").select(
         F.col("lang").alias("brand"), doc.alias("page"), F.to_json(page).alias("json"))
@@ -122,8 +127,9 @@ FEED_SQL = f"""
 feed AS (
   SELECT md5(text) AS id, regexp_replace(text, '^{V.SPACE_SQL}+|{V.SPACE_SQL}+$', '', 'g') AS text,
          CAST(doc_id % 5 + 1 AS DOUBLE) AS rating, 1600000000 + doc_id * 3600 AS epoch,
-         lang AS app, doc_id AS page, 0 AS pos FROM documents
-  UNION ALL SELECT NULL, source, 3.0, NULL, lang, doc_id, 1 FROM documents)"""
+         lang AS app, doc_id AS page, 0 AS pos FROM documents WHERE doc_id % {EMPTY_EVERY} <> {EMPTY_EVERY - 1}
+  UNION ALL SELECT NULL, source, 3.0, NULL, lang, doc_id, 1 FROM documents
+  WHERE doc_id % {EMPTY_EVERY} <> {EMPTY_EVERY - 1})"""
 
 
 @query("json_reviews", f"WITH {FEED_SQL} SELECT id, text, rating, epoch, app, page, pos FROM feed")
@@ -144,17 +150,29 @@ def json_reviews_dedup(spark, d):
         "id", "text", "rating", F.unix_seconds("date").alias("epoch"), "app", "page")
 
 
-@query("new_ids_per_page", """
-WITH feed AS (SELECT lang AS app, doc_id AS page, md5(text) AS id FROM documents),
+PAGES_SQL = FEED_SQL + """,
 firsts AS (SELECT app, id, min(page) AS page FROM feed GROUP BY app, id),
-counts AS (SELECT f.app, f.page, count(x.id) AS new_ids FROM (SELECT DISTINCT app, page FROM feed) f
+counts AS (SELECT f.app, f.page, count(x.page) AS new_ids FROM (SELECT lang AS app, doc_id AS page FROM documents) f
            LEFT JOIN firsts x ON x.app = f.app AND x.page = f.page GROUP BY f.app, f.page),
-ends AS (SELECT app, min(page) AS stop FROM counts WHERE new_ids = 0 GROUP BY app)
-SELECT c.app, c.page, c.new_ids FROM counts c LEFT JOIN ends e ON c.app = e.app
-WHERE e.stop IS NULL OR c.page < e.stop""")
+ends AS (SELECT app, min(page) AS stop FROM counts WHERE new_ids = 0 GROUP BY app),
+readable AS (SELECT c.app, c.page, c.new_ids FROM counts c LEFT JOIN ends e ON c.app = e.app
+             WHERE e.stop IS NULL OR c.page < e.stop)"""
+
+
+@query("new_ids_per_page", f"WITH {PAGES_SQL} SELECT app, page, new_ids FROM readable")
 def new_ids_per_page(spark, d):
-    rows = adapters.feed_reviews(feed(spark, d), "trustpilot").filter(F.col("id").isNotNull())
-    return adapters.readable_pages(rows)
+    pages = feed(spark, d)
+    return adapters.readable_pages(pages, adapters.feed_reviews(pages, "trustpilot"))
+
+
+@query("feed_corpus", f"""
+WITH {PAGES_SQL}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY app, id ORDER BY page, pos) AS rn FROM feed SEMI JOIN readable USING (app, page)),
+kept AS (SELECT *, row_number() OVER (PARTITION BY app ORDER BY page, pos) - 1 AS n FROM ranked WHERE rn = 1)
+SELECT coalesce(id, app || '_' || page || '_' || n) AS id, text, rating, epoch, app, page FROM kept""")
+def feed_corpus(spark, d):
+    return adapters.feed_corpus(feed(spark, d), "trustpilot").select(
+        "id", "text", "rating", F.unix_seconds("date").alias("epoch"), "app", "page")
 
 
 def forum_pages(spark, d):
@@ -251,12 +269,13 @@ def link_ids(spark, d):
 
 @query("ordered_distinct_topn", f"""
 WITH {LINKS_SQL},
-firsts AS (SELECT forum, topic_id, min(page_id * 1000 + pos) AS first_pos FROM seen GROUP BY ALL)
-SELECT forum, topic_id, first_pos FROM firsts
+firsts AS (SELECT forum, topic_id, min({{'page': page_id, 'pos': pos}}) AS first_pos FROM seen GROUP BY ALL)
+SELECT forum, topic_id, first_pos.page AS page_id, CAST(first_pos.pos AS INTEGER) AS pos FROM firsts
 QUALIFY row_number() OVER (PARTITION BY forum ORDER BY first_pos, topic_id) <= {THREADS_PER_FORUM}""")
 def ordered_distinct_topn(spark, d):
-    ordered = links(spark, d).withColumn("at", F.col("page_id") * 1000 + F.col("pos"))
-    return ranking.ordered_distinct_topn(ordered, "forum", "topic_id", "at", THREADS_PER_FORUM)
+    ordered = links(spark, d).withColumn("at", F.struct("page_id", "pos"))
+    return ranking.ordered_distinct_topn(ordered, "forum", "topic_id", "at", THREADS_PER_FORUM).select(
+        "forum", "topic_id", "first_pos.*")
 
 
 # --- threads ------------------------------------------------------------------
@@ -399,7 +418,7 @@ def count_by_source(spark, d):
 
 
 def slim(spark, d):
-    """The columns the counts need: the copies of a text travel without the raw text."""
+    """The columns the counts need."""
     return V.reviews(spark, d).select("id", "text", "source", "language")
 
 

@@ -42,22 +42,41 @@ def feed_reviews(feed: DataFrame, source: str, brand: str = "brand", page: str =
         F.lit(source).alias("source"), F.col(brand).alias("app"), page, "pos")
 
 
-def readable_pages(reviews: DataFrame, page: str = "page") -> DataFrame:
+def readable_pages(feed: DataFrame, reviews: DataFrame, brand: str = "brand", page: str = "page",
+                   first_page: int | None = None) -> DataFrame:
     """(app, page, new_ids) of the pages before the first one without a new id.
 
-    An id is new where it is first seen. Both steps are aggregations, so a brand or an id
-    with very many rows never meets in one task. A missing page ends a brand as well.
+    The pages are those of the feed, so an empty page ends a brand like a stale one. With
+    ``first_page`` the numbers must run on from there: a missing page ends a brand as well. An
+    id is new where it is first seen; the first review without an id counts as new. All steps
+    are aggregations and joins unique on both sides, so a brand or an id with very many rows
+    never meets in one task.
     """
     first = reviews.groupBy("app", "id").agg(F.min(page).alias("first_page"))
-    pages = reviews.select("app", page, F.lit(0).cast("long").alias("new"))
+    pages = feed.select(F.col(brand).alias("app"), page, F.lit(0).cast("long").alias("new"))
     fresh = first.select("app", F.col("first_page").alias(page), F.lit(1).cast("long").alias("new"))
     counts = pages.unionByName(fresh).groupBy("app", page).agg(F.sum("new").alias("new_ids"))
-    ends = counts.filter(F.col("new_ids") == 0).groupBy("app").agg(F.min(page).alias("_end"))
+    stops = F.col("new_ids") == 0
+    if first_page is not None:
+        before = counts.select("app", (F.col(page) + 1).alias(page), F.lit(True).alias("_run"))
+        counts = counts.filter(F.col(page) >= first_page).join(before, ["app", page], "left")
+        stops = stops | ((F.col(page) > first_page) & F.col("_run").isNull())
+    ends = counts.filter(stops).groupBy("app").agg(F.min(page).alias("_end"))
+    if first_page is not None:  # without its first page a brand has none
+        started = counts.filter(F.col(page) == first_page).select("app").distinct()
+        counts = counts.join(started, "app", "left_semi")
     return (counts.join(ends, "app", "left")
             .filter(F.col("_end").isNull() | (F.col(page) < F.col("_end")))
             .select("app", page, "new_ids"))
 
 
+def feed_corpus(feed: DataFrame, source: str, first_page: int | None = None) -> DataFrame:
+    """The whole feed job: rows of the readable pages, each id once, made ids where none is."""
+    reviews = feed_reviews(feed, source)
+    pages = readable_pages(feed, reviews, first_page=first_page).select("app", "page")
+    return dedup_feed(reviews.join(pages, ["app", "page"], "left_semi"))
+
+
 def dedup_feed(reviews: DataFrame, page: str = "page") -> DataFrame:
     """First row per (app, id) by page and position; a missing id gets a made one.
 
