@@ -137,6 +137,10 @@ def test_emoji(spark):
     assert one(spark, E.emoji_strip("t"), *texts) == ["ok !", "x_y", "plain_9 #", ""]
     assert one(spark, E.emoji_demojize("t"), *texts) == [
         "ok  thumbs up  medium skin tone !", " heavy black heart x y", "plain 9 #", ""]
+    more = ["⭐⏰ ‼ ™ ✓", "a\u200Db", "\U0001F468\u200D\U0001F469 x", "#️⃣ 5 # 2⃣", "▶️x"]
+    assert one(spark, E.has_emoji("t"), *more) == [True, False, True, True, True]
+    assert one(spark, E.emoji_strip("t"), *more) == ["   ✓", "a\u200Db", " x", " 5 # ", "x"]
+    assert one(spark, E.emoji_demojize("t"), *more[2:4]) == [" man  woman  x", " keycap #  5 #  keycap 2 "]
     assert one(spark, E.emoji_variant("t", "raw"), texts[0]) == [texts[0]]
     with pytest.raises(ValueError):
         E.emoji_variant("t", "other")

@@ -169,8 +169,14 @@ def test_block_texts_edge_cases():
     assert scan('<div title="a > b" class="p">x < y</div>', "div", "p", frozenset()) == ["x < y"]
 
 
-def test_spread_only_small_scans(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    assert readers.spread_small(spark.range(50, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 50, 1, cores + 1)
-    assert readers.spread_small(wide) is wide
+def test_csv_files_are_united_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('app,id,text,rating,source,date\nMaxis,7,"two\nlines",4,forum,"Jan 3 2024, 4:05 PM"\n')
+    (tmp_path / "b.csv").write_text("id,text,likes,rating,date\n8,plain,3,bad,1704297900\n9,x,1,5,2024-01-03T16:05:00.000Z\n")
+    (tmp_path / "c.csv").write_text("")
+    rows = {r.id: r for r in readers.read_reviews(spark, str(tmp_path / "*.csv")).collect()}
+    assert set(rows) == {"7", "8", "9"} and {str(r.date) for r in rows.values()} == {"2024-01-03 16:05:00"}
+    assert (rows["7"].app, rows["7"].text, rows["7"].rating, rows["7"].source) == ("Maxis", "two\nlines", 4.0, "forum")
+    assert (rows["8"].rating, rows["8"].app, rows["9"].rating) == (None, None, 5.0)
+    report = {r.file.rsplit("/", 1)[1]: (r.rows, r.bad_fields)
+              for r in readers.csv_report(spark, str(tmp_path / "*.csv"), REVIEW_SCHEMA).collect()}
+    assert report == {"a.csv": (1, 0), "b.csv": (2, 1)}

@@ -11,41 +11,74 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.text import null_text
 
-# --- fixed values: code-point ranges treated as emoji -------------------------
-SYMBOL_RANGES = [(0x1F1E6, 0x1F1FF), (0x1F300, 0x1FAFF), (0x2600, 0x27BF)]
+# --- fixed values: characters with the published property Emoji_Presentation or Emoji ----------
+# Shown as emoji by themselves.
+SYMBOL_RANGES = [
+    (0x231A, 0x231B), (0x23E9, 0x23EC), (0x23F0, 0x23F0), (0x23F3, 0x23F3), (0x25FD, 0x25FE),
+    (0x2614, 0x2615), (0x2648, 0x2653), (0x267F, 0x267F), (0x2693, 0x2693), (0x26A1, 0x26A1),
+    (0x26AA, 0x26AB), (0x26BD, 0x26BE), (0x26C4, 0x26C5), (0x26CE, 0x26CE), (0x26D4, 0x26D4),
+    (0x26EA, 0x26EA), (0x26F2, 0x26F3), (0x26F5, 0x26F5), (0x26FA, 0x26FA), (0x26FD, 0x26FD),
+    (0x2705, 0x2705), (0x270A, 0x270B), (0x2728, 0x2728), (0x274C, 0x274C), (0x274E, 0x274E),
+    (0x2753, 0x2755), (0x2757, 0x2757), (0x2795, 0x2797), (0x27B0, 0x27B0), (0x27BF, 0x27BF),
+    (0x2B1B, 0x2B1C), (0x2B50, 0x2B50), (0x2B55, 0x2B55), (0x1F004, 0x1F004), (0x1F0CF, 0x1F0CF),
+    (0x1F18E, 0x1F18E), (0x1F191, 0x1F19A), (0x1F1E6, 0x1F1FF), (0x1F201, 0x1F202),
+    (0x1F21A, 0x1F21A), (0x1F22F, 0x1F22F), (0x1F232, 0x1F23A), (0x1F250, 0x1F251),
+    (0x1F300, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F7E0, 0x1F7EB), (0x1F7F0, 0x1F7F0),
+    (0x1F90C, 0x1F9FF), (0x1FA70, 0x1FAFF),
+]
+# Text signs that count as emoji too, with or without the selector.
+SIGN_RANGES = [
+    (0x00A9, 0x00A9), (0x00AE, 0x00AE), (0x203C, 0x203C), (0x2049, 0x2049), (0x2122, 0x2122),
+    (0x2139, 0x2139), (0x2194, 0x2199), (0x21A9, 0x21AA), (0x2328, 0x2328), (0x23CF, 0x23CF),
+    (0x23ED, 0x23EF), (0x23F1, 0x23F2), (0x23F8, 0x23FA), (0x24C2, 0x24C2), (0x25AA, 0x25AB),
+    (0x25B6, 0x25B6), (0x25C0, 0x25C0), (0x25FB, 0x25FC), (0x2600, 0x2604), (0x260E, 0x260E),
+    (0x2611, 0x2611), (0x2618, 0x2618), (0x261D, 0x261D), (0x2620, 0x2620), (0x2622, 0x2623),
+    (0x2626, 0x2626), (0x262A, 0x262A), (0x262E, 0x262F), (0x2638, 0x263A), (0x2640, 0x2640),
+    (0x2642, 0x2642), (0x265F, 0x2660), (0x2663, 0x2663), (0x2665, 0x2666), (0x2668, 0x2668),
+    (0x267B, 0x267B), (0x267E, 0x267E), (0x2692, 0x2692), (0x2694, 0x2697), (0x2699, 0x2699),
+    (0x269B, 0x269C), (0x26A0, 0x26A0), (0x26A7, 0x26A7), (0x26B0, 0x26B1), (0x26C8, 0x26C8),
+    (0x26CF, 0x26CF), (0x26D1, 0x26D1), (0x26D3, 0x26D3), (0x26E9, 0x26E9), (0x26F0, 0x26F1),
+    (0x26F4, 0x26F4), (0x26F7, 0x26F9), (0x2702, 0x2702), (0x2708, 0x2709), (0x270C, 0x270D),
+    (0x270F, 0x270F), (0x2712, 0x2712), (0x2714, 0x2714), (0x2716, 0x2716), (0x271D, 0x271D),
+    (0x2721, 0x2721), (0x2733, 0x2734), (0x2744, 0x2744), (0x2747, 0x2747), (0x2763, 0x2764),
+    (0x27A1, 0x27A1), (0x2934, 0x2935), (0x2B05, 0x2B07), (0x3030, 0x3030), (0x303D, 0x303D),
+    (0x3297, 0x3297), (0x3299, 0x3299), (0x1F170, 0x1F171), (0x1F17E, 0x1F17F), (0x1F237, 0x1F237),
+]
 SKIN_TONES = {
     0x1F3FB: "light skin tone", 0x1F3FC: "medium-light skin tone",
     0x1F3FD: "medium skin tone", 0x1F3FE: "medium-dark skin tone",
     0x1F3FF: "dark skin tone",
 }
-JOINERS = [0xFE0F, 0x200D]
-# ----------------------------------------------------------------------------
+SELECTOR, JOINER, KEYCAP = 0xFE0F, 0x200D, 0x20E3
+KEYCAP_BASES = "0-9#*"
+# ----------------------------------------------------------------------------------------------
 
 EMOJI_MODES = ["raw", "demojize", "strip"]
 
 
-def _cls(codepoints: bool = True) -> str:
-    body = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in SYMBOL_RANGES)
-    return body + ("".join(rf"\x{{{j:X}}}" for j in JOINERS) if codepoints else "")
+def _char(cp: int) -> str:
+    return rf"\x{{{cp:X}}}"
 
 
-SYMBOL_RE = f"[{_cls(False)}]"
-STRIP_RE = f"[{_cls()}]+"
-# Cut the text before every emoji code point: each later piece starts with one.
-PIECES_RE = f"(?=[{_cls()}])"
+SYMBOL_CLASS = "".join(f"{_char(a)}-{_char(b)}" for a, b in SYMBOL_RANGES + SIGN_RANGES)
+KEYCAP_RE = f"[{KEYCAP_BASES}]{_char(SELECTOR)}?{_char(KEYCAP)}"
+# A symbol with what belongs to it: selectors, and joiners only between symbols. Joiners and
+# selectors elsewhere are part of the words they stand in.
+UNIT_RE = f"[{SYMBOL_CLASS}](?:{_char(SELECTOR)}|{_char(JOINER)}(?=[{SYMBOL_CLASS}]))*"
+SYMBOL_RE = f"[{SYMBOL_CLASS}]|{KEYCAP_RE}"
+STRIP_RE = f"(?:{UNIT_RE}|{KEYCAP_RE})+"
 
 
 @lru_cache(maxsize=1)
 def emoji_names() -> dict[str, str]:
-    """Code point -> description words, derived from the Unicode character names."""
+    """Character -> description words, derived from the Unicode character names."""
     names = {}
-    for a, b in SYMBOL_RANGES:
+    for a, b in SYMBOL_RANGES + SIGN_RANGES:
         for cp in range(a, b + 1):
             name = unicodedata.name(chr(cp), "")
             if name:
                 names[chr(cp)] = name.lower().removesuffix(" sign")
     names.update({chr(cp): words for cp, words in SKIN_TONES.items()})
-    names.update({chr(cp): "" for cp in JOINERS})
     return names
 
 
@@ -58,27 +91,27 @@ def emoji_strip(c: Column | str) -> Column:
 
 
 def emoji_demojize(c: Column | str, names: Mapping[str, str] | None = None) -> Column:
-    """Each emoji becomes its description words, set apart by blanks; ``_`` becomes a blank.
+    """Each emoji character becomes its description words, set apart by blanks; ``_`` becomes a
+    blank. A keycap becomes ``keycap`` and its key.
 
     Only rows that hold an emoji are cut into pieces, and only emoji pieces are looked up.
     """
     table = names or emoji_names()
     # One foldable string: the optimizer turns it into a map literal once per query.
-    listed = ";".join(f"{k}= {v} " if v else f"{k}=" for k, v in table.items())
+    listed = ";".join(f"{k}= {v} " for k, v in table.items())
     mapping = F.str_to_map(F.lit(listed), F.lit(";"), F.lit("="))
     text = null_text(c)
+    keys = F.regexp_replace(text, f"([{KEYCAP_BASES}]){_char(SELECTOR)}?{_char(KEYCAP)}", " keycap $1 ")
 
     def named(piece: Column) -> Column:
         first = F.substring(piece, 1, 1)
-        return F.when(
-            piece.rlike(f"^[{_cls()}]"),
-            F.concat(F.coalesce(F.try_element_at(mapping, first), first),
-                     piece.substr(2, 2**31 - 1)),
-        ).otherwise(piece)
-
-    described = F.array_join(F.transform(F.split(text, PIECES_RE, -1), named), "")
-    return F.replace(F.when(text.rlike(f"[{_cls()}]"), described).otherwise(text),
-                     F.lit("_"), F.lit(" "))
+        rest = F.regexp_replace(piece.substr(2, 2**31 - 1), f"^[{_char(SELECTOR)}{_char(JOINER)}]+", "")
+        return F.when(piece.rlike(f"^[{SYMBOL_CLASS}]"), F.concat(
+            F.coalesce(F.try_element_at(mapping, first), first), rest)).otherwise(piece)
+
+    pieces = F.split(keys, f"(?=[{SYMBOL_CLASS}])", -1)
+    described = F.array_join(F.transform(pieces, named), "")
+    return F.replace(F.when(text.rlike(SYMBOL_RE), described).otherwise(text), F.lit("_"), F.lit(" "))
 
 
 def emoji_variant(c: Column | str, mode: str) -> Column:

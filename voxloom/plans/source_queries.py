@@ -29,12 +29,24 @@ def reviews(spark, d):
 
 # --- scans and sinks ----------------------------------------------------------
 
-@query("scan_csv_glob", f"WITH {V.REVIEWS_SQL} {ROWS_SQL}")
+@query("scan_csv_glob", f"""
+WITH {V.REVIEWS_SQL} SELECT id, text, rating, source, app,
+  CASE WHEN app IN ('en', 'fr') THEN epoch ELSE epoch // 60 * 60 END AS epoch FROM reviews""")
 def scan_csv_glob(spark, d):
+    """Files of different column orders, further columns and three ways to write a date.
+
+    Forum dates are written to the minute.
+    """
     folder = scratch_path(spark, "raw")
-    by_lang = reviews(spark, d)
-    sinks.write_csv(by_lang.filter(F.col("app") == "en"), f"{folder}/store")
-    sinks.write_csv(by_lang.filter(F.col("app") != "en"), f"{folder}/forum")
+    rows = reviews(spark, d)
+    iso = F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    forum = F.date_format("date", "MMM d yyyy, h:mm a")
+    epoch = F.unix_seconds("date").cast("string")
+    sinks.write_csv(rows.filter("app = 'en'").withColumn("date", iso), f"{folder}/store")
+    sinks.write_csv(rows.filter("app = 'fr'").withColumn("date", epoch).select(
+        "app", "id", "text", "rating", "source", "date"), f"{folder}/site")
+    sinks.write_csv(rows.filter("app not in ('en', 'fr')").withColumn("date", forum).select(
+        "date", F.lit(1).alias("likes"), "source", "text", "id", "app", "rating"), f"{folder}/forum")
     return _rows(readers.read_reviews(spark, f"{folder}/*/*.csv"))
 
 

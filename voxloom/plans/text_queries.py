@@ -156,48 +156,51 @@ def stem_text(spark, d):
 EMOJI_TAILS = {"en": " \U0001F44D\U0001F3FD ok", "fr": " ❤️", "de": " \U0001F1E9\U0001F1EA"}
 
 
-def with_emoji():
-    tail = F.coalesce(L.lookup("lang", EMOJI_TAILS), F.lit(""))
-    return F.concat("text", tail)
+# Tails of the texts by doc_id, and literally what is expected of each: whether it holds an emoji,
+# what is left of it, and how it is described.
+TAILS = [
+    (" \U0001F44D\U0001F3FD ok", True, "  ok", "  thumbs up  medium skin tone  ok"),
+    (" \u2764\uFE0F", True, " ", "  heavy black heart "),
+    (" \U0001F1E9\U0001F1EA", True, " ", "  regional indicator symbol letter d  regional indicator symbol letter e "),
+    (" \u2B50a", True, " a", "  white medium star a"),
+    (" \u23F0", True, " ", "  alarm clock "),
+    (" \u2713", False, " \u2713", " \u2713"),
+    (" 1\uFE0F\u20E3 1", True, "  1", "  keycap 1  1"),
+    (" a\u200Db", False, " a\u200Db", " a\u200Db"),
+]
+
+
+def _tail_sql(field: int) -> str:
+    cases = " ".join(f"WHEN {i} THEN " + (f"'{t[field]}'" if field != 1 else str(t[1])) for i, t in enumerate(TAILS))
+    return f"CASE doc_id % {len(TAILS)} {cases} END"
 
 
-EMOJI_SQL = ("text || CASE lang " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EMOJI_TAILS.items())
-             + " ELSE '' END")
-SYMBOL_SQL = r"[\x{1F1E6}-\x{1F1FF}\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]"
-STRIP_SQL = r"[\x{1F1E6}-\x{1F1FF}\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{FE0F}\x{200D}]+"
+def with_emoji():
+    tails = F.array(*[F.lit(t[0]) for t in TAILS])
+    return F.concat("text", F.get(tails, (F.col("doc_id") % len(TAILS)).cast("int")))
 
 
-@query("has_emoji", f"""
-SELECT doc_id AS id, regexp_matches({EMOJI_SQL}, '{SYMBOL_SQL}') AS has_emoji FROM documents""")
+@query("has_emoji", f"SELECT doc_id AS id, {_tail_sql(1)} AS has_emoji FROM documents")
 def has_emoji(spark, d):
     return documents(spark, d).select(
         F.col("doc_id").alias("id"), E.has_emoji(with_emoji()).alias("has_emoji"))
 
 
-@query("emoji_strip", f"""
-SELECT doc_id AS id, regexp_replace({EMOJI_SQL}, '{STRIP_SQL}', '', 'g') AS text FROM documents""")
+@query("emoji_strip", f"SELECT doc_id AS id, text || {_tail_sql(2)} AS text FROM documents")
 def emoji_strip(spark, d):
     return documents(spark, d).select(
         F.col("doc_id").alias("id"), E.emoji_strip(with_emoji()).alias("text"))
 
 
-def _demojize_sql() -> str:
-    out = EMOJI_SQL
-    for ch in dict.fromkeys("".join(EMOJI_TAILS.values())):
-        if ch in E.emoji_names():
-            words = E.emoji_names()[ch]
-            out = f"replace({out}, '{ch}', '{f' {words} ' if words else ''}')"
-    return f"replace({out}, '_', ' ')"
-
-
-@query("emoji_demojize", f"SELECT doc_id AS id, {_demojize_sql()} AS text FROM documents")
+@query("emoji_demojize", f"""
+SELECT doc_id AS id, replace(text, '_', ' ') || {_tail_sql(3)} AS text FROM documents""")
 def emoji_demojize(spark, d):
     return documents(spark, d).select(
         F.col("doc_id").alias("id"), E.emoji_demojize(with_emoji()).alias("text"))
 
 
 @query("emoji_prevalence", f"""
-SELECT lang, round(avg(CASE WHEN regexp_matches({EMOJI_SQL}, '{SYMBOL_SQL}') THEN 100.0 ELSE 0 END), 6)
+SELECT lang, round(avg(CASE WHEN {_tail_sql(1)} THEN 100.0 ELSE 0 END), 6)
          AS emoji_percent, count(*) AS n
 FROM documents GROUP BY lang""")
 def emoji_prevalence(spark, d):

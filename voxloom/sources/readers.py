@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxloom.functions.dates import epoch_to_ts, iso_to_ts, post_date_to_ts
 from voxloom.operators.corpus import valid_labels
 from voxloom.operators.shaping import union_by_name
-from voxloom.schema import LABELLED_SCHEMA, REVIEW_SCHEMA, require_columns
+from voxloom.schema import LABELLED_SCHEMA, REVIEW_SCHEMA, empty_frame, require_columns
 
-MAX_SPREAD = 64  # a scan with this many splits is large enough to stay where it is
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -21,30 +22,71 @@ class NoInputError(ValueError):
     """No input at all was found."""
 
 
+def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> the files that begin with them, in the order of the file names."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"), "value").filter(F.col("start") == 0)
+    # One row per file: its first line. Files are listed on the driver by every scan.
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header")).orderBy("file")
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.toLocalIterator():
+        names = tuple(next(csv.reader([(row["header"] or "").lstrip("\ufeff")]), []))
+        found.setdefault(names, []).append(row["file"])
+    return found
+
+
+def _typed(c: Column, kind: T.DataType) -> Column:
+    """A CSV field as its declared type; a date may be ISO, a forum date or epoch seconds."""
+    if isinstance(kind, T.TimestampType):
+        return F.coalesce(iso_to_ts(c), post_date_to_ts(c), epoch_to_ts(c.try_cast("double")))
+    return c.try_cast(kind)
+
+
+def _csv_frames(spark: SparkSession, path: str | list[str], tolerant: bool) -> list[DataFrame]:
+    """Per header one frame of strings, with the file of each row as ``_file``."""
+    frames = []
+    for names, files in csv_headers(spark, path).items():
+        if not any(names):
+            continue
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = spark.read.schema(schema).options(**CSV_OPTIONS)
+        if tolerant:
+            reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+        frames.append(reader.csv(files).withColumn("_file", F.col("_metadata.file_path")))
+    return frames
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
              tolerant: bool = False) -> DataFrame:
-    """One scan over a path, a list or a glob; quoted fields may span lines.
+    """CSV files of a path, a list or a glob, united by column name; fields may span lines.
 
-    A multi-line file is one task, so large corpora should be many files or Parquet.
-    ``tolerant`` skips files that are corrupt or vanish.
+    Files may order their columns differently or lack some (null). A first pass reads each
+    file's header. A multi-line file is one task, so large corpora should be many files or
+    Parquet. ``tolerant`` skips files that are corrupt or vanish; ``csv_report`` tells them.
     """
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
-    if tolerant:
-        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    return reader.csv(path)
+    frames = [df.select(*[
+        (_typed(F.col(f"`{f.name}`"), f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields]) for df in _csv_frames(spark, path, tolerant)]
+    return union_by_name(frames) if frames else empty_frame(spark, schema)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores out to all cores.
+def csv_report(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """(file, rows, bad_fields): what each file gave, and fields that do not fit their type.
 
-    Text expressions are CPU-bound and one Parquet row group is one task. A table with a
-    split per core is returned as it is: it needs no shuffle to fill a cluster.
+    A file that cannot be read at all has no row here; compare with the listing.
     """
-    cores = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    counted = []
+    for df in _csv_frames(spark, path, True):
+        bad = [F.col(f"`{f.name}`").isNotNull() & _typed(F.col(f"`{f.name}`"), f.dataType).isNull()
+               for f in schema.fields if f.name in df.columns]
+        counted.append(df.groupBy(F.col("_file").alias("file")).agg(
+            F.count(F.lit(1)).alias("rows"),
+            sum((F.count_if(b) for b in bad), F.lit(0).cast("long")).alias("bad_fields")))
+    return union_by_name(counted) if counted else spark.createDataFrame([], "file string, rows long, bad_fields long")
 
 
-def read_reviews(spark: SparkSession, glob: str, tolerant: bool = True) -> DataFrame:
+def read_reviews(spark: SparkSession, glob: str, tolerant: bool = False) -> DataFrame:
     """Every raw review file below a glob. No file at all is an error."""
     try:
         return read_csv(spark, glob, REVIEW_SCHEMA, tolerant)
