@@ -12,6 +12,7 @@ from voxloom.functions.text import TOKEN_RE, ngrams, term_counts, tokenize
 
 MAX_FEATURES = 10_000
 MIN_DF = 2
+BROADCAST_FEATURES = 200_000
 
 
 def document_terms(df: DataFrame, id_col: str, text: str, n_max: int = 2) -> DataFrame:
@@ -49,14 +50,16 @@ def tfidf(df: DataFrame, id_col: str, text: str, n_max: int = 2, min_df: int = M
           max_features: int = MAX_FEATURES) -> DataFrame:
     """(id, term, weight): tf x smooth idf, rows scaled to unit length.
 
-    The vocabulary has at most ``max_features`` rows and is broadcast. The only shuffle of
-    the weights brings a document's terms together once for its norm.
+    The texts are dealt out by id first, so that the norm of a document needs no shuffle of its
+    weights. The vocabulary has at most ``max_features`` rows: up to BROADCAST_FEATURES of them
+    are broadcast, more are joined as Spark sees fit.
     """
-    terms = document_terms(df, id_col, text, n_max)
+    terms = document_terms(df.select(id_col, text).repartition(id_col), id_col, text, n_max)
     n_docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = vocabulary(terms, min_df, max_features).select(
         "term", smooth_idf(F.col("df"), n_docs).alias("idf"))
-    weighted = terms.join(F.broadcast(idf), "term").select(
+    small = F.broadcast(idf) if max_features <= BROADCAST_FEATURES else idf
+    weighted = terms.join(small, "term").select(
         id_col, F.struct("term", (F.col("tf") * F.col("idf")).alias("w")).alias("tw"))
     per_doc = weighted.groupBy(id_col).agg(F.collect_list("tw").alias("tws"))
     norm = F.sqrt(F.aggregate("tws", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))

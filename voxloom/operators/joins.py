@@ -47,12 +47,16 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 def enrich(sheet: DataFrame, corpus: DataFrame, needed: Sequence[str], key: str = "id",
            order: Sequence[str] = ("source",)) -> DataFrame:
-    """Left join of the columns the sheet lacks, after the corpus is unique on ``key``."""
+    """Left join of the columns the sheet lacks, after the corpus is unique on ``key``.
+
+    A sheet is small next to the corpus, so the corpus is cut to the sheet's keys first.
+    """
     missing = [c for c in needed if c not in sheet.columns]
     if not missing:
         return sheet
     order = [c for c in order if c in corpus.columns]
-    pulled = corpus.select(key, *dict.fromkeys([*order, *missing]))
+    pulled = corpus.select(key, *dict.fromkeys([*order, *missing])).join(
+        sheet.select(key).distinct(), key, "left_semi")
     unique = keep_first(pulled, [key], order or missing[:1]).select(key, *missing)
     return sheet.join(unique, key, "left")
 

@@ -70,11 +70,13 @@ def finalize_sheet(sheet: DataFrame, corpus: DataFrame) -> DataFrame:
     return done.filter(is_label("sentiment_label")).select(*EXPORT_COLS)
 
 
-def agreement_report(sheets: DataFrame, proxy_tiers: list[str]) -> DataFrame:
+def agreement_report(sheets: DataFrame, proxy_tiers: list[str],
+                     expected: list[str] | None = None) -> DataFrame:
     """Long (tier, metric, value) report over labelled sheets of several tiers.
 
     ``sheets`` has tier, sentiment_label and rating. Agreement and kappa exist only for
-    tiers with a star proxy.
+    tiers with a star proxy; others have a null kappa (not applicable). Each tier of
+    ``expected`` has a row that tells whether its sheet was found.
     """
     ok = is_label("sentiment_label")
     base = sheets.groupBy("tier").agg(
@@ -95,4 +97,12 @@ def agreement_report(sheets: DataFrame, proxy_tiers: list[str]) -> DataFrame:
         .alias("metric", "value"))
     status = base.select("tier", F.lit("status_labelled").alias("metric"),
                          (F.col("labelled") > 0).cast("double").alias("value"))
-    return union_by_name([counted, agreed, status])
+    without = base.filter(~F.col("tier").isin(proxy_tiers)).select(
+        "tier", F.lit("kappa").alias("metric"), F.lit(None).cast("double").alias("value"))
+    parts = [counted, agreed, status, without]
+    if expected:
+        listed = sheets.sparkSession.createDataFrame([(t,) for t in expected], "tier string")
+        there = base.select("tier", F.lit(1.0).alias("value"))
+        parts.append(listed.join(there, "tier", "left").select(
+            "tier", F.lit("status_sheet_found").alias("metric"), F.coalesce("value", F.lit(0.0)).alias("value")))
+    return union_by_name(parts)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.labels import id_label
@@ -141,9 +141,12 @@ def pivot_wide(df: DataFrame, index: str, columns: str, values: str,
 
 def delta_vs_reference(df: DataFrame, variant: str, reference: str, groups: Sequence[str],
                        value: str, name: str = "delta") -> DataFrame:
-    """Difference of each variant from the reference variant; the reference is dropped."""
-    base = df.filter(F.col(variant) == reference).select(*groups, F.col(value).alias("_base"))
-    return (df.filter(F.col(variant) != reference).join(base, list(groups), "left")
+    """Difference of each variant from the reference variant; the reference is dropped.
+
+    A window over the metric table: it is computed once, not once per side of a join.
+    """
+    base = F.max(F.when(F.col(variant) == reference, F.col(value))).over(Window.partitionBy(*groups))
+    return (df.withColumn("_base", base).filter(F.col(variant) != reference)
             .withColumn(name, F.col(value) - F.col("_base"))
             .select(variant, *groups, name))
 

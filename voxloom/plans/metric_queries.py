@@ -401,8 +401,11 @@ long AS (
   UNION ALL SELECT tier, 'proxy_rows', n FROM kappas WHERE tier <> '{V.TIERS[2]}'
   UNION ALL SELECT tier, 'agreement', po FROM kappas WHERE tier <> '{V.TIERS[2]}'
   UNION ALL SELECT tier, 'kappa', CASE WHEN pe < 1 THEN (po - pe) / (1 - pe) END FROM kappas
-            WHERE tier <> '{V.TIERS[2]}')
+            WHERE tier <> '{V.TIERS[2]}'
+  UNION ALL SELECT tier, 'kappa', NULL FROM base WHERE tier = '{V.TIERS[2]}'
+  UNION ALL SELECT t.tier, 'status_sheet_found', CASE WHEN b.tier IS NULL THEN 0 ELSE 1 END
+    FROM (SELECT unnest(['{V.TIERS[0]}', '{V.TIERS[1]}', '{V.TIERS[2]}', 'Absent sheet']) AS tier) t LEFT JOIN base b USING (tier))
 SELECT tier, metric, round(value, 6) AS value FROM long""")
 def agreement_report(spark, d):
     done = labeling.with_final_label(sheets(spark, d))
-    return rounded(labeling.agreement_report(done, V.TIERS[:2]), "value")
+    return rounded(labeling.agreement_report(done, V.TIERS[:2], [*V.TIERS, "Absent sheet"]), "value")

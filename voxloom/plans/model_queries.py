@@ -8,6 +8,7 @@ from voxloom.operators import analyze, features, language, metrics, models, vari
 from voxloom.operators.ranking import stratified_split
 from voxloom.plans import views as V
 from voxloom.plans.registry import query
+from voxloom.plans.sampling_queries import SPLIT_SQL
 from voxloom.plans.text_queries import EMOJI_TAILS
 from voxloom.functions.labels import lookup
 from voxloom.session import scratch_path, ship_package
@@ -78,6 +79,16 @@ def fit_predict(spark, d):
     return models.predict(model, tiers, "LogReg", ["id", "tier", "label_id"])
 
 
+@query("fit_predict_keys", f"""
+WITH {SPLIT_SQL}
+SELECT id, l.tier, CAST(l.label_id AS INTEGER) AS label_id, 'LogReg' AS model, true AS valid
+FROM split s JOIN labelled l USING (id) WHERE s.part = 'test'""")
+def fit_predict_keys(spark, d):
+    """What SQL can say of the predictions: which rows there are, each with one known class."""
+    return fit_predict(spark, d).select(
+        "id", "tier", "label_id", "model", F.coalesce(F.col("pred_id").between(0, 2), F.lit(False)).alias("valid"))
+
+
 @query("model_roundtrip")
 def model_roundtrip(spark, d):
     train, tiers = train_and_tiers(spark, d)

@@ -357,14 +357,15 @@ def running_cap(spark, d):
 
 
 @query("page_cap", f"""
-WITH sizes AS (SELECT conv_id, turn, max(len(string_split(text, ' '))) AS n_posts FROM conversations
+WITH sizes AS (SELECT conv_id, turn, max(len(string_split(text, chr(10)))) AS n_posts FROM conversations
                WHERE turn < 8 GROUP BY ALL),
 run AS (SELECT *, count(*) FILTER (WHERE n_posts >= {POSTS_PER_PAGE}) OVER (PARTITION BY conv_id
           ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_full FROM sizes)
 SELECT conv_id, turn, CAST(n_posts AS INTEGER) AS n_posts FROM run WHERE coalesce(n_full, 0) = turn""")
 def page_cap(spark, d):
-    pages = V.table(spark, d, "conversations").select(
-        "conv_id", "turn", F.size(F.split("text", " ")).alias("n_posts"))
+    ship_package(spark)
+    pages = html.page_sizes(forum_pages(spark, d)).select(
+        F.col("thread_id").alias("conv_id"), F.col("page").alias("turn"), "n_posts")
     return ranking.page_cap(pages, "conv_id", "turn", "n_posts", 8, POSTS_PER_PAGE)
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from voxloom.functions.dates import epoch_to_ts, iso_to_ts
 from voxloom.functions.text import concat_title_body, id_fallback, null_text, strip_space
 from voxloom.operators.dedup import keep_first
-from voxloom.operators.joins import search_terms
 from voxloom.operators.ranking import head_per_group
 from voxloom.operators.shaping import fan_out
 from voxloom.schema import FEED_SCHEMA, REPLIES_PER_THREAD, REVIEW_COLS, require_columns
@@ -123,11 +122,15 @@ def flatten_threads(roots: DataFrame, replies: DataFrame, source: str,
 
 def search_threads(threads: DataFrame, text: str, terms: list[str], id_col: str = "id",
                    ) -> DataFrame:
-    """Rows found by any search term, once each, with the first term that found them."""
-    ranked = F.create_map(*[F.lit(x) for i, t in enumerate(terms) for x in (t, i)])
-    found = search_terms(threads, text, terms).withColumn(
-        "term_ord", F.try_element_at(ranked, F.col("term")))
-    return keep_first(found, [id_col], ["term_ord"]).drop("term_ord")
+    """Rows found by any search term, once each, with the first term that found them.
+
+    The first term of a row is an expression of the row; only then are ids made unique.
+    """
+    low = F.lower(null_text(text))
+    first = F.coalesce(*[F.when(low.contains(t.lower()), F.lit(i)) for i, t in enumerate(terms)])
+    found = threads.withColumn("term_ord", first).filter(F.col("term_ord").isNotNull())
+    kept = keep_first(found, [id_col], ["term_ord"])
+    return kept.withColumn("term", F.get(F.array(*map(F.lit, terms)), F.col("term_ord"))).drop("term_ord")
 
 
 def nonempty_text(df: DataFrame, text: str = "text") -> DataFrame:
