@@ -61,11 +61,13 @@ def _char(cp: int) -> str:
 
 
 SYMBOL_CLASS = "".join(f"{_char(a)}-{_char(b)}" for a, b in SYMBOL_RANGES + SIGN_RANGES)
+# Plain letters fail one look at three ranges before the many ranges of the class are tried.
+SYMBOL_CHAR = rf"(?=[\x{{A9}}\x{{AE}}\x{{203C}}-\x{{10FFFF}}])[{SYMBOL_CLASS}]"
 KEYCAP_RE = f"[{KEYCAP_BASES}]{_char(SELECTOR)}?{_char(KEYCAP)}"
 # A symbol with what belongs to it: selectors, and joiners only between symbols. Joiners and
 # selectors elsewhere are part of the words they stand in.
-UNIT_RE = f"[{SYMBOL_CLASS}](?:{_char(SELECTOR)}|{_char(JOINER)}(?=[{SYMBOL_CLASS}]))*"
-SYMBOL_RE = f"[{SYMBOL_CLASS}]|{KEYCAP_RE}"
+UNIT_RE = f"{SYMBOL_CHAR}(?:{_char(SELECTOR)}|{_char(JOINER)}(?=[{SYMBOL_CLASS}]))*"
+SYMBOL_RE = f"{SYMBOL_CHAR}|{KEYCAP_RE}"
 STRIP_RE = f"(?:{UNIT_RE}|{KEYCAP_RE})+"
 
 
@@ -109,7 +111,7 @@ def emoji_demojize(c: Column | str, names: Mapping[str, str] | None = None) -> C
         return F.when(piece.rlike(f"^[{SYMBOL_CLASS}]"), F.concat(
             F.coalesce(F.try_element_at(mapping, first), first), rest)).otherwise(piece)
 
-    pieces = F.split(keys, f"(?=[{SYMBOL_CLASS}])", -1)
+    pieces = F.split(keys, f"(?={SYMBOL_CHAR})", -1)
     described = F.array_join(F.transform(pieces, named), "")
     return F.replace(F.when(text.rlike(SYMBOL_RE), described).otherwise(text), F.lit("_"), F.lit(" "))
 

@@ -11,6 +11,7 @@ from voxloom.functions.text import _c, null_text, term_counts
 from voxloom.session import checkpointed
 
 GRAM = 3
+BROADCAST_GRAMS = 1_000_000   # profile rows up to which the table is broadcast
 SCALE = 1_000_000     # log-probabilities as integers: sums do not depend on row order
 WORD_RE = r"\p{L}+"
 UNKNOWN = "unknown"
@@ -57,8 +58,8 @@ def identify_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame
                       languages: Sequence[str], name: str = "language") -> DataFrame:
     """(id, language): the best profile; ``unknown`` without any known gram.
 
-    The table has one row per gram with a weight per language; Spark broadcasts it by its
-    measured size, or shuffles. Every document sums its grams before they are shuffled by id.
+    The table has one row per gram with a weight per language; it is broadcast if its counted
+    rows are few, else joined by shuffle. Every document sums its grams before they are shuffled by id.
     """
     def weight_of(i: int, column: str) -> Column:
         return F.max(F.when(F.col("language") == languages[i], F.col(column)))
@@ -68,6 +69,8 @@ def identify_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame
                          .alias("m")).scalar()
     table = (profiles.groupBy("gram").agg(*[weight_of(i, "weight").alias(f"w{i}") for i in every])
              .select("gram", *[F.coalesce(f"w{i}", floor[f"m{i}"]).alias(f"w{i}") for i in every]))
+    if profiles.count() <= BROADCAST_GRAMS:  # profiles are written, so this reads their size
+        table = F.broadcast(table)
     # Outer fan-out keeps documents without a word, so no second join is needed.
     grams = (df.select(id_col, F.inline_outer(term_counts(_words(text))))
              .select(id_col, "tf", _padded("term").alias("_w"))

@@ -16,6 +16,7 @@ from voxloom.schema import require_columns
 from voxloom.session import checkpointed
 
 MAX_ITER = 2000
+TOLERANCE = 1e-4   # usual for these two classifiers; it, not MAX_ITER, ends a fit
 DEPTH = 2   # levels in which the gradients of the tasks are added up
 MODEL_NAMES = {"logreg": "LogReg", "svm": "LinearSVM"}
 
@@ -25,12 +26,12 @@ def _classifier(kind: str, n_rows: int, max_iter: int):
     reg = 1.0 / max(n_rows, 1)
     if kind == "logreg":
         return LogisticRegression(family="multinomial", regParam=reg, elasticNetParam=0.0,
-                                  standardization=False, maxIter=max_iter, aggregationDepth=DEPTH,
+                                  standardization=False, maxIter=max_iter, tol=TOLERANCE, aggregationDepth=DEPTH,
                                   featuresCol="features", labelCol="label_id",
                                   predictionCol="prediction")
     if kind == "svm":
         return OneVsRest(classifier=LinearSVC(regParam=reg, standardization=False,
-                                              maxIter=max_iter, aggregationDepth=DEPTH),
+                                              maxIter=max_iter, tol=TOLERANCE, aggregationDepth=DEPTH),
                          featuresCol="features", labelCol="label_id",
                          predictionCol="prediction", parallelism=3)
     raise ValueError(f"unknown classifier {kind!r}")
