@@ -185,13 +185,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                         F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
     blocks = written(_blocks(texts, window, gram), "blocks")
-    shared = (blocks.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-              .filter("low < high").select("anchor"))
+    # The sides that joins are unique on are written, so that a crowded key of the other side, dealt
+    # out for the join alone, can be split at run time.
+    shared = written(blocks.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                     .filter("low < high").select("anchor"), "shared-anchors")
     blocks = written(blocks.join(shared, "anchor", "left_semi"), "shared-blocks")
     # The greedy step: whole blocks held by a smaller document.
     index = written(blocks.groupBy("anchor", "block").agg(F.min("id").alias("least")), "block-index")
-    split = (index.groupBy("anchor").agg(F.min("least").alias("low"), F.max("least").alias("high"))
-             .filter("low < high").select("anchor", F.lit(True).alias("split")))
+    split = written(index.groupBy("anchor").agg(F.min("least").alias("low"), F.max("least").alias("high"))
+                    .filter("low < high").select("anchor", F.lit(True).alias("split")), "split-anchors")
     known = (blocks.join(index, ["anchor", "block"])
              .withColumn("whole", F.col("least") < F.col("id")))
     known = known.join(split, "anchor", "left").filter("whole or split")
@@ -209,8 +211,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     open_docs = first_pass.filter("rest is not null").select("id", "row", F.col("rest").alias("text"), "factors", "pending")
     # Factor boundaries: windows of pending blocks held by a smaller document.
     checked = written(_windows(open_docs, window), "windows")
-    reference = (checked.groupBy("anchor", "hash").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-                 .filter("low < high").select("anchor", "hash", "low"))
+    reference = written(checked.groupBy("anchor", "hash").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                        .filter("low < high").select("anchor", "hash", "low"), "window-index")
     matched = checked.join(reference, ["anchor", "hash"]).filter("low < id")
     more = matched.groupBy("id", "row").agg(F.collect_set(
         F.struct("first", (F.col("first") + window).alias("end"))).alias("found"))
