@@ -67,4 +67,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
 }
-SQL: dict[str, str] = {"op3_chat": chat.SQL, "op6_topk": topk.SQL}
+SQL: dict[str, str] = {"op3_chat": chat.SQL, "op6_topk": topk.SQL, "op10_substrings": substrings.SQL}

@@ -221,3 +221,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     done = first_pass.filter("rest is null").select("id", "n_words", "n_removed", "kept_sha256")
     result = done.unionByName(_judged(second.select("id", "text", "all"), "all", ["id"]))
     return result.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+SQL = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w)),
+firsts AS (SELECT k, min(doc_id) AS low FROM windows GROUP BY k),
+gone AS (SELECT doc_id, i FROM windows JOIN firsts USING (k) WHERE low < doc_id),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+marked AS (
+  SELECT words.doc_id, word, p, coalesce(max(i) OVER (PARTITION BY words.doc_id ORDER BY p), 0) > p - {WINDOW} AND
+    max(i) OVER (PARTITION BY words.doc_id ORDER BY p) IS NOT NULL AS removed
+  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.p),
+kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT removed) AS left_over
+  FROM marked GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
