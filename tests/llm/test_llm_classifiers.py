@@ -63,6 +63,15 @@ def test_held_out_rows_are_never_learnt(spark):
     assert len(texts) == 6 and sum(ys) == 3
 
 
+def test_a_text_beyond_the_budget_is_passed_over(spark):
+    docs = documents(spark, [f"text number {i}" if i % 3 else f"long {i} " * 200 for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    texts, ys = quality.training.labelled_sample(docs, labels, "quality", 1000, 1400)
+    ids = {int(t.split()[-1]) for t in texts}
+    assert ids == {i for i in range(60) if i % 3 and zlib.crc32(str(i).encode()) % 5 != 0}
+    assert len(ys) == len(ids)
+
+
 # About 110 and 100 held-out rows of the rarer class: floors of three standard errors below what is usual.
 @pytest.mark.parametrize("name, label, least", [("op5_quality", "quality", 0.98), ("op1_toxicity", "toxic", 0.91)])
 def test_held_out_quality(spark, name, label, least):

@@ -119,6 +119,24 @@ def test_blocks_of_items():
     assert [[i for i, _ in b] for b in decon.item_blocks(items, 6)] == [[0, 1], [2], [3], [4]]
 
 
+def test_blocks_of_a_benchmark_find_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [[f"i{k}w{i}" for i in range(40)] for k in range(4)]
+    texts = [" ".join([*(f"n{rng.randrange(900)}" for _ in range(60)), *(items[k % 4] if k % 2 else [])]) for k in range(12)]
+    docs = documents(spark, texts)
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+
+    def outcome():
+        leaks = {(r.doc_id, r.item_id) for r in decon.find(docs, bench).collect()}
+        return leaks, {r.doc_id for r in decon.keep_clean(docs, bench).collect()}
+
+    whole = outcome()
+    assert whole == ({(k, k % 4) for k in range(1, 12, 2)}, set(range(0, 12, 2)))
+    blocks = decon.item_blocks
+    monkeypatch.setattr(decon, "item_blocks", lambda found: blocks(found, 50))
+    assert outcome() == whole
+
+
 def test_svd_keeps_inner_products(spark):
     ship_package(spark)
     rng = np.random.default_rng(0)

@@ -325,7 +325,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no leak; no shuffle."""
     spark = docs.sparkSession
     ship_package(spark)
+    kept = docs
     for block in item_blocks(item_terms(benchmark)):
+        # Fitted on all documents: a block does not depend on what the blocks before it took out.
         shared = spark.sparkContext.broadcast(Retriever(docs, block))
 
         def run(batches, shared=shared):
@@ -335,5 +337,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     clean[[texts.rows.start + row for row, _ in shared.value.leaks(texts)]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept

@@ -154,7 +154,7 @@ def _judged(docs: DataFrame, ranges: str, carry: list[str]) -> DataFrame:
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """anchor, hash, id, row, first of each window of the pending blocks; repeats in a block once."""
+    """anchor, hash, id, row, first of each window of the pending blocks."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for texts in words.slices(words.plain_column(batch, "text"), _SLICE):

@@ -16,7 +16,8 @@ crowded annulus (equal vectors, for instance) is spread. Broadcast are only the
 per annulus.
 
 Components become floor(scale * x); scores are integers. Vectors that are null or hold null, NaN or
-infinite components, and rows without id, take no part. Shorter vectors count as padded with zeros.
+infinite components, and rows without id, take no part; nor do components of 3e16 or more, whose
+scaled value a long cannot hold. Shorter vectors count as padded with zeros.
 Of rows with the same id the smallest vector counts. Ties go to the smaller id; fewer candidates
 than k give fewer rows; an empty table gives none.
 """

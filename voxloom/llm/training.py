@@ -24,9 +24,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
                     max_chars: int) -> tuple[list[str], list[int]]:
     """Texts and 0/1 labels to learn from, in a fixed pseudo-random order.
 
-    Of each class the ``rows_per_class`` rows with the smallest hash of ``doc_id`` are taken, as
-    long as their texts together stay within ``max_chars``: a bounded sample, whatever the size of
-    the tables. Labels that are null or not 0/1, and rows that are held out, are left out. Of
+    Of each class the ``rows_per_class`` rows with the smallest hash of ``doc_id`` are taken. A text
+    that no longer fits into ``max_chars`` is passed over, not cut, and those behind it still count:
+    a bounded sample, whatever the size of the tables or of a single text. Labels that are null or not 0/1, and rows that are held out, are left out. Of
     repeated rows of a ``doc_id`` the smallest text counts; null texts are empty.
     """
     rank = F.xxhash64("doc_id")
@@ -39,8 +39,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
                 .orderBy(rank, "doc_id").limit(rows_per_class).collect())
         budget = max_chars // 2
         for r in rows:
-            budget -= r["_n"]
-            if budget >= 0:
+            if r["_n"] <= budget:
+                budget -= r["_n"]
                 chosen.append((r["doc_id"], y))
     if not chosen:
         return [], []
