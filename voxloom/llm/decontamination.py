@@ -4,7 +4,9 @@ Texts are terms (runs of ASCII letters, digits and non-ASCII characters, lower-c
 benchmark items are cut into passages of ``PASSAGE`` terms, half overlapping.
 
 1. One pass over all documents counts in how many half passages each benchmark term stands: the
-   inverse document frequencies. Terms in ``COMMON`` or more of them have no weight.
+   inverse document frequencies. Terms in ``COMMON`` or more of them have no weight, but the rarer
+   half of each benchmark passage always has: an item that leaked into a third of all documents
+   makes its own terms common and is found all the same.
 2. A distributed randomised SVD of the TF-IDF matrix of the benchmark passages: tasks multiply
    their rows with a random matrix, the basis comes from the sum of the Gram matrices, the terms'
    latent vectors from sums per term. Only matrices of ``RANK + OVERSAMPLE`` columns and the term
@@ -198,6 +200,16 @@ def term_vectors(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndarra
     return (small @ vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
 
 
+def _weighted(frequency: np.ndarray, total: int, passages: list[np.ndarray]) -> np.ndarray:
+    """Which terms have a weight: those that are not common, and the rarer half of every passage."""
+    out = frequency < COMMON * total
+    for number in passages:
+        least = -(-len(number) // 2)
+        if out[number].sum() < least:
+            out[number[np.argsort(frequency[number], kind="stable")[:least]]] = True
+    return out
+
+
 class Retriever:
     """Latent index and verification of a block of items; the only thing sent to the tasks."""
 
@@ -205,19 +217,16 @@ class Retriever:
         self.items = items
         self.vocabulary = Vocabulary(np.concatenate([h for _, h in items]))
         frequency, total = _document_frequencies(docs, self.vocabulary)
-        idf = np.where(frequency >= COMMON * total, 0.0, np.log(1 + total / frequency))
-        if not idf.any():  # a corpus so small that every term is common
-            idf[:] = 1.0
+        terms = [(i, np.unique(self.vocabulary.find(h[a: a + PASSAGE])[1]))
+                 for i, (_, h) in enumerate(items) for a in range(0, max(len(h) - _HALF, 1), _HALF)]
+        idf = np.where(_weighted(frequency, total, [number for _, number in terms]), np.log(1 + total / frequency), 0.0)
         self.owner, passages, norms = [], [], []
-        for i, (_, h) in enumerate(items):
-            for a in range(0, max(len(h) - _HALF, 1), _HALF):
-                number = np.unique(self.vocabulary.find(h[a: a + PASSAGE])[1])
-                weight = idf[number]
-                if weight.any():
-                    norm = np.sqrt((weight * weight).sum())
-                    passages.append((number, weight / norm))
-                    self.owner.append(i)
-                    norms.append(norm)
+        for i, number in terms:
+            weight = idf[number]
+            norm = np.sqrt((weight * weight).sum())
+            passages.append((number, weight / norm))
+            self.owner.append(i)
+            norms.append(norm)
         self.weighted = idf > 0
         self.mass = MASS * np.array(norms, dtype=np.float32)
         latent = term_vectors(docs.sparkSession, passages, len(idf)) if passages else np.zeros((len(idf), 1), np.float32)
