@@ -1,5 +1,7 @@
 import math
+import random
 
+import porter
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,8 +160,26 @@ PORTER = {
 }
 
 
-def test_porter_published_examples():
-    assert {w: S.porter_stem(w) for w in PORTER} == PORTER
+def stems(spark, words):
+    [row] = spark.createDataFrame([(words,)], "t array<string>").select(S.stem_tokens("t").alias("s")).collect()
+    return dict(zip(words, row.s.split(" "), strict=True))
+
+
+def test_porter_published_examples(spark):
+    assert stems(spark, list(PORTER)) == PORTER
+    assert {w: porter.porter_stem(w) for w in PORTER} == PORTER
+
+
+def test_stems_are_those_of_plain_python(spark):
+    rng = random.Random(7)
+    ends = [s for s, _ in porter.STEP2 + porter.STEP3] + porter.STEP4 + [
+        "s", "es", "sses", "ies", "ied", "eed", "ed", "ing", "y", "e", "ll", "logi", ""]
+    words = {*porter.IRREGULAR, "Ünïes".lower(), "été", "x9ing", "a_b", "ееed", "日本ing"}
+    while len(words) < 20_000:
+        word = "".join(rng.choices("aeiouybcdlmstwxzrngp", k=rng.randrange(7))) + rng.choice(ends) + rng.choice(["", rng.choice(ends)])
+        if len(word) > 1 and "yy" not in word:
+            words.add(word)
+    assert stems(spark, sorted(words)) == {w: porter.porter_stem(w) for w in words}
 
 
 def test_stem_text(spark):

@@ -21,7 +21,7 @@ def plan(df):
 
 
 NATIVE = ["clean_text", "extract_aspects", "aspect_sentences", "emoji_demojize", "tokenize",
-          "preprocess", "corpus_aspects", "keyword_theta_join", "vocabulary", "language_id"]
+          "preprocess", "corpus_aspects", "keyword_theta_join", "vocabulary", "language_id", "stem_text"]
 
 
 @pytest.mark.parametrize("name", NATIVE)

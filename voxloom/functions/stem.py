@@ -1,172 +1,83 @@
-"""Porter stemming of English tokens.
+"""Porter stemming of English tokens, in expressions.
 
 The published 1980 suffix rules with the usual later extensions (short irregular forms,
-``-ied``/``-ies`` on four-letter words, ``-logi``, ``-fulli``). Tokens arrive as Arrow
-batches that Spark splits; each worker stems a word once and remembers it.
+``-ied``/``-ies`` on four-letter words, ``-logi``, ``-fulli``). Every step is one regular
+expression over the tokens of a text, set apart by single blanks, so a text is stemmed where it
+lies: no worker, no shuffle of tokens and no table of words that grows with the data.
+
+Letters other than a, e, i, o, u are consonants; a ``y`` is a vowel after a consonant. A run of
+three or more y at the end of a token is not told apart.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from voxloom.functions.text import null_text, tokenize
 
 STEM_MODES = ["unstemmed", "stemmed"]
 
-# --- fixed values: irregular forms and suffix rules ---------------------------
-IRREGULAR = {
-    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie",
-    "news": "news", "innings": "inning", "inning": "inning", "outings": "outing",
-    "outing": "outing", "cannings": "canning", "canning": "canning", "howe": "howe",
-    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
-}
-STEP2 = [
-    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
-    ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
-    ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
-    ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
-    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
-]
-STEP3 = [
-    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
-    ("ful", ""), ("ness", ""),
-]
-STEP4 = [
-    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
-    "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
-]
-# ----------------------------------------------------------------------------
-
-
-def _shape(stem: str) -> str:
-    """'c' / 'v' per letter; y is a vowel after a consonant."""
-    out = []
-    for i, ch in enumerate(stem):
-        vowel = ch in "aeiou" or (ch == "y" and i > 0 and out[-1] == "c")
-        out.append("v" if vowel else "c")
-    return "".join(out)
-
-
-def _measure(stem: str) -> int:
-    return _shape(stem).count("vc")
-
-
-def _has_vowel(stem: str) -> bool:
-    return "v" in _shape(stem)
-
-
-def _double_consonant(word: str) -> bool:
-    return len(word) > 1 and word[-1] == word[-2] and _shape(word)[-1] == "c"
-
-
-def _short_end(word: str) -> bool:
-    shape = _shape(word)
-    if len(word) == 2:
-        return shape == "vc"
-    return shape.endswith("cvc") and word[-1] not in "wxy"
+#: Set before tokens that stay as they are, and behind stems that lost ``-ed`` or ``-ing``.
+DONE, CUT = "#", "~"
+_NOT = f" {DONE}{CUT}"
 
+# What a stem begins with. The classes leave no choice of where a run ends, so nothing backtracks.
+_ANY = f"[^{_NOT}]*"
+_TO_VOWEL = f"(?:[^aeiou{_NOT}][^aeiouy{_NOT}]*[aeiouy]|[aeiou])"
+_M1 = f"{_TO_VOWEL}[aeiou]*[^aeiou{_NOT}]"  # measure of one or more
+_M2 = f"{_M1}[^aeiouy{_NOT}]*[aeiouy][aeiou]*[^aeiou{_NOT}]"  # of two or more
+#: A whole short stem: consonants, vowel, consonant other than w, x, y; or vowel, consonant.
+_SHORT = f"(?:[^aeiou{_NOT}][^aeiouy{_NOT}]*[aeiouy][^aeiouwxy{_NOT}]|[aeiou][^aeiou{_NOT}])"
 
-def _plural(w: str) -> str:
-    if w.endswith("sses"):
-        return w[:-2]
-    if w.endswith("ies"):
-        return w[:-1] if len(w) == 4 else w[:-2]
-    return w[:-1] if w.endswith("s") and not w.endswith("ss") else w
 
+def _token(pattern: str, new: str) -> tuple[str, str]:
+    """A step for whole tokens. The blank before is matched, not looked for: that is much faster."""
+    return f" (?:{pattern})(?= )", f" {new}"
 
-def _past(w: str) -> str:
-    if w.endswith("ied"):
-        return w[:-1] if len(w) == 4 else w[:-2]
-    if w.endswith("eed"):
-        return w[:-1] if _measure(w[:-3]) > 0 else w
-    for suffix in ("ed", "ing"):
-        if w.endswith(suffix):
-            stem = w[:-len(suffix)]
-            if not _has_vowel(stem):
-                return w
-            if stem.endswith(("at", "bl", "iz")):
-                return stem + "e"
-            if _double_consonant(stem):
-                return stem if stem[-1] in "lsz" else stem[:-1]
-            if _measure(stem) == 1 and _short_end(stem):
-                return stem + "e"
-            return stem
-    return w
-
-
-def _final_y(w: str) -> str:
-    if w.endswith("y") and len(w) > 2 and _shape(w[:-1])[-1] == "c":
-        return w[:-1] + "i"
-    return w
-
-
-def _rules(w: str, rules: list[tuple[str, str]]) -> str:
-    """The longest suffix in the list decides; it is replaced after a positive measure."""
-    matching = [(s, r) for s, r in rules if w.endswith(s)]
-    if not matching:
-        return w
-    suffix, repl = max(matching, key=lambda sr: len(sr[0]))
-    stem = w[:-len(suffix)]
-    return stem + repl if _measure(stem) > 0 else w
-
-
-def _derived(w: str) -> str:
-    if w.endswith("alli") and _measure(w[:-4]) > 0:
-        return _derived(w[:-4] + "al")
-    if w.endswith("logi"):
-        return w[:-1] if _measure(w[:-3]) > 0 else w
-    return _rules(w, STEP2)
-
-
-def _bare(w: str) -> str:
-    matching = [s for s in STEP4 if w.endswith(s)]
-    if not matching:
-        return w
-    suffix = max(matching, key=len)
-    stem = w[:-len(suffix)]
-    if _measure(stem) <= 1 or (suffix == "ion" and stem[-1] not in "st"):
-        return w
-    return stem
 
+# --- fixed values: irregular forms and suffix rules ---------------------------
+STEPS: list[tuple[str, str]] = [
+    # Irregular forms and tokens of one or two letters.
+    _token("(sk)ies", f"{DONE}$1y"),
+    _token("(d|l|t)ying", f"{DONE}$1ie"),
+    _token(f"([^{_NOT}]{{1,2}}|sky|news|howe|proceed|exceed|succeed)|(inning|outing|canning)s?", f"{DONE}$1$2"),
+    # Plurals.
+    _token(f"([^{_NOT}]ie)s|({_ANY}(?:ss|i))es|({_ANY}[^s{_NOT}])s", "$1$2$3"),
+    # Past and progressive forms; what is left gets an e, loses a doubled consonant or stays.
+    _token(f"([^{_NOT}]ie)d|({_ANY}i)ed|({_M1}{_ANY}ee)d", "$1$2$3"),
+    _token(f"({_TO_VOWEL}{_ANY})(?:(?<!e)ed|ing)", f"$1{CUT}"),
+    (f"(at|bl|iz| {_SHORT}){CUT}", "$1e"),
+    (f"(?:([^aeiouylsz{_NOT}])\\1|(?<=[^aeiouy{_NOT}])(y)y){CUT}", "$1$2"),
+    (CUT, ""),
+    # A final y after a consonant.
+    _token(f"([^{_NOT}]+[^aeiouy{_NOT}]|{_ANY}[aeiou]y)y", "$1i"),
+    # Derived forms.
+    _token(f"({_M1}{_ANY}al)li|(?={_M1}{_ANY}ogi )({_ANY}log)i", "$1$2"),
+    _token(f"({_M1}{_ANY})(?:(at)(?:ional|or)|(?<!iz)(at)ion|(enc|anc|bl)i|(iz)ation|(iv)iti)", "$1$2$3$4$5$6e"),
+    _token(f"({_M1}{_ANY})(?:(?<!a)(tion)al|(ize)r|(al)(?:ism|iti)|(ent|e|ous)li|(ive|ous|ful)ness|(ful)li)", "$1$2$3$4$5$6$7"),
+    _token(f"({_M1}{_ANY}b)iliti", "$1le"),
+    _token(f"({_M1}{_ANY})(?:(ic)(?:ate|iti|al)|ative|(al)ize|ful|ness)", "$1$2$3"),
+    _token(f"({_M2}{_ANY})(?:al|[ae]nce|er|ic|[ai]ble|ant|ement|(?<!e)ment|(?<!m)ent|(?<=[st])ion|ou|ism|ate|iti|ous|ive|ize)", "$1"),
+    # A final e, and one of two final l.
+    _token(f"(?!{_SHORT}e )({_M1}{_ANY})e", "$1"),
+    _token(f"(?={_M2}{_ANY}l )({_ANY}l)l", "$1"),
+    (DONE, ""),
+]
+# ----------------------------------------------------------------------------
 
-def _tidy(w: str) -> str:
-    if w.endswith("e"):
-        stem = w[:-1]
-        m = _measure(stem)
-        if m > 1 or (m == 1 and not _short_end(stem)):
-            w = stem
-    if w.endswith("ll") and _measure(w[:-1]) > 1:
-        w = w[:-1]
-    return w
-
-
-@lru_cache(maxsize=1 << 18)
-def porter_stem(word: str) -> str:
-    w = word.lower()
-    if w in IRREGULAR:
-        return IRREGULAR[w]
-    if len(w) <= 2:
-        return w
-    w = _final_y(_past(_plural(w)))
-    return _tidy(_bare(_rules(_derived(w), STEP3)))
 
-
-@F.pandas_udf(StringType())
-def _stem_tokens(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda ts: " ".join([porter_stem(t) for t in ts]))
+def stem_tokens(tokens: Column | str) -> Column:
+    """Array of lower-case tokens -> their stems, joined by a blank."""
+    out = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+    for pattern, new in STEPS:
+        out = F.regexp_replace(out, pattern, new) if new else F.translate(out, pattern, "")
+    return F.trim(out)
 
 
 def stem_text(c: Column | str) -> Column:
-    """Tokens stemmed and joined by a blank.
-
-    Row-local: no token shuffle, and no vocabulary table that would grow with the data.
-    """
-    return _stem_tokens(tokenize(c))
+    """Tokens of a text, stemmed and joined by a blank."""
+    return stem_tokens(tokenize(c))
 
 
 def stem_variant(c: Column | str, mode: str) -> Column:

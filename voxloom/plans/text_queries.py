@@ -13,7 +13,6 @@ from voxloom.operators import corpus, degradation, labeling
 from voxloom.plans import views as V
 from voxloom.plans.registry import query
 from voxloom.schema import LABELS, TRANSLATION_CHARS
-from voxloom.session import ship_package
 
 KEYWORDS = ["the", "la", "und", "of the"]
 
@@ -147,7 +146,6 @@ def ngrams(spark, d):
 
 @query("stem_text")
 def stem_text(spark, d):
-    ship_package(spark)
     return documents(spark, d).select(
         F.col("doc_id").alias("id"), S.stem_text("text").alias("stemmed"))
 
