@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,32 @@ def test_blocks_of_a_benchmark_find_the_same(spark, monkeypatch):
     assert outcome() == whole
 
 
+def test_leaks_of_a_benchmark_beyond_the_rank(spark):
+    rng = random.Random(3)
+    def pick(n):
+        return [f"w{rng.randrange(8000)}" for _ in range(n)]
+
+    items = [pick(rng.randrange(15, 45)) for _ in range(1250)]
+    texts, told = [], []
+    for i in range(0, 1250, 10):
+        n = len(items[i])
+        kept = sorted(rng.sample(range(n), -(-n * 13 // 20)))  # 65 % of the terms
+        told.append((len(texts), i))
+        texts.append(" ".join(pick(80) + [items[i][k] for k in kept] + pick(60)))
+    texts += [" ".join(pick(300)) for _ in range(50)]
+    docs = documents(spark, texts)
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decon.find(docs, bench).collect()}
+
+    def share(d, i):
+        item = np.array([zlib.crc32(x.encode()) for x in items[i]], np.uint64)
+        return decon._compare(decon._masks(item), [zlib.crc32(x.encode()) for x in texts[d].split()], item)[0] / len(item)
+
+    assert all(share(*x) >= decon.SHARE for x in told) and all(share(*x) >= decon.SHARE_WITH_ANSWER for x in got)
+    lost = [x for x in told if x not in got]
+    assert not lost, f"{len(lost)} of {len(told)}"
+
+
 def test_svd_keeps_inner_products(spark):
     ship_package(spark)
     rng = np.random.default_rng(0)

@@ -7,7 +7,7 @@ benchmark items are cut into passages of ``PASSAGE`` terms, half overlapping.
    inverse document frequencies. Terms in ``COMMON`` or more of them have no weight, but the rarer
    half of each benchmark passage always has: an item that leaked into a third of all documents
    makes its own terms common and is found all the same.
-2. A distributed randomised SVD of the TF-IDF matrix of the benchmark passages: tasks multiply
+2. A distributed randomised SVD of the TF-IDF matrix of ``RANK`` benchmark passages each: tasks multiply
    their rows with a random matrix, the basis comes from the sum of the Gram matrices, the terms'
    latent vectors from sums per term. Only matrices of ``RANK + OVERSAMPLE`` columns and the term
    vectors meet on the driver.
@@ -19,7 +19,8 @@ benchmark items are cut into passages of ``PASSAGE`` terms, half overlapping.
 
 Scale: two passes, nothing of a document is shuffled, the results are the leaks alone. What is
 broadcast is bounded: items are taken in blocks of at most ``BLOCK_TERMS`` terms, larger benchmarks
-take more blocks. A block of up to ``RANK`` passages loses nothing to the SVD.
+take more blocks. The passages of a block go to indexes of at most ``RANK`` passages, each with its
+own SVD, which loses nothing to it; the indexes of a block share its passes over the documents.
 
 Null texts are empty; items without terms leak nowhere. Repeated rows are judged alike, of repeated
 items each counts; null ids are carried along; ties keep the smaller position. Empty tables give no
@@ -210,8 +211,44 @@ def _weighted(frequency: np.ndarray, total: int, passages: list[np.ndarray]) ->
     return out
 
 
+class Latent:
+    """Latent index of at most ``RANK`` passages (term numbers, weights), the first of them number ``first``."""
+
+    def __init__(self, spark: SparkSession, passages: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, mass: np.ndarray, first: int):
+        self.first, self.mass = first, mass
+        self.terms = np.unique(np.concatenate([n for n, _ in passages]))
+        own = [(np.searchsorted(self.terms, n), w) for n, w in passages]
+        latent = term_vectors(spark, own, len(self.terms))
+        rows = np.array([w @ latent[n] for n, w in own], dtype=np.float32)
+        self.index = rows / np.maximum(np.sqrt((rows * rows).sum(1, keepdims=True)), 1e-12)
+        self.latent = latent * idf[self.terms, None].astype(np.float32)
+
+    def near(self, held: np.ndarray, number: np.ndarray, row_of):
+        """(row, half passage, passage) of each document passage near one of these; ``held`` are the half
+        passages, ascending, that hold the terms ``number``."""
+        place = np.minimum(np.searchsorted(self.terms, number), len(self.terms) - 1)
+        known = self.terms[place] == number
+        held, place = held[known], place[known]
+        if not len(held):
+            return
+        new = np.flatnonzero(np.diff(held, prepend=-1))
+        sums = np.add.reduceat(self.latent[place], new, axis=0)
+        own = held[new]
+        row = row_of(own)
+        # A passage is a half with the next one of its row, if that holds anything.
+        after = np.zeros(len(own), dtype=bool)
+        after[:-1] = (own[1:] == own[:-1] + 1) & (row[1:] == row[:-1])
+        joined = sums.copy()
+        joined[after] += sums[1:][after[:-1]]
+        for vectors in (joined, sums):
+            norm = np.sqrt((vectors * vectors).sum(1, keepdims=True))
+            near = vectors @ self.index.T >= np.maximum(COSINE * norm, self.mass)
+            for p, i in zip(*np.nonzero(near), strict=True):
+                yield int(row[p]), int(own[p]), self.first + int(i)
+
+
 class Retriever:
-    """Latent index and verification of a block of items; the only thing sent to the tasks."""
+    """Latent indexes and verification of a block of items; the only thing sent to the tasks."""
 
     def __init__(self, docs: DataFrame, items: list[tuple[int, np.ndarray]]):
         self.items = items
@@ -228,11 +265,10 @@ class Retriever:
             self.owner.append(i)
             norms.append(norm)
         self.weighted = idf > 0
-        self.mass = MASS * np.array(norms, dtype=np.float32)
-        latent = term_vectors(docs.sparkSession, passages, len(idf)) if passages else np.zeros((len(idf), 1), np.float32)
-        rows = np.array([w @ latent[n] for n, w in passages], dtype=np.float32).reshape(-1, latent.shape[1])
-        self.index = rows / np.maximum(np.sqrt((rows * rows).sum(1, keepdims=True)), 1e-12)
-        self.latent = latent * idf[:, None].astype(np.float32)
+        mass = MASS * np.array(norms, dtype=np.float32)
+        # As many directions as passages: an index of more of them than RANK would lose leaks.
+        self.indexes = [Latent(docs.sparkSession, passages[a: a + RANK], idf, mass[a: a + RANK], a)
+                        for a in range(0, len(passages), RANK)]
         self.masks = [_masks(h) for _, h in items]
 
     def candidates(self, texts: words.Texts, h: np.ndarray):
@@ -241,25 +277,14 @@ class Retriever:
         at, number = self.vocabulary.find(h)
         heavy = self.weighted[number]
         at, number = at[heavy], number[heavy]
-        if not len(at) or not len(self.index):
+        if not len(at):
             return
         # A term counts once per half passage, or a word repeated all over would drown an item.
         keys = np.unique(half[at] * len(self.weighted) + number)
         held, number = keys // len(self.weighted), keys % len(self.weighted)
-        new = np.flatnonzero(np.diff(held, prepend=-1))
-        sums = np.add.reduceat(self.latent[number], new, axis=0)
-        own = held[new]
-        row = np.searchsorted(first, own, side="right") - 1
-        # A passage is a half with the next one of its row, if that holds anything.
-        after = np.zeros(len(own), dtype=bool)
-        after[:-1] = (own[1:] == own[:-1] + 1) & (row[1:] == row[:-1])
-        joined = sums.copy()
-        joined[after] += sums[1:][after[:-1]]
-        for vectors in (joined, sums):
-            norm = np.sqrt((vectors * vectors).sum(1, keepdims=True))
-            near = vectors @ self.index.T >= np.maximum(COSINE * norm, self.mass)
-            for p, i in zip(*np.nonzero(near), strict=True):
-                yield int(row[p]), int((own[p] - first[row[p]]) * _HALF), self.owner[i]
+        for index in self.indexes:
+            for row, own, passage in index.near(held, number, lambda x: np.searchsorted(first, x, side="right") - 1):
+                yield row, int((own - first[row]) * _HALF), self.owner[passage]
 
     def leaks(self, texts: words.Texts):
         """{(row, item): (share, answer, position)} of the slice."""
