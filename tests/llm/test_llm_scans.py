@@ -164,6 +164,21 @@ def test_leaks_of_a_benchmark_beyond_the_rank(spark):
     assert not lost, f"{len(lost)} of {len(told)}"
 
 
+def test_a_passage_of_a_long_item_is_a_leak(spark):
+    rng = random.Random(6)
+    def noise(n):
+        return [f"n{rng.randrange(5000)}" for _ in range(n)]
+
+    item = [f"p{i}" for i in range(200)]
+    texts = [noise(90) + item[50:150] + noise(70), noise(45) + item[64:128] + noise(80), noise(40) + item[:20] + noise(120),
+             noise(33) + item + noise(10), noise(200)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = documents(spark, [" ".join(x) for x in texts])
+    got = {r.doc_id: r for r in decon.find(docs, bench).collect()}
+    assert set(got) == {0, 1, 3} and got[0].share == 1.0 and got[3].share == 1.0 and got[1].share >= 0.9
+    assert {r.doc_id for r in decon.keep_clean(docs, bench).collect()} == {2, 4}
+
+
 def test_svd_keeps_inner_products(spark):
     ship_package(spark)
     rng = np.random.default_rng(0)

@@ -14,8 +14,9 @@ benchmark items are cut into passages of ``PASSAGE`` terms, half overlapping.
 3. A second pass projects every passage of every document (sums of its terms' vectors) and takes as
    candidates the benchmark passages with a cosine of ``COSINE`` or more and ``MASS`` of the weight.
 4. Each candidate is verified on the text around the passage, by the longest common subsequence of
-   terms: ``SHARE`` of the item's terms or more is a leak. With the item's answer (its last
-   ``ANSWER`` terms) standing there word for word, ``SHARE_WITH_ANSWER`` is enough: a paraphrase.
+   terms with the whole item and with its passage, of which the larger share counts: ``SHARE`` or
+   more is a leak. With the item's answer (its last ``ANSWER`` terms) standing there word for word,
+   ``SHARE_WITH_ANSWER`` is enough: a paraphrase.
 
 Scale: two passes, nothing of a document is shuffled, the results are the leaks alone. What is
 broadcast is bounded: items are taken in blocks of at most ``BLOCK_TERMS`` terms, larger benchmarks
@@ -254,15 +255,15 @@ class Retriever:
         self.items = items
         self.vocabulary = Vocabulary(np.concatenate([h for _, h in items]))
         frequency, total = _document_frequencies(docs, self.vocabulary)
-        terms = [(i, np.unique(self.vocabulary.find(h[a: a + PASSAGE])[1]))
+        terms = [(i, a, np.unique(self.vocabulary.find(h[a: a + PASSAGE])[1]))
                  for i, (_, h) in enumerate(items) for a in range(0, max(len(h) - _HALF, 1), _HALF)]
-        idf = np.where(_weighted(frequency, total, [number for _, number in terms]), np.log(1 + total / frequency), 0.0)
+        idf = np.where(_weighted(frequency, total, [number for _, _, number in terms]), np.log(1 + total / frequency), 0.0)
         self.owner, passages, norms = [], [], []
-        for i, number in terms:
+        for i, a, number in terms:
             weight = idf[number]
             norm = np.sqrt((weight * weight).sum())
             passages.append((number, weight / norm))
-            self.owner.append(i)
+            self.owner.append((i, a))
             norms.append(norm)
         self.weighted = idf > 0
         mass = MASS * np.array(norms, dtype=np.float32)
@@ -272,7 +273,7 @@ class Retriever:
         self.masks = [_masks(h) for _, h in items]
 
     def candidates(self, texts: words.Texts, h: np.ndarray):
-        """(row, first word in the row, item) of each passage near an item."""
+        """(row, first word in the row, item, first term of its passage) of each passage near an item's."""
         half, first = _halves(texts)
         at, number = self.vocabulary.find(h)
         heavy = self.weighted[number]
@@ -284,24 +285,37 @@ class Retriever:
         held, number = keys // len(self.weighted), keys % len(self.weighted)
         for index in self.indexes:
             for row, own, passage in index.near(held, number, lambda x: np.searchsorted(first, x, side="right") - 1):
-                yield row, int((own - first[row]) * _HALF), self.owner[passage]
+                yield row, int((own - first[row]) * _HALF), *self.owner[passage]
 
     def leaks(self, texts: words.Texts):
         """{(row, item): (share, answer, position)} of the slice."""
         h = texts.hashes()
         found: dict[tuple[int, int], tuple[float, bool, int]] = {}
         tried = set()
-        for row, first, item in self.candidates(texts, h):
-            if (row, first, item) in tried:
-                continue
-            tried.add((row, first, item))
-            n = len(self.items[item][1])
+
+        def compare(row: int, first: int, masks: dict[int, int], terms: np.ndarray) -> tuple[float, bool, int]:
+            """Share of the terms that the text around the passage holds, whether their end stands there, -position."""
+            n = len(terms)
             a = int(texts.doc_first[row]) + max(first - n, 0)
             b = min(int(texts.doc_first[row]) + first + PASSAGE + n, int(texts.doc_first[row + 1]))
-            common, answer = _compare(self.masks[item], h[a:b].tolist(), self.items[item][1])
-            share = common / n
-            if share >= SHARE or answer and share >= SHARE_WITH_ANSWER:
-                best = (share, answer, -(a - int(texts.doc_first[row])))
+            common, answer = _compare(masks, h[a:b].tolist(), terms)
+            return common / n, answer, -(a - int(texts.doc_first[row]))
+
+        whole: dict[tuple[int, int, int], tuple[float, bool, int]] = {}
+        for row, first, item, begin in self.candidates(texts, h):
+            if (row, first, item, begin) in tried:
+                continue
+            tried.add((row, first, item, begin))
+            terms = self.items[item][1]
+            if (row, first, item) not in whole:
+                whole[row, first, item] = compare(row, first, self.masks[item], terms)
+            results = [whole[row, first, item]]
+            if len(terms) > PASSAGE:
+                part = terms[begin: begin + PASSAGE]
+                share, _, at = compare(row, first, _masks(part), part)
+                results.append((share, results[0][1], at))
+            best = max(results)
+            if best[0] >= SHARE or best[1] and best[0] >= SHARE_WITH_ANSWER:
                 found[row, item] = max(found.get((row, item), best), best)
         return {k: (s, answer, -at) for k, (s, answer, at) in found.items()}
 
