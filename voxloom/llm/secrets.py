@@ -5,7 +5,8 @@ Weaker candidates say little alone: short or split identifiers, short or unusual
 and endpoints. They are parts of a credential, and are linked by an interval join within a scope of
 ``SCOPE`` code points: an identifier is reported only near a secret, a secret only near an
 identifier or an endpoint, an endpoint only near both. Base spans count as parts as well: access
-keys as identifiers, assignments and hex runs as secrets.
+keys as identifiers, assignments and hex runs as secrets. Names of parts may follow other words
+joined by ``_`` or ``-`` (DB_USER, aws_secret_access_key) and end in words such as _id, _key.
 
 Plan: one regular expression finds the few texts with any candidate. Match positions are running
 sums of the lengths of matches and of what lies between them. Parts are narrow rows
@@ -30,10 +31,12 @@ PATTERNS: dict[str, tuple[str, int, int, str | None]] = {
     "assign": (rf"(?i)(password|passwd|secret|token|api_?key){_QUOTED}([A-Za-z0-9+/_.=-]+)", 2, 6, "short_assign"),
     "access": (r"AKIA[A-Z0-9]+", 0, 20, "short_access"),
     "hex": (r"[0-9a-f]{16,}", 0, 24, "short_hex"),
-    "login": (rf"(?i)(?<![a-z0-9_])(user_?name|user|login|account|client_?id|access_?key_?id){_QUOTED}([A-Za-z0-9_.@+-]+)",
-              2, 3, None),
-    "phrase": (rf"(?i)(?<![a-z0-9_])(pwd|pass|passphrase|credential|auth|key){_QUOTED}([A-Za-z0-9+/_.=@!#$%^&*-]+)",
-               2, 4, None),
+    "login": (rf"(?i)(?<![a-z0-9])((?:user|login|account|client|(?:access[_-]?)?key)[_-]?(?:id|name)|user|login|account)"
+              rf"{_QUOTED}([A-Za-z0-9_.@+-]+)", 2, 3, None),
+    "phrase": (rf"(?i)(?<![a-z0-9])(?<!api_)((?:(?:secret|access|account|private|shared|auth)[_-]?){{0,3}}key"
+               r"|(?:secret|token|password|passwd)[_-](?:id|value|hash|string|code|phrase)"
+               r"|(?:pwd|pass|passphrase|credential|auth)(?:[_-](?:value|hash|string|code|phrase|word))?)"
+               rf"{_QUOTED}([A-Za-z0-9+/_.=@!#$%^&*-]+)", 2, 4, None),
     "endpoint": (r"""(?i)(?<![a-z0-9])[a-z][a-z0-9+.-]{1,20}://[^\s"'<>]+""", 0, 8, None),
 }
 BASE = ["assign", "access", "hex"]
@@ -46,8 +49,8 @@ ORDER = list(ROLES)
 #: A short hex run is a candidate only with both letters and digits: a number is none.
 _MIXED = r"(?=.*[0-9])(?=.*[a-f])"
 _ANY = "|".join(f"(?:{p})" for p in (
-    r"(?i)(?:password|passwd|secret|token|api_?key|user|login|account|client_?id|access_?key|pwd|pass|credential|auth|key)"
-    rf"[a-z_]{{0,12}}{_QUOTED}[^\s]",
+    r"(?i)(?:password|passwd|secret|token|api_?key|user|login|account|client[_-]?(?:id|name)|access_?key|pwd|pass|credential|auth|key)"
+    rf"[a-z_-]{{0,12}}{_QUOTED}[^\s]",
     r"AKIA", r"[0-9a-f]{16}", r"://"))
 
 
