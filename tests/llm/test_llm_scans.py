@@ -50,6 +50,20 @@ def test_terms_that_reveal_an_entity(spark):
     assert clean[20] == docs.filter("doc_id = 20").first().text
 
 
+def test_terms_far_from_their_entity(spark):
+    rng = random.Random(1)
+    def fill(n):
+        return " ".join(f"f{rng.randrange(60)}" for _ in range(n))
+
+    told = [f"Zorro {fill(40)} Zorro {fill(30)} boss@corp.example yours" for _ in range(6)]
+    docs = documents(spark, [*told, *(fill(90) + " yours" for _ in range(200)), "Zorro " + fill(20)])
+    rows = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    for i, text in enumerate(told):
+        at = text.rindex("Zorro")
+        assert "removed:0:5" in rows[i] and f"removed:{at}:{at + 5}" in rows[i] and rows[i].count("removed") == 2
+    assert all(not rows[i] for i in rows if i >= 6)
+
+
 def test_base_spans_of_secrets(spark):
     docs = edge_documents(spark, SECRETS)
     texts = {r.doc_id: r.text for r in docs.collect()}

@@ -1,16 +1,17 @@
 """Personal data, and the terms that give it away: information-theoretic sanitisation.
 
 Base spans are patterns (``email``, ``ip``, ``card``, ``phone``). Their values are the protected
-entities. A term near an entity (``NEAR`` words on either side) may reveal it; how strongly is
+entities. A term of a text that holds an entity may reveal it, wherever it stands; how strongly is
 estimated from the whole corpus. With N documents, n(e) holding entity e, n(t) holding term t and
-n(e,t) holding t near e:
+n(e,t) holding both:
 
     disclosure(t, e) = log(N n(e,t) / (n(e) n(t))) / log(N / n(e))
 
 the pointwise mutual information as a share of the information in e itself: 1 where t is only seen
-with e, 0 where it is as frequent elsewhere. At ``REMOVE`` or more the term is removed near e, at
-``GENERALISE`` or more it is generalised to what kind of word it is. A pair needs ``SUPPORT``
-different surroundings: copies of one text are a single piece of evidence.
+with e, 0 where it is as frequent elsewhere. At ``REMOVE`` or more every occurrence of the term is removed in
+all texts that hold e, at ``GENERALISE`` or more it is generalised to what kind of word it is; in
+texts without e it stays. A pair needs ``SUPPORT`` different surroundings (``NEAR`` words on either
+side of the term and of the entity): copies of one text are a single piece of evidence.
 
 Scale: pairs come from the few texts with an entity. Document frequencies are counted over all
 documents, for the terms of supported pairs only: tasks look words up in a bit table of fixed size
@@ -25,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm import words
 from voxloom.llm.components import written
+from voxloom.llm.substrings import Ranges
 from voxloom.session import ship_package
 
 NEAR = 10
@@ -105,66 +106,73 @@ def term_hashes(terms: list[str]) -> np.ndarray:
     return texts.hashes().view(np.int64)
 
 
-@dataclass
-class _Near:
-    """A term near an entity."""
-
-    entity: int
-    term: str
-    start: int
-    end: int
-    around: int
-
-
-def near_terms(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> list[_Near]:
-    """Terms within ``near`` words of each base span, those inside a base span left out."""
-    out = []
-    for kind, start, end in spans:
-        width = near * 64  # enough characters for most words; more are looked at where there are few words
-        while True:
-            left = [m for m in _TERM.finditer(text, max(0, start - width), start)]
-            right = [m for m in _TERM.finditer(text, end, end + width)]
-            if (start - width <= 0 or len(left) > near) and (end + width >= len(text) or len(right) > near):
-                break
-            width *= 2
-        around = left[-near:] + right[:near]
-        code = _hash(" ".join(m[0].lower() for m in around))
-        for m in around:
-            if not any(m.start() < e and s < m.end() for _, s, e in spans):
-                out.append(_Near(_entity(kind, text[start:end]), m[0], *m.span(), code))
-    return out
-
-
 _SCAN = ("doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-         "near array<struct<entity:long,term:long,around:long,start:int,end:int>>")
-
+         "entities array<long>, text string")
 
-def _scan(docs: DataFrame, near: int) -> DataFrame:
-    """The base spans of every row, and the terms near them."""
-    kind = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("around", pa.int64()),
-                               ("start", pa.int32()), ("end", pa.int32())]))
 
+def _scan(docs: DataFrame) -> DataFrame:
+    """The base spans and entities of every row; texts of rows with an entity only."""
     def run(batches):
         for batch in batches:
-            counts, base, around = [[] for _ in BASE], [], []
+            counts, base, entities, texts = [[] for _ in BASE], [], [], []
             for text in words.plain_column(batch, "text"):
                 text = text.as_py()
                 spans = base_spans(text)
                 base.append(",".join(f"{k}:{s}:{e}" for k, s, e in spans))
                 for column, k in zip(counts, BASE, strict=True):
                     column.append(sum(s[0] == k for s in spans))
-                found = near_terms(text, spans, near) if spans else []
-                codes = term_hashes([n.term for n in found]).tolist() if found else []
-                around.append([{"entity": n.entity, "term": c, "around": n.around, "start": n.start, "end": n.end}
-                               for n, c in zip(found, codes, strict=True)])
+                entities.append(sorted({_entity(k, text[s:e]) for k, s, e in spans}))
+                texts.append(text if spans else None)
             yield pa.RecordBatch.from_arrays(
                 [words.plain_column(batch, "id"), words.plain_column(batch, "row"), *(pa.array(c, pa.int64()) for c in counts),
-                 pa.array(base, pa.string()), pa.array(around, kind)],
-                ["doc_id", "row", *(f"n_{k}" for k in BASE), "base", "near"])
+                 pa.array(base, pa.string()), pa.array(entities, pa.list_(pa.int64())), pa.array(texts, pa.string())],
+                ["doc_id", "row", *(f"n_{k}" for k in BASE), "base", "entities", "text"])
 
     return docs.mapInArrow(run, _SCAN)
 
 
+def occurrences(text: str, entity: int, near: int = NEAR) -> tuple[np.ndarray, ...]:
+    """(term, start, end, whether it is the first of its term, surroundings) of all terms outside base spans.
+
+    Surroundings are the ``near`` words on either side of the term's first place and of the entity's.
+    """
+    spans = base_spans(text)
+    found = [(m[0], *m.span()) for m in _TERM.finditer(text)]
+    codes = term_hashes([x[0] for x in found]) if found else np.zeros(0, np.int64)
+    start, end = (np.array([x[i] for x in found], np.int64) for i in (1, 2))
+    ranges, at, n = Ranges(codes.view(np.uint64), 0x9E3779B97F4A7C15), np.arange(len(codes)), len(codes)
+    own_start, own_end = next((s, e) for k, s, e in spans if _entity(k, text[s:e]) == entity)
+    left, right = int(np.searchsorted(end, own_start, side="right")), int(np.searchsorted(start, own_end))
+    sides = ranges.of(np.array([max(left - near, 0), right]), np.array([left, min(right + near, n)]))
+    around = ranges.of(np.maximum(at - near, 0), np.minimum(at + near + 1, n))
+    outside = np.ones(n, dtype=bool)
+    for _, s, e in spans:
+        outside[np.searchsorted(end, s, side="right"): np.searchsorted(start, e)] = False
+    codes, start, end, around = codes[outside], start[outside], end[outside], around[outside]
+    _, first, inverse = np.unique(codes, return_index=True, return_inverse=True)
+    is_first = np.zeros(len(codes), dtype=bool)
+    is_first[first] = True
+    around = words.mix(around[first][inverse] + sides[:1] * np.uint64(3) + sides[1:] * np.uint64(5))
+    return codes, start, end, is_first, around.view(np.int64)
+
+
+def _occurrences(held: DataFrame, near: int) -> DataFrame:
+    """The occurrences of ``held`` (doc_id, row, text, entity)."""
+    names = ["doc_id", "row", "entity", "term", "start", "end", "first", "around"]
+
+    def run(batches):
+        for batch in batches:
+            for i, (row, text, entity) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
+                term, start, end, first, around = occurrences(text, entity, near)
+                n = len(term)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.full(n, i))), pa.array(np.full(n, row, np.int64)), pa.array(np.full(n, entity, np.int64)),
+                     pa.array(term), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(first), pa.array(around)], names)
+
+    return held.select("doc_id", "row", "text", "entity").mapInArrow(
+        run, "doc_id long, row long, entity long, term long, start int, end int, first boolean, around long")
+
+
 def _frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, n_t: in how many rows each of ``terms`` (term) stands, over all rows."""
     size = 1 << TABLE_BITS
@@ -204,9 +212,10 @@ def _frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return found.groupBy("term").agg(F.sum("n").alias("n_t")).join(terms.select("term").distinct(), "term", "left_semi")
 
 
-def disclosures(scan: DataFrame, docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+def disclosures(scan: DataFrame, docs: DataFrame, held: DataFrame, entities: DataFrame, support: int = SUPPORT,
+                generalise: float = GENERALISE, near: int = NEAR) -> DataFrame:
     """entity, term, disclosure of the pairs at or above the lower threshold."""
-    pairs = scan.select("doc_id", "row", F.explode("near").alias("n")).select("doc_id", "row", "n.entity", "n.term", "n.around")
+    pairs = _occurrences(held, near).filter("first")  # a pair counts once per document
     # Rows of a pair first by surroundings, so that the larger counts are sums of partial ones.
     by_around = pairs.groupBy("entity", "term", "around").agg(F.count("*").alias("n"))
     both = (by_around.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("surroundings"))
@@ -215,10 +224,8 @@ def disclosures(scan: DataFrame, docs: DataFrame, support: int = SUPPORT, genera
     if both.isEmpty():
         return both.select("entity", "term", F.lit(None).cast("double").alias("disclosure"))
     total = scan.count()
-    entities = scan.select(F.explode(F.array_distinct("near.entity")).alias("entity")).groupBy("entity").agg(
-        F.count("*").alias("n_e"))
     rated = both.join(entities, "entity").join(_frequencies(docs, both.select("term")), "term")
-    n_et = F.least("n_et", "n_e", "n_t")  # a pair may stand twice in a document
+    n_et = F.col("n_et")
     mutual = F.log(F.lit(float(total)) * n_et / (F.col("n_e") * F.col("n_t")))
     rated = rated.withColumn("disclosure", mutual / F.log(F.lit(float(total)) / F.col("n_e")))
     return rated.filter(F.col("disclosure") >= generalise).select("entity", "term", "disclosure")
@@ -237,15 +244,20 @@ def find(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, remove: floa
     """
     ship_package(docs.sparkSession)
     rows = _keyed(docs)
-    scan = written(_scan(rows, near), "pii")
-    telling = disclosures(scan, rows, support, generalise)
-    flagged = scan.select("doc_id", "row", F.explode("near").alias("n")).select(
-        "doc_id", "row", "n.entity", "n.term", "n.start", "n.end").join(telling, ["entity", "term"])
+    scan = written(_scan(rows), "pii")
+    each = scan.select("doc_id", "row", "text", F.explode("entities").alias("entity"))
+    # A pair has at most as many surroundings as its entity has different texts: no others can be supported.
+    entities = written(each.groupBy("entity").agg(F.count("*").alias("n_e"), F.count_distinct("row").alias("texts"))
+                       .filter(F.col("texts") >= support).select("entity", "n_e"), "entities")
+    held = each.join(entities, "entity", "left_semi")
+    telling = written(disclosures(scan, rows, held, entities, support, generalise, near), "telling")
+    flagged = _occurrences(held.join(telling.select("entity").distinct(), "entity", "left_semi"), near).join(
+        telling, ["entity", "term"])
     kind = F.when(F.col("disclosure") >= remove, 0).otherwise(1)
     spans = flagged.groupBy("doc_id", "row", "start", "end").agg(F.min(kind).alias("k")).groupBy("doc_id", "row").agg(
         F.array_sort(F.collect_list(F.struct("k", "start", "end"))).alias("terms"))
     spans = spans.withColumnRenamed("doc_id", "s_id").withColumnRenamed("row", "s_row")
-    return scan.drop("near").join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("row") == F.col("s_row")), "left").drop(
+    return scan.drop("entities", "text").join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("row") == F.col("s_row")), "left").drop(
         "s_id", "s_row")
 
 
