@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import chat, decontamination, packing, pii, quality, secrets, simhash, substrings, topk, toxicity
+from voxloom.llm import chat, decontamination, langid, packing, pii, quality, secrets, simhash, substrings, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -66,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
+    "op11_language": op11_language,
 }
 SQL: dict[str, str] = {"op3_chat": chat.SQL, "op6_topk": topk.SQL, "op10_substrings": substrings.SQL}

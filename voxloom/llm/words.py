@@ -128,21 +128,27 @@ def lower(data: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
+def row_cuts(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive rows (from, to) of at most ``limit`` bytes (or one longer text)."""
+    at = 0
+    while at < len(offsets) - 1:
+        to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
+        to = min(max(to, at + 1), len(offsets) - 1)
+        yield at, to
+        at = to
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES, table: np.ndarray | None = None) -> Iterator[Texts]:
     """Rows of a text column in slices of at most ``limit`` bytes (or one longer text).
 
     With ``table``, texts are first mapped by ``lower``.
     """
     data, offsets = text_buffer(column)
-    at = 0
-    while at < len(offsets) - 1:
-        to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
-        to = min(max(to, at + 1), len(offsets) - 1)
+    for at, to in row_cuts(offsets, limit):
         part, own = data[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at]
         part = part if table is None else lower(part, table)
         starts, ends = word_bounds(part, own)
         yield Texts(slice(at, to), part, own, starts, ends, np.searchsorted(starts, own))
-        at = to
 
 
 def plain_column(batch: pa.RecordBatch, name: str) -> pa.Array:
