@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import chat, decontamination, langid, packing, pii, quality, secrets, simhash, substrings, topk, toxicity
+from voxloom.llm import chat, decontamination, divergence, fim, langid, packing, pii, quality, secrets, simhash, substrings, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,14 @@ def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.learn(docs))
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -72,5 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
     "op11_language": op11_language,
+    "op12_fim": op12_fim,
+    "op13_divergence": op13_divergence,
 }
-SQL: dict[str, str] = {"op3_chat": chat.SQL, "op6_topk": topk.SQL, "op10_substrings": substrings.SQL}
+SQL: dict[str, str] = {"op3_chat": chat.SQL, "op6_topk": topk.SQL, "op10_substrings": substrings.SQL,
+                      "op12_fim": fim.SQL, "op13_divergence": divergence.SQL}

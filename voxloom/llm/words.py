@@ -38,8 +38,12 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-_BYTE[SPACE] = 0
+def byte_values(gap: np.ndarray) -> np.ndarray:
+    """What each byte adds to the hash of a word; bytes of no word add nothing."""
+    return np.where(gap, _U(0), mix(np.arange(1, 257, dtype=np.uint64) * _BASE))
+
+
+_BYTE = byte_values(SPACE)
 _POWERS = powers(_BASE | _U(1), _BLOCK)
 _BLOCK_STEP = powers(_BASE | _U(1), _BLOCK + 1)[-1]
 
@@ -89,11 +93,11 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte positions where words start and end; a text's end also ends a word."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Byte positions where words start and end; a text's end also ends a word. ``gap``: bytes of no word."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = ~SPACE[data]
+    solid = ~gap[data]
     before = np.zeros(len(data) + 1, dtype=bool)
     before[1:] = solid
     after = np.zeros(len(data) + 1, dtype=bool)
@@ -105,7 +109,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
     """A 64-bit hash of each word's bytes; equal words have equal hashes in any text."""
     if not len(starts):
         return np.zeros(0, np.uint64)
@@ -115,7 +119,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     weight = _POWERS[place & (_BLOCK - 1)]
     if place.max() >= _BLOCK:
         weight = weight * powers(_BLOCK_STEP, int(place.max() // _BLOCK) + 1)[place // _BLOCK]
-    sums = np.add.reduceat(_BYTE[data[first:]] * weight, starts - first)
+    sums = np.add.reduceat(values[data[first:]] * weight, starts - first)
     return mix(sums + (ends - starts).astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F))
 
 
