@@ -43,7 +43,7 @@ def test_forward_sums_all_segmentations():
     for w, row in zip(some, got, strict=True):
         for k in range(2):
             assert row[k] == pytest.approx(math.log(sum(math.exp(model[p, k].sum()) for p in map(np.array, plain_cuts(w)))))
-    [(_, _, lattice)] = langid.lattices(vocab, codes, start, stop)
+    [(_, lattice)] = langid.lattices(vocab, codes, start, stop)
     shares = lattice.shares(model[lattice.piece, 0])
     for n, w in enumerate(some):
         cuts = list(plain_cuts(w))
@@ -55,6 +55,23 @@ def test_forward_sums_all_segmentations():
         assert np.bincount(lattice.piece[own], shares[own], len(plain)) == pytest.approx(plain)
 
 
+def test_small_products_and_remembered_words(monkeypatch):
+    codes, start, stop, _, _ = lettered("日本語 hands the ꙮꙮꙮ hands übertragung")
+    vocab = langid.vocabulary(None)
+    model = np.log(np.random.default_rng(5).dirichlet(np.ones(len(vocab.names)) / 9, 3).T + 1e-12)
+    plain = langid.log_likelihoods(vocab, codes, start, stop, model)
+    [(_, lattice)] = langid.lattices(vocab, codes, start, stop)
+    shares = lattice.shares(model[lattice.piece, 1])
+    monkeypatch.setattr(langid, "SMALL", np.inf)
+    assert langid.log_likelihoods(vocab, codes, start, stop, model) == pytest.approx(plain)
+    assert lattice.shares(model[lattice.piece, 1]) == pytest.approx(shares)
+    monkeypatch.setattr(langid, "KNOWN", 10)
+    known = langid.Known(vocab, model)
+    for some in ([0, 1], [1, 2, 3], [0, 1, 2, 3, 5], [5, 2]):
+        keys, first, at = langid.different(codes, start[some], stop[some])
+        assert known.of(keys, codes, start[some][first], stop[some][first])[at] == pytest.approx(plain[some])
+
+
 def test_chunks_and_long_words_give_the_same(monkeypatch):
     codes, start, stop, _, _ = lettered("short " + "longword" * 400 + " end")
     vocab = langid.vocabulary(None)

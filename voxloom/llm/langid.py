@@ -12,7 +12,8 @@ the forward-backward algorithm. A round is one pass over the table of counted wo
 written once; the driver sees sums per piece and language only, that is the size of the model.
 Pieces rare in a language fall back on their share in all languages.
 
-Scoring: each batch of texts looks up its different words once and adds their logarithms up. The
+Scoring: a task finds each different word's sum once (it remembers a bounded number of words) and
+adds up logarithms. The
 score is the posterior of the best language, with the shares of documents as prior; ties go to the
 smaller name. The model (pieces x languages) is all that is broadcast.
 
@@ -46,6 +47,11 @@ UNKNOWN = "und"
 SLICE_BYTES = 2 << 20
 #: Characters of different words (times languages) that the forward algorithm takes at once.
 CHUNK = 1 << 20
+LONG = 32
+#: Products below this are left to logarithms.
+SMALL = 1e-250
+#: Words (times languages) whose scores a task remembers.
+KNOWN = 1 << 21
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -147,17 +153,19 @@ def vocabulary(path: str | None) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _sweep(values: np.ndarray, source: np.ndarray, target: np.ndarray, weight: np.ndarray, level: np.ndarray) -> None:
-    """values[target] = log of the sum of exp(values[source] + weight), level by level."""
-    order = np.lexsort((target, level))
-    source, target, weight, level = source[order], target[order], weight[order], level[order]
-    cuts = np.flatnonzero(np.diff(level)) + 1
-    for a, b in zip(np.append(0, cuts), np.append(cuts, len(level)), strict=True):
-        x = values[source[a:b]] + weight[a:b]
-        first = np.flatnonzero(np.append(True, np.diff(target[a:b]) > 0))
-        top = np.maximum.reduceat(x, first)
-        size = np.diff(np.append(first, b - a))
-        values[target[a:b][first]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, size, axis=0)), first))
+def _sweep(values: np.ndarray, source: np.ndarray, target: np.ndarray, weight: np.ndarray, level: np.ndarray, length: np.ndarray,
+           logs: bool) -> None:
+    """Add up values[source] * weight in values[target], level by level; or the same in logarithms."""
+    key = level * (int(length.max()) + 1) + length  # within a key no target stands twice
+    order = np.argsort(key.astype(np.uint16) if key.max() < 1 << 16 else key, kind="stable")
+    source, target, weight = source[order], target[order], weight[order]
+    cuts = np.flatnonzero(np.diff(key[order])) + 1
+    for a, b in zip(np.append(0, cuts), np.append(cuts, len(key)), strict=True):
+        to = target[a:b]
+        if logs:
+            values[to] = np.logaddexp(values[to], values[source[a:b]] + weight[a:b])
+        else:
+            values[to] += values[source[a:b]] * weight[a:b]
 
 
 class Lattice:
@@ -170,39 +178,60 @@ class Lattice:
         place = np.arange(len(flat)) - np.repeat(self.first, size)
         flat[place > 0] = codes[(np.repeat(start, size) + place - 1)[place > 0]]
         begin, end, self.piece = vocab.pieces(flat, self.first)
-        self.word = np.searchsorted(self.first, begin, side="right") - 1
+        self.word = np.repeat(np.arange(len(size)), size)[begin]
         self.source, self.target = begin + self.word, end + self.word
         self.nodes = len(flat) + len(start)
         self.heads = self.first + np.arange(len(start))
         self.tails = self.heads + size
         self.far, self.near = end - self.first[self.word], size[self.word] - (begin - self.first[self.word])
 
-    def forward(self, weight: np.ndarray) -> np.ndarray:
-        values = np.full((self.nodes, *weight.shape[1:]), -np.inf)
-        values[self.heads] = 0
+    def _run(self, weight: np.ndarray, ends: np.ndarray, logs: bool, back: bool = False) -> np.ndarray:
+        values = np.full((self.nodes, *weight.shape[1:]), -np.inf if logs else 0.0)
+        values[ends] = 0 if logs else 1
         if len(self.piece):
-            _sweep(values, self.source, self.target, weight, self.far)
+            way = (self.target, self.source) if back else (self.source, self.target)
+            _sweep(values, *way, weight, self.near if back else self.far, self.target - self.source, logs)
         return values
 
+    def scores(self, model: np.ndarray) -> np.ndarray:
+        """Log of the sum over all segmentations of each word; ``model`` has logarithms, pieces x languages.
+
+        Sums are of plain products; words whose products come near the smallest numbers are done by logarithms.
+        """
+        sums = self._run(np.exp(model)[self.piece], self.heads, False)[self.tails]
+        with np.errstate(divide="ignore"):
+            out = np.log(sums)
+        small = sums.min(axis=1) < SMALL
+        if small.any():
+            out[small] = self._run(model[self.piece], self.heads, True)[self.tails][small]
+        return out
+
     def shares(self, weight: np.ndarray) -> np.ndarray:
-        """Expected number of times that each piece of the lattice is used."""
-        ahead, back = self.forward(weight), np.full(self.nodes, -np.inf)
-        back[self.tails] = 0
-        _sweep(back, self.target, self.source, weight, self.near)
-        return np.exp(ahead[self.source] + weight + back[self.target] - ahead[self.tails[self.word]])
+        """Expected number of times that each piece of the lattice is used; ``weight`` in logarithms."""
+        plain = np.exp(weight)
+        ahead, back = self._run(plain, self.heads, False), self._run(plain, self.tails, False, True)
+        whole = ahead[self.tails]
+        small = (whole < SMALL)[self.word]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out = ahead[self.source] * plain * back[self.target] / whole[self.word]
+        if small.any():
+            ahead, back = self._run(weight, self.heads, True), self._run(weight, self.tails, True, True)
+            out[small] = np.exp(ahead[self.source] + weight + back[self.target] - ahead[self.tails[self.word]])[small]
+        return out
 
 
 def lattices(vocab: Vocabulary, codes: np.ndarray, start: np.ndarray, stop: np.ndarray, wide: int = 1):
-    """(from, to, lattice) of consecutive words, so many at once that memory stays bounded."""
-    ends = np.concatenate(([0], np.cumsum(stop - start + 1)))
-    for a, b in words.row_cuts(ends, max(CHUNK // wide, 1)):
-        yield a, b, Lattice(vocab, codes, start[a:b], stop[a:b])
+    """(which words, lattice), so many words at once that memory stays bounded; long words by themselves."""
+    size = stop - start + 1
+    for some in (np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG)):
+        for a, b in words.row_cuts(np.concatenate(([0], np.cumsum(size[some]))), max(CHUNK // wide, 1)):
+            own = some[a:b]
+            yield own, Lattice(vocab, codes, start[own], stop[own])
 
 
-def different(codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one word of each spelling, which of them each word is)."""
-    _, first, at = np.unique(Spans(codes).hashes(start, stop), return_index=True, return_inverse=True)
-    return first, at
+def different(codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the different words in order, one word of each, which of them each word is)."""
+    return np.unique(Spans(codes).hashes(start, stop), return_index=True, return_inverse=True)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -218,7 +247,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 codes, start, stop, row, _ = letter_words(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                 if not len(start):
                     continue
-                first, at = different(codes, start, stop)
+                _, first, at = different(codes, start, stop)
                 key, n = np.unique(at * len(langs.dictionary) + lang[a:b][row], return_counts=True)
                 text = codes.tobytes().decode("utf-32-le")
                 names = [text[i:j] for i, j in zip(start[first].tolist(), stop[first].tolist(), strict=True)]
@@ -244,10 +273,10 @@ def _expected(counts: DataFrame, langs: list[str], model: np.ndarray | None, pat
             kept = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offsets]
             lang = batch.column(batch.schema.get_field_index("lang")).to_numpy()
             n = batch.column(batch.schema.get_field_index("n")).to_numpy()
-            for a, b, lattice in lattices(vocab, codes, kept[:-1], kept[1:]):
-                own = lang[a:b][lattice.word]
+            for some, lattice in lattices(vocab, codes, kept[:-1], kept[1:]):
+                own = lang[some][lattice.word]
                 weight = np.full(len(own), -np.log(size)) if shared.value is None else shared.value[lattice.piece, own]
-                np.add.at(total, (lattice.piece, own), lattice.shares(weight) * n[a:b][lattice.word])
+                np.add.at(total, (lattice.piece, own), lattice.shares(weight) * n[some][lattice.word])
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(piece), pa.array(lang), pa.array(total[piece, lang])], ["piece", "lang", "uses"])
@@ -285,11 +314,36 @@ def learn(docs: DataFrame, rounds: int = ROUNDS, path: str | None = None) -> tup
 def log_likelihoods(vocab: Vocabulary, codes: np.ndarray, start: np.ndarray, stop: np.ndarray, model: np.ndarray) -> np.ndarray:
     """Words x languages."""
     out = np.zeros((len(start), model.shape[1]))
-    for a, b, lattice in lattices(vocab, codes, start, stop, model.shape[1]):
-        out[a:b] = lattice.forward(model[lattice.piece])[lattice.tails]
+    for some, lattice in lattices(vocab, codes, start, stop, model.shape[1]):
+        out[some] = lattice.scores(model)
     return out
 
 
+class Known:
+    """Scores of words seen before, by hash; it starts anew when it holds ``KNOWN`` numbers."""
+
+    def __init__(self, vocab: Vocabulary, model: np.ndarray):
+        self.vocab, self.model = vocab, model
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.scores = np.zeros(0, _U), np.zeros((0, self.model.shape[1]))
+
+    def of(self, keys: np.ndarray, codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Words x languages of different words; ``keys`` are their hashes in order."""
+        if len(self.scores) * self.model.shape[1] > KNOWN:
+            self._clear()
+        at = np.searchsorted(self.keys, keys)
+        seen = np.append(self.keys, _U(0))[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        out = np.zeros((len(keys), self.model.shape[1]))
+        out[seen] = self.scores[at[seen]]
+        new = ~seen
+        out[new] = log_likelihoods(self.vocab, codes, start[new], stop[new], self.model)
+        self.keys = np.insert(self.keys, at[new], keys[new])
+        self.scores = np.insert(self.scores, at[new], out[new], axis=0)
+        return out
+
+
 def predict(docs: DataFrame, learnt: tuple[list[str], np.ndarray, np.ndarray], path: str | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of ``docs`` (doc_id, text)."""
     ship_package(docs.sparkSession)
@@ -298,6 +352,7 @@ def predict(docs: DataFrame, learnt: tuple[list[str], np.ndarray, np.ndarray], p
 
     def run(batches):
         prior, model = shared.value
+        known = Known(vocabulary(path), model) if langs else None
         for batch in batches:
             data, offsets = words.text_buffer(words.plain_column(batch, "text"))
             best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
@@ -309,8 +364,8 @@ def predict(docs: DataFrame, learnt: tuple[list[str], np.ndarray, np.ndarray], p
                     best.append(np.full(b - a, -1))
                     score.append(np.zeros(b - a))
                     continue
-                first, at = different(codes, start, stop)
-                each = log_likelihoods(vocabulary(path), codes, start[first], stop[first], model)
+                keys, first, at = different(codes, start, stop)
+                each = known.of(keys, codes, start[first], stop[first])
                 total = np.stack([np.bincount(row, each[at, k], b - a) for k in range(len(langs))], axis=1) + prior
                 top = total.argmax(1)
                 best.append(np.where(letters, top, -1))
