@@ -10,7 +10,9 @@ from voxloom.functions.labels import (NO_ASPECT_TEXT, NO_VALUE, argmax_label, la
                                       score_map)
 from voxloom.functions.text import (aspect_sentences, display_aspect, keyword_match, null_text,
                                     percent, present, strip_space)
+from voxloom.operators.language import LanguageModel
 from voxloom.operators.models import predict_scores
+from voxloom.operators.shaping import computed_once
 from voxloom.schema import LABELS, OVERALL
 from voxloom.taxonomy import Taxonomy
 
@@ -40,9 +42,13 @@ def aspect_snippets(df: DataFrame, text: str, taxonomy: Taxonomy) -> DataFrame:
 
 
 def analyze(df: DataFrame, model: PipelineModel, taxonomy: Taxonomy, id_col: str = "id",
-            text: str = "text", language: str = "language") -> DataFrame:
-    """(id, aspect, language, sentiment, confidence, scores); ``scores`` on the overall row."""
-    parts = aspect_snippets(df.select(id_col, text, language), text, taxonomy)
+            text: str = "text", language: str = "language", detector: LanguageModel | None = None) -> DataFrame:
+    """(id, aspect, language, sentiment, confidence, scores); ``scores`` on the overall row.
+
+    With a ``detector`` the language is that of the trimmed text, else it is given by the row.
+    """
+    rows = df if detector is None else computed_once(df.select(id_col, text), **{language: detector.detect(text)})
+    parts = aspect_snippets(rows.select(id_col, text, language), text, taxonomy)
     scored = predict_scores(model, parts, [id_col, language, "aspect"])
     missing = F.col("aspect") == NO_ASPECT_TEXT
     top = F.array_max("scores")

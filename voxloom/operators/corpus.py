@@ -1,9 +1,10 @@
-"""The whole cleaning job: one shuffle, by cleaned text."""
+"""The whole cleaning job: one shuffle, by the hash of the cleaned text."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,14 +23,15 @@ def clean(df: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> Data
             .filter(F.col("word_count") >= min_words))
 
 
-def preprocess(df: DataFrame, min_words: int = MIN_WORDS,
-               order: Sequence[str] = ("source", "id")) -> DataFrame:
-    """Clean, drop short rows, keep the first row per cleaned text.
+def preprocess(df: DataFrame, min_words: int = MIN_WORDS, order: Sequence[str] = ("source", "id"),
+               language: Transformer | None = None) -> DataFrame:
+    """Clean, drop short rows, keep the first row per cleaned text, and detect its language.
 
-    Language is added afterwards (``operators.language``): it depends on the text only, so
-    tagging the distinct texts gives the same result for less work.
+    ``language`` is a fitted ``operators.language.LanguageModel``. It runs last: the language depends
+    on the cleaned text only, so tagging the distinct texts gives the same result for less work.
     """
-    return keep_first(clean(df, min_words=min_words), ["cleaned_text"], list(order))
+    unique = keep_first(clean(df, min_words=min_words), ["cleaned_text"], list(order))
+    return unique if language is None else language.transform(unique)
 
 
 def label_from_stars(df: DataFrame) -> DataFrame:

@@ -1,12 +1,22 @@
-"""Language identification from character trigram profiles learnt on the corpus."""
+"""Language identification from character trigram profiles learnt on the corpus.
+
+``LanguageModel`` is a savable transformer that scores a text inside its row: the profile is a
+bounded table in the expression, and the sums over the grams of a text are a fold of an array. Profiles
+beyond that bound are joined by ``identify_language``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark import keyword_only
+from pyspark.ml import Transformer
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.functions.lookup import LIMIT, InlineTable, bound
 from voxloom.functions.text import _c, null_text, term_counts
 from voxloom.session import checkpointed
 
@@ -54,21 +64,91 @@ def learn_profiles(labelled: DataFrame, text: str = "cleaned_text", language: st
         scaled(1.0 / smoothed).alias("missing")))
 
 
-def identify_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,
-                      languages: Sequence[str], name: str = "language") -> DataFrame:
-    """(id, language): the best profile; ``unknown`` without any known gram.
-
-    The table has one row per gram with a weight per language; it is broadcast if its counted
-    rows are few, else joined by shuffle. Every document sums its grams before they are shuffled by id.
-    """
+def gram_table(profiles: DataFrame, languages: Sequence[str]) -> DataFrame:
+    """(gram, w0, w1, ..): the weight of every gram in each language."""
     def weight_of(i: int, column: str) -> Column:
         return F.max(F.when(F.col("language") == languages[i], F.col(column)))
 
     every = range(len(languages))
     floor = profiles.agg(F.struct(*[weight_of(i, "missing").alias(f"m{i}") for i in every])
                          .alias("m")).scalar()
-    table = (profiles.groupBy("gram").agg(*[weight_of(i, "weight").alias(f"w{i}") for i in every])
-             .select("gram", *[F.coalesce(f"w{i}", floor[f"m{i}"]).alias(f"w{i}") for i in every]))
+    return (profiles.groupBy("gram").agg(*[weight_of(i, "weight").alias(f"w{i}") for i in every])
+            .select("gram", *[F.coalesce(f"w{i}", floor[f"m{i}"]).alias(f"w{i}") for i in every]))
+
+
+class LanguageModel(Transformer, HasInputCol, HasOutputCol, MLWritable, MLReadable):
+    """The best profile for a text, ties to the first language; ``unknown`` without any known gram."""
+
+    @keyword_only
+    def __init__(self, profiles: DataFrame, languages: Sequence[str], inputCol: str = "cleaned_text",
+                 outputCol: str = "language"):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
+        self.languages = list(languages)
+        self.profiles = profiles
+        self._weights = [f"w{i}" for i in range(len(self.languages))]
+        self._table = InlineTable(gram_table(profiles, self.languages), "gram", self._weights, LIMIT)
+
+    def detect(self, text: Column | str) -> Column:
+        """The language of a text, from its row alone."""
+        def places(word: Column) -> Column:
+            return F.transform(F.sequence(F.lit(1), F.length(word) - (GRAM - 1)),
+                               lambda i: self._table.find(F.substring(word, i, F.lit(GRAM))))
+
+        def total(known: Column, weight: str) -> Column:
+            return F.aggregate(known, F.lit(0).cast("long"), lambda s, p: s + self._table.value(p, weight))
+
+        def best(known: Column) -> Column:
+            sums = F.array(*[total(known, w) for w in self._weights])
+            first = bound(sums, lambda s: F.array_position(s, F.array_max(s))).cast("int")
+            return F.when(F.size(known) > 0, F.get(F.array(*map(F.lit, self.languages)), first - 1)).otherwise(F.lit(UNKNOWN))
+
+        if not self._table.size:
+            return F.lit(UNKNOWN)
+        grams = F.flatten(F.transform(F.transform(_words(text), _padded), places))
+        return bound(F.filter(grams, F.isnotnull), best)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.getOutputCol(), self.detect(F.col(self.getInputCol())))
+
+    def write(self) -> MLWriter:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader()
+
+
+class _Writer(MLWriter):
+    def __init__(self, model: LanguageModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        spark = self.model.profiles.sparkSession
+        DefaultParamsWriter.saveMetadata(self.model, path, spark, extraMetadata={"languages": self.model.languages})
+        self.model.profiles.write.parquet(f"{path}/profiles")
+
+
+class _Reader(MLReader):
+    def load(self, path: str) -> LanguageModel:
+        spark = SparkSession.active()
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        model = LanguageModel(profiles=spark.read.parquet(f"{path}/profiles"), languages=metadata["languages"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        model._resetUid(metadata["uid"])
+        return model
+
+
+def identify_language(df: DataFrame, id_col: str, text: str, profiles: DataFrame,
+                      languages: Sequence[str], name: str = "language") -> DataFrame:
+    """(id, language): the best profile; ``unknown`` without any known gram.
+
+    For profiles too large for a ``LanguageModel``. The table has one row per gram with a weight per
+    language; it is broadcast if its counted rows are few, else joined by shuffle. Every document
+    sums its grams before they are shuffled by id.
+    """
+    every, table = range(len(languages)), gram_table(profiles, languages)
     if profiles.count() <= BROADCAST_GRAMS:  # profiles are written, so this reads their size
         table = F.broadcast(table)
     # Outer fan-out keeps documents without a word, so no second join is needed.

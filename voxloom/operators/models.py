@@ -4,36 +4,33 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.labels import argmax_id
+from voxloom.operators import svm
 from voxloom.operators.features import MAX_FEATURES, MIN_DF, featurize, tfidf_stages
 from voxloom.operators.metrics import scores
 from voxloom.schema import require_columns
 from voxloom.session import checkpointed
 
 MAX_ITER = 2000
-TOLERANCE = 1e-4   # usual for these two classifiers; it, not MAX_ITER, ends a fit
+TOLERANCE = 1e-4   # it, not MAX_ITER, ends a fit
 DEPTH = 2   # levels in which the gradients of the tasks are added up
 MODEL_NAMES = {"logreg": "LogReg", "svm": "LinearSVM"}
 
 
-def _classifier(kind: str, n_rows: int, max_iter: int):
-    # The usual C = 1 penalty in Spark's scale: loss is a mean over rows, so lambda = 1 / n.
-    reg = 1.0 / max(n_rows, 1)
+def _fit(kind: str, featured: DataFrame, max_iter: int):
     if kind == "logreg":
-        return LogisticRegression(family="multinomial", regParam=reg, elasticNetParam=0.0,
+        # The usual C = 1 penalty in Spark's scale: loss is a mean over rows, so lambda = 1 / n.
+        return LogisticRegression(family="multinomial", regParam=1.0 / max(featured.count(), 1), elasticNetParam=0.0,
                                   standardization=False, maxIter=max_iter, tol=TOLERANCE, aggregationDepth=DEPTH,
                                   featuresCol="features", labelCol="label_id",
-                                  predictionCol="prediction")
+                                  predictionCol="prediction").fit(featured)
     if kind == "svm":
-        return OneVsRest(classifier=LinearSVC(regParam=reg, standardization=False,
-                                              maxIter=max_iter, tol=TOLERANCE, aggregationDepth=DEPTH),
-                         featuresCol="features", labelCol="label_id",
-                         predictionCol="prediction", parallelism=3)
+        return svm.fit(featured)
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -54,8 +51,7 @@ def fit_classifier(train: DataFrame, kind: str = "logreg", id_col: str = "id",
     featured = featurize(stages, rows).select("features", "label_id").persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
-        n_rows = featured.count()
-        model = _classifier(kind, n_rows, max_iter).fit(featured)
+        model = _fit(kind, featured, max_iter)
     finally:
         featured.unpersist()
     return PipelineModel([*stages, model])

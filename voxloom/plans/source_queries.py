@@ -10,6 +10,7 @@ from voxloom.operators.degradation import aspect_distribution, tag_aspects
 from voxloom.operators.shaping import fan_out
 from voxloom.operators.shaping import union_by_name as union_all
 from voxloom.plans import views as V
+from voxloom.plans.model_queries import detected_sql, language_model, profile_sql
 from voxloom.plans.registry import query
 from voxloom.schema import (LABELLED_SCHEMA, POSTS_PER_PAGE, REVIEW_COLS, REVIEW_SCHEMA,
                             THREADS_PER_FORUM, TIER_EVAL_SCHEMA, with_declared_schema)
@@ -416,11 +417,16 @@ def dedup_id(spark, d):
     return dedup.keep_first(items, ["l_orderkey"], ["l_linenumber"])
 
 
+DETECTED_SQL = f"""{CORPUS_SQL}, {profile_sql()}, {detected_sql('corpus', 'id', 'cleaned_text')}"""
+
+
 @query("preprocess", f"""
-WITH {CORPUS_SQL}
-SELECT id, text, rating, epoch, source, app, cleaned_text, word_count, language FROM corpus""")
+WITH {DETECTED_SQL}
+SELECT id, text, rating, epoch, source, app, cleaned_text, word_count, coalesce(d.language, 'unknown') AS language
+FROM corpus LEFT JOIN detected d ON k = id""")
 def preprocess(spark, d):
-    done = corpus.preprocess(V.reviews(spark, d))
+    """The whole job with the detected language, not the one that comes with the documents."""
+    done = corpus.preprocess(reviews(spark, d), language=language_model(spark, d))
     return done.select("id", "text", "rating", F.unix_seconds("date").alias("epoch"), "source",
                        "app", "cleaned_text", "word_count", "language")
 
@@ -432,14 +438,15 @@ def count_by_source(spark, d):
 
 def slim(spark, d):
     """The columns the counts need."""
-    return V.reviews(spark, d).select("id", "text", "source", "language")
+    return V.reviews(spark, d).select("id", "text", "source")
 
 
 @query("top_languages", f"""
-WITH {CORPUS_SQL} SELECT language, count(*) AS n FROM corpus GROUP BY language
-ORDER BY n DESC, language LIMIT 5""")
+WITH {DETECTED_SQL} SELECT coalesce(d.language, 'unknown') AS language, count(*) AS n FROM corpus LEFT JOIN detected d ON k = id
+GROUP BY ALL ORDER BY n DESC, language LIMIT 5""")
 def top_languages(spark, d):
-    return metrics.value_counts(corpus.preprocess(slim(spark, d)), "language", 5)
+    done = corpus.preprocess(slim(spark, d), language=language_model(spark, d))
+    return metrics.value_counts(done, "language", 5)
 
 
 @query("clean_totals", f"""
