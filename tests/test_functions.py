@@ -245,3 +245,21 @@ def test_row_local_functions_stream(spark, tmp_path):
     q.awaitTermination(60)
     got = {r.c: r.a for r in spark.table("streamed").collect()}
     assert got == {"Soo slow app": ["speed", "app_usability"], "": []}
+
+
+def test_known_stems_change_nothing(spark):
+    import random
+
+    from voxloom.functions import stem
+
+    rng = random.Random(3)
+    some = ["running", "flies", "relational", "sky", "happily", "generalizations", "y", "yyy", "été", "agreed", "hopping", "news", "oo", "1st"]
+    texts = [" ".join(rng.choices(some, k=rng.randrange(12))) for _ in range(60)] + [None, "", "...", "Running RUNNING ran"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for limit in (0, 1, 4, 100):
+        known = stem.learn_stems(df, "text", limit)
+        assert known.size == min(limit, known.size) and known.size <= limit
+        both = df.select(stem.stem_text("text", known).alias("a"), stem.stem_text("text").alias("b")).collect()
+        assert all(r.a == r.b for r in both)
+    plan = df.select(stem.stem_text("text", known))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan

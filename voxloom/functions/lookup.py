@@ -64,7 +64,7 @@ def _hashes(key: Column) -> tuple[Column, Column]:
 
 def _placed(hashes: list[tuple[int, int]]) -> tuple[int, list[int]]:
     """(number of slots, a slot of its own for each key among the two of its hashes): cuckoo hashing."""
-    slots = 1 << (4 * max(len(hashes), 1) - 1).bit_length()
+    slots = 1 << (2 * max(len(hashes), 1) - 1).bit_length()
     while True:
         held: dict[int, int] = {}
         for i in range(len(hashes)):

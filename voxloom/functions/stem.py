@@ -3,7 +3,11 @@
 The published 1980 suffix rules with the usual later extensions (short irregular forms,
 ``-ied``/``-ies`` on four-letter words, ``-logi``, ``-fulli``). Every step is one regular
 expression over the tokens of a text, set apart by single blanks, so a text is stemmed where it
-lies: no worker, no shuffle of tokens and no table of words that grows with the data.
+lies: no worker and no shuffle of tokens.
+
+``learn_stems`` counts the tokens of a corpus and stems the most frequent ones once, into a bounded
+table that is part of the expression. A text then looks its tokens up, and only those not in the
+table, each once, go through the expressions: the result is the same, most of the work is not done.
 
 Letters other than a, e, i, o, u are consonants; a ``y`` is a vowel after a consonant. A run of
 three or more y at the end of a token is not told apart.
@@ -11,12 +15,14 @@ three or more y at the end of a token is not told apart.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions.lookup import InlineTable, bound
 from voxloom.functions.text import null_text, tokenize
 
 STEM_MODES = ["unstemmed", "stemmed"]
+KNOWN_TOKENS = 50_000
 
 #: Set before tokens that stay as they are, and behind stems that lost ``-ed`` or ``-ing``.
 DONE, CUT = "#", "~"
@@ -75,14 +81,31 @@ def stem_tokens(tokens: Column | str) -> Column:
     return F.trim(out)
 
 
-def stem_text(c: Column | str) -> Column:
-    """Tokens of a text, stemmed and joined by a blank."""
-    return stem_tokens(tokenize(c))
+def learn_stems(df: DataFrame, text: str, limit: int = KNOWN_TOKENS) -> InlineTable:
+    """The ``limit`` most frequent tokens of a corpus with their stems; ties to the smaller token."""
+    tokens = df.select(F.explode(tokenize(text)).alias("token"))
+    frequent = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+                .orderBy(F.desc("n"), "token").limit(limit))
+    return InlineTable(frequent.select("token", stem_tokens(F.array("token")).alias("stem")), "token", ["stem"], limit)
+
+
+def stem_text(c: Column | str, known: InlineTable | None = None) -> Column:
+    """Tokens of a text, stemmed and joined by a blank; ``known`` are stems found before."""
+    if known is None or not known.size:
+        return stem_tokens(tokenize(c))
+
+    def looked_up(tokens: Column, places: Column) -> Column:
+        others = F.array_distinct(F.filter(tokens, lambda t, i: F.get(places, i).isNull()))
+        return bound(others, lambda rare: bound(F.split(stem_tokens(rare), " ", -1), lambda stems: F.array_join(
+            F.transform(tokens, lambda t, i: F.coalesce(
+                known.value(F.get(places, i), "stem"), F.get(stems, F.array_position(rare, t).cast("int") - 1))), " ")))
+
+    return bound(tokenize(c), lambda tokens: bound(F.transform(tokens, known.find), lambda places: looked_up(tokens, places)))
 
 
-def stem_variant(c: Column | str, mode: str) -> Column:
+def stem_variant(c: Column | str, mode: str, known: InlineTable | None = None) -> Column:
     if mode == "unstemmed":
         return null_text(c)
     if mode == "stemmed":
-        return stem_text(c)
+        return stem_text(c, known)
     raise ValueError(f"unknown stemming mode {mode!r}")

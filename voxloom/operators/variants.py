@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.emoji import EMOJI_MODES, emoji_variant
-from voxloom.functions.stem import STEM_MODES, stem_variant
+from voxloom.functions.stem import STEM_MODES, learn_stems, stem_variant
 from voxloom.operators.metrics import scores
 from voxloom.operators.models import fit_classifier, predict
 from voxloom.operators.shaping import computed_once, union_by_name
@@ -42,7 +42,8 @@ def ablation_emoji(train: DataFrame, tiers: DataFrame, **kw) -> DataFrame:
 
 
 def ablation_stemming(train: DataFrame, tiers: DataFrame, **kw) -> DataFrame:
-    return ablation(train, tiers, STEM_MODES, stem_variant, **kw)
+    known = learn_stems(train, kw.get("text", "cleaned_text"))
+    return ablation(train, tiers, STEM_MODES, lambda c, mode: stem_variant(c, mode, known), **kw)
 
 
 def variant_comparison(pairs: DataFrame, group: str = "tier") -> DataFrame:

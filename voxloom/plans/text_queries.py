@@ -146,8 +146,9 @@ def ngrams(spark, d):
 
 @query("stem_text")
 def stem_text(spark, d):
-    return documents(spark, d).select(
-        F.col("doc_id").alias("id"), S.stem_text("text").alias("stemmed"))
+    docs = documents(spark, d)
+    known = S.learn_stems(docs, "text")
+    return docs.select(F.col("doc_id").alias("id"), S.stem_text("text", known).alias("stemmed"))
 
 
 # An emoji tail by language: thumbs up with skin tone, heart with variation selector, a flag.
