@@ -138,11 +138,18 @@ def test_emoji(spark):
     assert one(spark, E.has_emoji("t"), *texts) == [True, True, False, False]
     assert one(spark, E.emoji_strip("t"), *texts) == ["ok !", "x_y", "plain_9 #", ""]
     assert one(spark, E.emoji_demojize("t"), *texts) == [
-        "ok  thumbs up  medium skin tone !", " heavy black heart x y", "plain 9 #", ""]
+        "ok  thumbs up medium skin tone !", " heavy black heart x y", "plain 9 #", ""]
     more = ["⭐⏰ ‼ ™ ✓", "a\u200Db", "\U0001F468\u200D\U0001F469 x", "#️⃣ 5 # 2⃣", "▶️x"]
     assert one(spark, E.has_emoji("t"), *more) == [True, False, True, True, True]
     assert one(spark, E.emoji_strip("t"), *more) == ["   ✓", "a\u200Db", " x", " 5 # ", "x"]
-    assert one(spark, E.emoji_demojize("t"), *more[2:4]) == [" man  woman  x", " keycap #  5 #  keycap 2 "]
+    assert one(spark, E.emoji_demojize("t"), *more[2:4]) == [" family man woman  x", " keycap #  5 #  keycap 2 "]
+    sequences = ["\U0001F1F2\U0001F1FE\U0001F1F2", "\U0001F468\U0001F3FF\u200D\U0001F469\u200D\U0001F466\u200D\U0001F466",
+                 "\u2764\uFE0F\u200D\U0001F525", "\U0001F3F4\U000E0067\U000E0062\U000E0073\U000E0063\U000E0074\U000E007F.", "\U0001F3FD"]
+    assert one(spark, E.emoji_demojize("t"), *sequences) == [
+        " flag my  regional indicator symbol letter m ", " family man dark skin tone woman boy boy ", " heavy black heart fire ",
+        " flag gbsct .", " medium skin tone "]
+    assert one(spark, E.emoji_demojize("t", flags={"my": "malaysia"}), *sequences[:1]) == [
+        " flag malaysia  regional indicator symbol letter m "]
     assert one(spark, E.emoji_variant("t", "raw"), texts[0]) == [texts[0]]
     with pytest.raises(ValueError):
         E.emoji_variant("t", "other")

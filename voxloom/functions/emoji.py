@@ -1,10 +1,11 @@
-"""Emoji expressions over code-point ranges; names come from the Unicode character table."""
+"""Emoji expressions over code-point ranges and sequences; names come from the Unicode character table."""
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Mapping
 from functools import lru_cache
+from string import ascii_lowercase
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,6 +52,9 @@ SKIN_TONES = {
 }
 SELECTOR, JOINER, KEYCAP = 0xFE0F, 0x200D, 0x20E3
 KEYCAP_BASES = "0-9#*"
+# Regional indicators A to Z, in pairs a flag; tag characters behind a black flag, and their end.
+INDICATORS, TAGS, TAG_BASE, TAG_END = (0x1F1E6, 0x1F1FF), (0xE0020, 0xE007E), 0x1F3F4, 0xE007F
+PEOPLE = [0x1F466, 0x1F467, 0x1F468, 0x1F469, 0x1F476, 0x1F9D1, 0x1F9D2]
 # ----------------------------------------------------------------------------------------------
 
 EMOJI_MODES = ["raw", "demojize", "strip"]
@@ -69,6 +73,14 @@ KEYCAP_RE = f"[{KEYCAP_BASES}]{_char(SELECTOR)}?{_char(KEYCAP)}"
 UNIT_RE = f"{SYMBOL_CHAR}(?:{_char(SELECTOR)}|{_char(JOINER)}(?=[{SYMBOL_CLASS}]))*"
 SYMBOL_RE = f"{SYMBOL_CHAR}|{KEYCAP_RE}"
 STRIP_RE = f"(?:{UNIT_RE}|{KEYCAP_RE})+"
+# Sequences that are one emoji, the longest first.
+TONE = f"[{_char(min(SKIN_TONES))}-{_char(max(SKIN_TONES))}]"
+PERSON = f"[{''.join(map(_char, PEOPLE))}]{TONE}?"
+INDICATOR, TAG = (f"[{_char(a)}-{_char(b)}]" for a, b in (INDICATORS, TAGS))
+FLAG_RE = f"{INDICATOR}{{2}}"
+TAGGED_RE = f"{_char(TAG_BASE)}{TAG}+{_char(TAG_END)}?"
+ELEMENT_RE = f"{SYMBOL_CHAR}{_char(SELECTOR)}?{TONE}?"
+SEQUENCE_RE = f"(?:{FLAG_RE}|{KEYCAP_RE}|{TAGGED_RE}|{ELEMENT_RE}(?:{_char(JOINER)}{ELEMENT_RE})*){_char(SELECTOR)}*"
 
 
 @lru_cache(maxsize=1)
@@ -92,28 +104,50 @@ def emoji_strip(c: Column | str) -> Column:
     return F.regexp_replace(null_text(c), STRIP_RE, "")
 
 
-def emoji_demojize(c: Column | str, names: Mapping[str, str] | None = None) -> Column:
-    """Each emoji character becomes its description words, set apart by blanks; ``_`` becomes a
-    blank. A keycap becomes ``keycap`` and its key.
+def _translated(c: Column, first: int, letters: str) -> Column:
+    """Characters from ``first`` on as the letters."""
+    return F.translate(c, "".join(chr(first + i) for i in range(len(letters))), letters)
+
+
+def emoji_demojize(c: Column | str, names: Mapping[str, str] | None = None, flags: Mapping[str, str] | None = None) -> Column:
+    """Each emoji becomes its description words, set apart by blanks; ``_`` becomes a blank.
+
+    A sequence is one emoji with one description, the longest that matches: a symbol with its skin
+    tone, symbols joined into one (people make a ``family``), a flag (``flag`` and its code, or its
+    name in ``flags``), a keycap and its key. Other sequences are described part by part, in order.
 
     Only rows that hold an emoji are cut into pieces, and only emoji pieces are looked up.
     """
-    table = names or emoji_names()
-    # One foldable string: the optimizer turns it into a map literal once per query.
-    listed = ";".join(f"{k}= {v} " for k, v in table.items())
-    mapping = F.str_to_map(F.lit(listed), F.lit(";"), F.lit("="))
-    text = null_text(c)
-    keys = F.regexp_replace(text, f"([{KEYCAP_BASES}]){_char(SELECTOR)}?{_char(KEYCAP)}", " keycap $1 ")
-
-    def named(piece: Column) -> Column:
-        first = F.substring(piece, 1, 1)
-        rest = F.regexp_replace(piece.substr(2, 2**31 - 1), f"^[{_char(SELECTOR)}{_char(JOINER)}]+", "")
-        return F.when(piece.rlike(f"^[{SYMBOL_CLASS}]"), F.concat(
-            F.coalesce(F.try_element_at(mapping, first), first), rest)).otherwise(piece)
-
-    pieces = F.split(keys, f"(?={SYMBOL_CHAR})", -1)
-    described = F.array_join(F.transform(pieces, named), "")
-    return F.replace(F.when(text.rlike(SYMBOL_RE), described).otherwise(text), F.lit("_"), F.lit(" "))
+    def literal_map(table: Mapping[str, str]) -> Column:
+        # One foldable string: the optimizer turns it into a map literal once per query.
+        return F.str_to_map(F.lit(";".join(f"{k}={v}" for k, v in table.items())), F.lit(";"), F.lit("="))
+
+    mapping, text = literal_map(names or emoji_names()), null_text(c)
+
+    def flag(code: Column) -> Column:
+        return F.concat(F.lit("flag "), F.coalesce(F.try_element_at(literal_map(flags), code), code) if flags else code)
+
+    def part(symbols: Column) -> Column:
+        return F.array_join(F.transform(F.split(symbols, ""), lambda s: F.coalesce(F.try_element_at(mapping, s), s)), " ")
+
+    def joined(sequence: Column) -> Column:
+        parts = F.split(F.regexp_replace(sequence, _char(SELECTOR), ""), _char(JOINER))
+        people = sequence.rlike(f"^{PERSON}(?:{_char(JOINER)}{PERSON})+$")
+        words = F.array_join(F.transform(parts, part), " ")
+        return F.when(people, F.concat(F.lit("family "), words)).otherwise(words)
+
+    def described(sequence: Column) -> Column:
+        letters = _translated(sequence, INDICATORS[0], ascii_lowercase)
+        tags = _translated(F.substring(sequence, 2, 100), TAGS[0], "".join(map(chr, range(TAGS[0] - 0xE0000, TAGS[1] + 1 - 0xE0000))))
+        return (F.when(sequence.rlike(f"^{FLAG_RE}$"), flag(letters))
+                .when(sequence.rlike(f"^{TAGGED_RE}$"), flag(F.regexp_replace(tags, "[^ -~]", "")))
+                .when(sequence.rlike(f"^{KEYCAP_RE}$"), F.concat(F.lit("keycap "), F.substring(sequence, 1, 1)))
+                .otherwise(joined(sequence)))
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(SEQUENCE_RE), F.lit(0)), lambda s: F.concat(F.lit(" "), described(s), F.lit(" ")))
+    # One piece of text more than there are emoji.
+    pieces = F.zip_with(F.split(text, SEQUENCE_RE, -1), found, lambda piece, words: F.concat(piece, F.coalesce(words, F.lit(""))))
+    return F.replace(F.when(text.rlike(SYMBOL_RE), F.array_join(pieces, "")).otherwise(text), F.lit("_"), F.lit(" "))
 
 
 def emoji_variant(c: Column | str, mode: str) -> Column:

@@ -158,14 +158,19 @@ EMOJI_TAILS = {"en": " \U0001F44D\U0001F3FD ok", "fr": " ❤️", "de": " \U0001
 # Tails of the texts by doc_id, and literally what is expected of each: whether it holds an emoji,
 # what is left of it, and how it is described.
 TAILS = [
-    (" \U0001F44D\U0001F3FD ok", True, "  ok", "  thumbs up  medium skin tone  ok"),
+    (" \U0001F44D\U0001F3FD ok", True, "  ok", "  thumbs up medium skin tone  ok"),
     (" \u2764\uFE0F", True, " ", "  heavy black heart "),
-    (" \U0001F1E9\U0001F1EA", True, " ", "  regional indicator symbol letter d  regional indicator symbol letter e "),
+    (" \U0001F1E9\U0001F1EA", True, " ", "  flag de "),
     (" \u2B50a", True, " a", "  white medium star a"),
     (" \u23F0", True, " ", "  alarm clock "),
     (" \u2713", False, " \u2713", " \u2713"),
     (" 1\uFE0F\u20E3 1", True, "  1", "  keycap 1  1"),
     (" a\u200Db", False, " a\u200Db", " a\u200Db"),
+    (" \U0001F468\u200D\U0001F469\u200D\U0001F467!", True, " !", "  family man woman girl !"),
+    (" \U0001F1F2\U0001F1FE\U0001F1F8\U0001F1EC", True, " ", "  flag my  flag sg "),
+    (" \U0001F469\U0001F3FE\u200D\U0001F4BBx", True, " x", "  woman medium-dark skin tone personal computer x"),
+    (" \U0001F3F3\uFE0F\u200D\U0001F308 #\uFE0F\u20E3", True, "  ", "  waving white flag rainbow   keycap # "),
+    (" \U0001F600\U0001F600", True, " ", "  grinning face  grinning face "),
 ]
 
 
