@@ -1,6 +1,10 @@
+import html as python_html
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from pages import block_texts
 from voxloom.schema import (BLIND_SHEET_SCHEMA, EXPORT_SCHEMA, REVIEW_SCHEMA, TIER_EVAL_SCHEMA,
                             require_columns, with_declared_schema)
 from voxloom.sources import adapters, html, readers, sinks
@@ -157,7 +161,7 @@ def test_links(spark):
 
 
 def test_block_texts_edge_cases():
-    scan = html.block_texts
+    scan = block_texts
     assert scan("", "div", "p", frozenset()) == []
     assert scan("</div></div><div class=p>x", "div", "p", frozenset()) == ["x"]
     nested = '<div class="p">a<div class="p">b</div>c</div>'
@@ -180,3 +184,28 @@ def test_csv_files_are_united_by_name(spark, tmp_path):
     report = {r.file.rsplit("/", 1)[1]: (r.rows, r.bad_fields)
               for r in readers.csv_report(spark, str(tmp_path / "*.csv"), REVIEW_SCHEMA).collect()}
     assert report == {"a.csv": (1, 0), "b.csv": (2, 1)}
+
+
+PARTS = ["<div class=postcolor>", '<div class="a postcolor b">', "<DIV CLASS='postcolor'>", "</div>", "</div>", "</DIV >", "<div>", "<div/>",
+         "<div class=quotetop>", '<div class="quotemain x">', "<span class=postcolor>", "</span>", "text", " two words ", "&amp;", "&lt;b&gt;",
+         "&eacute;", "&#233;&#x1F600;", "&#150;", "&nope; &#0;", "AT&T", "a < b", "<br>", "\n", "<!-- <div> -->", "<!DOCTYPE x>",
+         "<script>'<div class=postcolor>'</script>", "<p title='a>b'>", "<div class=\"broken>"]
+
+
+def test_post_blocks_match_a_plain_scan(spark):
+    rng = random.Random(11)
+    pages = ["".join(rng.choices(PARTS, k=rng.randrange(40))) for _ in range(300)] + [None, "", "<div class=postcolor>" * 30 + "deep" + "</div>" * 40]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "id int, html string")
+    for wanted, dropped in ((html.POST_CLASS, html.QUOTE_CLASSES), ("", ()), ("b", ("x",))):
+        got = df.select("id", html.visible_markup("html").alias("visible"), html.post_blocks("html", "div", wanted, dropped).alias("posts")).collect()
+        for r in got:
+            assert r.posts == block_texts(r.visible or "", "div", wanted, frozenset(dropped)), pages[r.id]
+    plan = df.select(html.post_blocks("html"))._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("EvalPython", "InArrow", "InPandas", "Exchange"))
+
+
+def test_character_references(spark):
+    texts = ["&amp;&lt;&gt;&quot;&#39;&apos;&nbsp;|", "&copy &copy; &eacute;t&eacute;", "&#x4e2d;&#20013 &#128512;", "&#128;&#150;&#55296;&#0;&#9999999;",
+             "a&b & &; &unknownname; &#; &#x;", "&CounterClockwiseContourIntegral;&acE;", "plain"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(html.unescaped(F.col("t")).alias("t")).collect()
+    assert [r.t for r in got] == [python_html.unescape(t) for t in texts]

@@ -1,21 +1,19 @@
-"""Forum pages: container blocks -> posts, links -> thread ids.
+"""Forum pages: container blocks -> posts, links -> thread ids, all in expressions.
 
-Selecting a nested block needs balanced tags, which a regular expression cannot match, so
-that one step is an Arrow-batched scan of the page's tags. Everything else is native.
+Selecting a nested block needs balanced tags, which a regular expression cannot match. A page is cut
+into tags and texts, and a fold over these pieces keeps a stack of the open blocks.
 """
 
 from __future__ import annotations
 
-import html as _html
-import re
 from collections.abc import Sequence
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from voxloom.functions.dates import aligned_dates, find_post_dates, post_date_to_ts
+from voxloom.functions.lookup import bound
 from voxloom.functions.text import _c, post_id, strip_space
 from voxloom.operators.shaping import computed_once, fan_out
 from voxloom.schema import POSTS_PER_PAGE
@@ -26,44 +24,38 @@ QUOTE_CLASSES = ("quotetop", "quotemain")
 # ----------------------------------------------------------------------------
 
 _INVISIBLE = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>|<![^>]*>"
-_PIECE = re.compile(r"<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)")
-_CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TAG = r"""<(/?)([a-zA-Z][\w:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_PIECE = rf"{_TAG}|[^<]+|<"
+_CLASS = r"""(?i)\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});?"
+#: What stands on the stack for an open block that is no post: a plain one, one whose text does not count.
+PLAIN, MUTE = -1, -2
+_REPLACEMENT = "\ufffd"
 
 
-def _classes(attributes: str) -> set[str]:
-    m = _CLASS.search(attributes)
-    return set((m.group(1) or m.group(2) or m.group(3) or "").split()) if m else set()
+def unescaped(text: Column) -> Column:
+    """Character references of HTML as characters, unknown ones as they are.
 
+    Numbers that are no character become the replacement character; 128 to 159 mean the letters that
+    old pages intend. A name counts with its semicolon, or without where HTML knows it so.
+    """
+    names = F.str_to_map(F.lit("\1".join(f"{k}\2{v}" for k, v in html5.items())), F.lit("\1"), F.lit("\2"))
+    old = bytes(range(0x80, 0xA0)).decode("cp1252", errors="replace")
 
-def block_texts(page: str, tag: str, wanted: str, dropped: frozenset[str]) -> list[str]:
-    """Text of every ``tag`` block of class ``wanted``; '' for a block without own text.
+    def character(code: Column) -> Column:
+        wide = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return (F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit(_REPLACEMENT))
+                .when(code.between(0x80, 0x9F), F.translate(wide, "".join(map(chr, range(0x80, 0xA0))), old)).otherwise(wide))
 
-    Text inside a nested block of a ``dropped`` class does not count. Text pieces are
-    trimmed and joined by one blank.
-    """
-    posts: list[list[str]] = []
-    opened: list[str] = []      # kind of each open ``tag``: 'post', 'mute' or ''
-    live: list[int] = []        # posts that are open now, outermost first
-    for closing, name, attributes, text in _PIECE.findall(page):
-        if text:
-            piece = _html.unescape(text).strip()
-            if piece and "mute" not in opened:
-                for index in live:
-                    posts[index].append(piece)
-        elif name.lower() != tag or attributes.endswith("/"):
-            continue
-        elif closing:
-            if opened and opened.pop() == "post":
-                live.pop()
-        else:
-            classes = _classes(attributes)
-            if not wanted or wanted in classes:
-                opened.append("post")
-                live.append(len(posts))
-                posts.append([])
-            else:
-                opened.append("mute" if live and classes & dropped else "")
-    return [" ".join(p) for p in posts]
+    def decoded(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, "([0-9a-fA-F]+);?$", 1)
+        return (F.when(entity.rlike("^&#[xX]"), character(F.conv(digits, 16, 10).cast("int")))
+                .when(entity.startswith("&#"), character(F.conv(digits, 10, 10).cast("int")))
+                .otherwise(F.coalesce(F.try_element_at(names, F.substr(entity, F.lit(2))), entity)))
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), decoded)
+    pieces = F.zip_with(F.split(text, _ENTITY, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def visible_markup(page: Column | str) -> Column:
@@ -75,16 +67,52 @@ def page_text(page: Column | str) -> Column:
     return F.regexp_replace(visible_markup(page), r"<[^>]+>", " ")
 
 
+def _events(page: Column, tag: str, wanted: str, dropped: Sequence[str]) -> Column:
+    """The pieces of a page that matter, in order, as (kind, text)."""
+    def event(piece: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, "^</?([a-zA-Z][\\w:-]*)", 1))
+        classes = F.split(F.concat(*[F.regexp_extract(piece, _CLASS, i) for i in (1, 2, 3)]), r"\s+")
+        opening = (F.when(F.array_contains(classes, wanted) if wanted else F.lit(True), F.lit("post"))
+                   .when(F.arrays_overlap(classes, F.array(*map(F.lit, dropped)).cast("array<string>")), F.lit("drop"))
+                   .otherwise(F.lit("open")))
+        kind = (F.when(~piece.startswith("<") | (piece == "<"), F.lit("text"))
+                .when((name != tag) | piece.endswith("/>"), F.lit("other"))
+                .when(piece.startswith("</"), F.lit("close")).otherwise(opening))
+        return F.struct(kind.alias("kind"), F.when(kind == "text", strip_space(unescaped(piece))).alias("text"))
+
+    events = F.transform(F.regexp_extract_all(page, F.lit(_PIECE), F.lit(0)), event)
+    return F.filter(events, lambda e: (e["kind"] != "other") & ((e["kind"] != "text") | (e["text"] != "")))
+
+
 def post_blocks(page: Column | str, tag: str = "div", wanted: str = POST_CLASS,
                 dropped: Sequence[str] = QUOTE_CLASSES) -> Column:
-    """Array of post texts of a page, '' kept so that positions count empty posts."""
-    skip = frozenset(dropped)
+    """Texts of the ``tag`` blocks of class ``wanted``, '' kept so that positions count empty posts.
 
-    @F.pandas_udf(ArrayType(StringType()))
-    def scan(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: block_texts(p or "", tag, wanted, skip))
-
-    return scan(visible_markup(page))
+    Text inside a nested block of a ``dropped`` class does not count; text of a nested post counts
+    for the outer one too. Text pieces are trimmed and joined by one blank. A null page has none.
+    """
+    def step(state: Column, event: Column) -> Column:
+        n, opened, texts = state["n"], state["opened"], state["texts"]
+        live = F.filter(opened, lambda b: b >= 0)
+        on_top = (F.when(event["kind"] == "post", n)
+                  .when((event["kind"] == "drop") & (F.size(live) > 0), F.lit(MUTE)).otherwise(F.lit(PLAIN)))
+        stack = (F.when(event["kind"] == "text", opened)
+                 .when(event["kind"] == "close", F.slice(opened, 1, F.greatest(F.size(opened) - 1, F.lit(0))))
+                 .otherwise(F.concat(opened, F.array(on_top))))
+        heard = (event["kind"] == "text") & ~F.array_contains(opened, MUTE)
+        said = F.transform(live, lambda b: F.struct(b.alias("post"), event["text"].alias("text")))
+        return F.struct((n + (event["kind"] == "post").cast("int")).alias("n"), stack.alias("opened"),
+                        F.when(heard, F.concat(texts, said)).otherwise(texts).alias("texts"))
+
+    def posts(state: Column) -> Column:
+        one = F.transform(F.sequence(F.lit(0), state["n"] - 1), lambda i: F.array_join(
+            F.transform(F.filter(state["texts"], lambda t: t["post"] == i), lambda t: t["text"]), " "))
+        return F.when(state["n"] > 0, one).otherwise(F.array().cast("array<string>"))
+
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("opened"),
+                     F.array().cast("array<struct<post:int,text:string>>").alias("texts"))
+    pieces = _events(F.coalesce(visible_markup(page), F.lit("")), tag, wanted, dropped)
+    return bound(F.aggregate(pieces, start, step), posts)
 
 
 def posts_from_pages(pages: DataFrame, source: str, thread: str = "thread_id",
