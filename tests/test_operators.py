@@ -511,3 +511,28 @@ def test_seeded_sample_of_any_size(skewed):
     for n in (0, 1, len(rows) // 2, len(rows) + 5):
         got = {r.id for r in ranking.seeded_sample(df, "id", n).collect()}
         assert got == set(sorted((r[0] for r in rows), key=h)[:n])
+
+
+def test_running_totals_of_any_key(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(ranking, "CUTS", 5)
+    rng = random.Random(9)
+    rows = [(rng.choice([None, "a", "b", "b", "b", "ç", "dd"]), rng.choice([1, 1, 1, None, 7, 2]), i, rng.randrange(4)) for i in range(200)]
+    df = spark.createDataFrame(rows, "name string, k int, id int, n int").repartition(6)
+    for order in (["name", "k", "id"], ["k", "name", "id"], ["id"]):
+        places = [("name", "k", "id").index(c) for c in order]
+        want, total = {}, 0
+        for r in sorted(rows, key=lambda r: [(r[p] is not None, r[p] if r[p] is not None else 0) for p in places]):
+            want[r[2]] = total
+            total += r[3]
+        got = ranking.running_total(df, order, "n", "before").collect()
+        assert {r.id: r.before for r in got} == want and len(got) == 200
+    assert ranking.running_total(df.limit(0), ["id"], "n", "before").count() == 0
+
+
+def test_running_totals_start_no_job(spark):
+    status = spark.sparkContext.statusTracker()
+    before = len(status.getJobIdsForGroup())
+    ranking.running_cap(spark.range(1000).withColumn("n", F.lit(1)), ["id"], "n", 10)
+    assert len(status.getJobIdsForGroup()) == before

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.text import _c
 from voxloom.schema import SEED
-from voxloom.session import checkpointed
 
 HEX_DIGITS = 4      # 16 ** 4 buckets per group
 GROUP_LIMIT = 1000   # Spark's default bound for a group limit below the shuffle
 PARTS = 1024
+CUTS = 64
 
 
 def seeded_hash(id_col: Column | str, seed: int = SEED) -> Column:
@@ -166,20 +166,29 @@ def ordered_distinct_topn(df: DataFrame, group: str, key: str, pos: str, n: int)
 def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Exact sum of ``value`` over all rows before this one in a total order.
 
-    Range partitions carry the order; the partition totals are a small table. The range
-    cut is checkpointed, because a second evaluation could draw other boundaries.
+    The order key is cut into slices at up to ``CUTS`` of its values, those of the rows with the
+    smallest hashes. A value that is a cut has a slice of its own, which the next order column cuts
+    again, so that a value with very many rows does not meet in one task. Totals of slices are a
+    small table; only rows of one slice are summed in a window. The cuts are a scalar subquery:
+    nothing runs before the result is asked for, and any cuts give the same sums.
     """
-    ranged = checkpointed(
-        df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
+    keys = [F.col(c) for c in order]
+    some = df.select(*[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.xxhash64(*keys).alias("_h")).orderBy("_h").limit(CUTS)
+    cuts = some.agg(F.struct(*[F.collect_set(f"_k{i}").alias(f"c{i}") for i in range(len(keys))])).scalar()
+    within, fields = F.lit(True), []
+    for i, key in enumerate(keys):
+        own = cuts[f"c{i}"]
+        below = F.array_position(F.sort_array(F.array_append(own, key)), key).cast("int") - 1
+        is_cut = F.coalesce(F.array_contains(own, key), F.lit(False))
+        fields.append(F.when(within, F.coalesce(below * 2 + is_cut.cast("int"), F.lit(-1))).otherwise(F.lit(0)).alias(f"s{i}"))
+        within = within & is_cut
+    sliced = df.withColumn("_slice", F.struct(*fields))
     before_slice = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (ranged.groupBy("_slice").agg(F.sum(value).alias("_slice_sum"))
-              .select("_slice", F.coalesce(F.sum("_slice_sum").over(before_slice), F.lit(0))
-                      .alias("_before")))
-    before_row = (Window.partitionBy("_slice").orderBy(*order)
-                  .rowsBetween(Window.unboundedPreceding, -1))
-    # One row per shuffle partition: bounded by the partition count.
-    return (ranged
-            .withColumn("_within", F.coalesce(F.sum(value).over(before_row), F.lit(0)))
+    slices = (sliced.groupBy("_slice").agg(F.sum(value).alias("_slice_sum"))
+              .select("_slice", F.coalesce(F.sum("_slice_sum").over(before_slice), F.lit(0)).alias("_before")))
+    before_row = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # Slices are bounded by the cuts: at most 2 x CUTS + 1 for a column and for each cut of it.
+    return (sliced.withColumn("_within", F.coalesce(F.sum(value).over(before_row), F.lit(0)))
             .join(F.broadcast(slices), "_slice")
             .withColumn(name, F.col("_within") + F.col("_before"))
             .select(*df.columns, name))

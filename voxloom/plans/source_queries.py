@@ -367,6 +367,48 @@ def page_cap(spark, d):
     return ranking.page_cap(pages, "conv_id", "turn", "n_posts", 8, POSTS_PER_PAGE)
 
 
+FORUM_TARGET = 60
+
+
+@query("forum_corpus", f"""
+WITH {POSTS_SQL},
+listing AS (SELECT DISTINCT 'f' || conv_id % 3 AS forum, conv_id, conv_id % 7 AS k FROM conversations),
+chosen AS (SELECT * FROM listing QUALIFY row_number() OVER (PARTITION BY forum ORDER BY k, conv_id) <= {THREADS_PER_FORUM}),
+sizes AS (SELECT conv_id, turn, max(len(string_split(text, chr(10)))) AS n_posts FROM conversations WHERE turn < 8 GROUP BY ALL),
+filled AS (SELECT *, count(*) FILTER (WHERE n_posts >= {POSTS_PER_PAGE}) OVER (PARTITION BY conv_id
+             ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_full FROM sizes),
+visited AS (SELECT conv_id, turn FROM filled WHERE coalesce(n_full, 0) = turn),
+said AS (SELECT * FROM dated SEMI JOIN visited USING (conv_id, turn) WHERE text <> ''),
+counted AS (SELECT c.forum, c.k, c.conv_id, count(s.conv_id) AS n FROM chosen c LEFT JOIN said s ON s.conv_id = c.conv_id GROUP BY ALL),
+run AS (SELECT *, coalesce(sum(n) OVER (ORDER BY forum, k, conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM counted)
+SELECT 'lowyat_' || conv_id || '_' || (turn * {POSTS_PER_PAGE} + pos) AS id, text, CAST(NULL AS DOUBLE) AS rating, epoch,
+       'lowyat' AS source, 'lowyat/' || forum AS app
+FROM said JOIN run USING (conv_id) WHERE before < {FORUM_TARGET}
+QUALIFY row_number() OVER (PARTITION BY text ORDER BY forum, k, conv_id, turn, pos) = 1""")
+def forum_corpus(spark, d):
+    """Three forums; each message is a page of its conversation, listed by conversation."""
+    forum = F.concat(F.lit("f"), (F.col("thread_id") % 3).cast("string"))
+    pages = forum_pages(spark, d).withColumn("forum", forum)
+    links = pages.select("forum", "thread_id", F.struct((F.col("thread_id") % 7).alias("k"), "thread_id", "page").alias("at"))
+    return _rows(html.forum_corpus(links, pages, "lowyat", target=FORUM_TARGET))
+
+
+@query("thread_corpus", f"""
+WITH {THREADS_SQL.replace("rn <= 3", "rn <= 20")},
+found AS (
+  SELECT DISTINCT conv_id FROM (
+    SELECT m.conv_id, t.term, row_number() OVER (PARTITION BY t.term ORDER BY m.epoch DESC, m.id) AS place
+    FROM msgs m JOIN (SELECT unnest(['the', 'que', 'und', 'la ', 'absentword']) AS term) t ON contains(lower(m.text), t.term)
+    WHERE m.turn = 0) WHERE place <= 5)
+SELECT id, text, rating, epoch, source, app FROM flat
+WHERE text IS NOT NULL AND CAST(split_part(id, '_', 1) AS BIGINT) IN (SELECT conv_id FROM found)""")
+def thread_corpus(spark, d):
+    roots, replies = roots_and_replies(spark, d)
+    answers = replies.withColumn("thread_id", F.concat(F.col("thread_id").cast("string"), F.lit("_0")))
+    return _rows(adapters.thread_corpus(roots, answers, TERMS, "reddit", per_search=5))
+
+
 # --- corpus -------------------------------------------------------------------
 
 @query("union_by_name", f"""

@@ -17,6 +17,7 @@ MIN_SUPPORT = 8
 POOL_SIZE = 60
 OVERALL = "__overall__"
 REPLIES_PER_THREAD = 20
+THREADS_PER_SEARCH = 50
 THREADS_PER_FORUM = 12
 MAX_PAGES_PER_THREAD = 8
 POSTS_PER_PAGE = 20

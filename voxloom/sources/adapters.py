@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from voxloom.functions.dates import epoch_to_ts, iso_to_ts
 from voxloom.functions.text import concat_title_body, id_fallback, null_text, strip_space
 from voxloom.operators.dedup import keep_first
+from voxloom.operators.joins import search_terms
 from voxloom.operators.ranking import head_per_group
 from voxloom.operators.shaping import fan_out
-from voxloom.schema import FEED_SCHEMA, REPLIES_PER_THREAD, REVIEW_COLS, require_columns
+from voxloom.schema import FEED_SCHEMA, REPLIES_PER_THREAD, REVIEW_COLS, THREADS_PER_SEARCH, require_columns
 
 # --- fixed values: field names of the app-store source ------------------------
 STORE_FIELDS = {"reviewId": "id", "content": "text", "score": "rating", "at": "date"}
@@ -133,5 +134,22 @@ def search_threads(threads: DataFrame, text: str, terms: list[str], id_col: str
     return kept.withColumn("term", F.get(F.array(*map(F.lit, terms)), F.col("term_ord"))).drop("term_ord")
 
 
+def thread_corpus(roots: DataFrame, replies: DataFrame, terms: list[str], source: str, per_search: int = THREADS_PER_SEARCH,
+                  max_replies: int = REPLIES_PER_THREAD) -> DataFrame:
+    """The whole thread job: every group is searched for every term, newest threads first; each found
+    thread is flattened, rows without text go and each id stays once.
+
+    ``roots`` and ``replies`` are those of ``flatten_threads``. A thread found by several terms is
+    read once: its rows are the same each time.
+    """
+    text = roots.select("id", "app", "created", concat_title_body("title", "body").alias("_text"))
+    hits = search_terms(text, "_text", terms).select("id", "app", "created", "term")
+    found = head_per_group(hits, ["app", "term"], [F.desc("created"), "id"], per_search).select("id").distinct()
+    own = roots.join(found, "id", "left_semi")
+    answers = replies.join(found.withColumnRenamed("id", "thread_id"), "thread_id", "left_semi")
+    rows = flatten_threads(own, answers, source, max_replies).dropna(subset=["text"])
+    return keep_first(rows, ["id"], ["app", "date", "text"]).select(*REVIEW_COLS)
+
+
 def nonempty_text(df: DataFrame, text: str = "text") -> DataFrame:
     return df.dropna(subset=[text]).filter(F.length(text) > 0)

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from voxloom.functions.dates import aligned_dates, find_post_dates, post_date_to_ts
 from voxloom.functions.lookup import bound
 from voxloom.functions.text import _c, post_id, strip_space
+from voxloom.operators.dedup import keep_first
+from voxloom.operators.ranking import ordered_distinct_topn, page_cap, running_cap
 from voxloom.operators.shaping import computed_once, fan_out
-from voxloom.schema import POSTS_PER_PAGE
+from voxloom.schema import MAX_PAGES_PER_THREAD, POSTS_PER_PAGE, REVIEW_COLS, TARGET_POSTS, THREADS_PER_FORUM
 
 # --- fixed values: class names of post and quote blocks -----------------------
 POST_CLASS = "postcolor"
@@ -117,15 +119,18 @@ def post_blocks(page: Column | str, tag: str = "div", wanted: str = POST_CLASS,
 
 def posts_from_pages(pages: DataFrame, source: str, thread: str = "thread_id",
                      page: str = "page", forum: str = "forum", html: str = "html",
-                     page_size: int = POSTS_PER_PAGE, **select) -> DataFrame:
-    """Pages -> unified review rows. Dates count only if there is one per post."""
+                     page_size: int = POSTS_PER_PAGE, place: bool = False, **select) -> DataFrame:
+    """Pages -> unified review rows. Dates count only if there is one per post.
+
+    With ``place`` the thread, page and position of each post stay in front.
+    """
     scanned = (pages.select(thread, page, forum,
                             post_blocks(html, **select).alias("_posts"),
                             find_post_dates(page_text(html)).alias("_dates"))
                .withColumn("_dates", aligned_dates("_dates", "_posts")))
     rows = fan_out(scanned, "_posts", "pos", "text", position=True)
     return (rows.filter(F.length("text") > 0).select(
-        post_id(source, thread, page, "pos", page_size).alias("id"), "text",
+        *([thread, page, forum, "pos"] if place else []), post_id(source, thread, page, "pos", page_size).alias("id"), "text",
         F.lit(None).cast("double").alias("rating"),
         post_date_to_ts(F.get("_dates", F.col("pos"))).alias("date"),
         F.lit(source).alias("source"),
@@ -138,6 +143,29 @@ def page_sizes(pages: DataFrame, thread: str = "thread_id", page: str = "page",
     return pages.select(thread, page, F.size(post_blocks(html, **select)).alias("n_posts"))
 
 
+def forum_corpus(links: DataFrame, pages: DataFrame, source: str, threads_per_forum: int = THREADS_PER_FORUM,
+                 max_pages: int = MAX_PAGES_PER_THREAD, page_size: int = POSTS_PER_PAGE, target: int = TARGET_POSTS,
+                 **select) -> DataFrame:
+    """The whole forum job: listed threads -> pages a reader would visit -> posts, each text once.
+
+    ``links`` has forum, thread_id and ``at``, an orderable place in the listing; ``pages`` has forum,
+    thread_id, page and html. Forums are read in the order of their names, threads in the order of
+    their first link; a thread is read whole while fewer than ``target`` posts were read before it.
+    """
+    listed = ordered_distinct_topn(links, "forum", "thread_id", "at", threads_per_forum)
+    own = pages.join(listed.select("forum", "thread_id"), ["forum", "thread_id"], "left_semi")
+    keyed = own.select(F.struct("forum", "thread_id").alias("_thread"), "page", F.size(post_blocks("html", **select)).alias("_size"))
+    visited = page_cap(keyed, "_thread", "page", "_size", max_pages, page_size).select("_thread.*", "page")
+    # A page that was fetched more than once counts once.
+    read = keep_first(own.select("forum", "thread_id", "page", "html").join(visited, ["forum", "thread_id", "page"], "left_semi"),
+                      ["forum", "thread_id", "page"], ["html"])
+    posts = posts_from_pages(read, source, page_size=page_size, place=True, **select)
+    counts = posts.groupBy("forum", "thread_id").agg(F.count(F.lit(1)).alias("_n"))
+    threads = listed.join(counts, ["forum", "thread_id"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    kept = running_cap(threads, ["forum", "first_pos", "thread_id"], "_n", target).select("forum", "thread_id", "first_pos")
+    return keep_first(posts.join(kept, ["forum", "thread_id"]), ["text"], ["forum", "first_pos", "thread_id", "page", "pos"]).select(*REVIEW_COLS)
+
+
 def link_ids(pages: DataFrame, page_id: str, html: str, href: str = r"/topic/(\d+)",
              keep: Sequence[str] = ()) -> DataFrame:
     """(page, pos, topic id) of links whose target matches and whose text is visible."""
