@@ -209,3 +209,40 @@ def test_character_references(spark):
              "a&b & &; &unknownname; &#; &#x;", "&CounterClockwiseContourIntegral;&acE;", "plain"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(html.unescaped(F.col("t")).alias("t")).collect()
     assert [r.t for r in got] == [python_html.unescape(t) for t in texts]
+
+
+def test_csv_of_any_name_and_malformed_records(spark, tmp_path):
+    folder = tmp_path / "raw data [1]"
+    folder.mkdir()
+    (folder / "x y%20+ü.csv").write_text('id,text,rating\n1,"a\nb, c, d",2\n2,short\n3,x,4,extra\n4,"broken,5\n5,fine,1\n6,"quo""ted",2\n7,ok,bad\n')
+    (folder / "z{a}.csv").write_text('text,"id"\ngood,8\n"""so"" she said\nand left",9\n"open,10\nlost,11\n')
+    (folder / "_ignored.csv").write_text("id\n99\n")
+    path = str(folder).replace("[", "\\[").replace("]", "\\]")
+    for glob in (path, path + "/*.csv"):
+        strict = {r.id: r.text for r in readers.read_reviews(spark, glob).collect()}
+        assert set(strict) == {"1", "2", "3", "4", "7", "8", "9", None}
+        kept = {r.id: r.text for r in readers.read_reviews(spark, glob, tolerant=True).collect()}
+        assert kept == {"1": "a\nb, c, d", "7": "ok", "8": "good", "9": '"so" she said\nand left'}
+    bad = {(r.file.rsplit("/", 1)[1][0], r.reason): r.record for r in readers.malformed_records(spark, path).collect()}
+    assert set(bad) == {("x", "missing fields"), ("x", "extra fields"), ("x", "broken quote"), ("z", "broken quote")}
+    assert bad["x", "extra fields"] == "3,x,4,extra" and "lost,11" in bad["z", "broken quote"]
+    report = {r.file.rsplit("/", 1)[1]: (r.rows, r.bad_fields, r.bad_records) for r in readers.csv_report(spark, path, REVIEW_SCHEMA).collect()}
+    assert report == {"x y%20+ü.csv": (2, 1, 3), "z{a}.csv": (2, 0, 1)}
+    for name in ("first", "second"):
+        sinks.write_quarantine(readers.malformed_records(spark, path), str(tmp_path / "quarantine"))
+    assert spark.read.parquet(str(tmp_path / "quarantine")).groupBy("reason").count().filter("reason = 'broken quote'").first()["count"] == 4
+    with pytest.raises(readers.NoInputError, match="no files match"):
+        readers.read_csv(spark, str(tmp_path / "absent*.csv"), REVIEW_SCHEMA)
+
+
+def test_headers_are_read_without_the_rows(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv").write_text('"id\nof row",text\n1,x\n')
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as f:
+        f.write("id,text\n2,y\n")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    headers = readers.csv_headers(spark, str(tmp_path / "*.csv*"))
+    assert set(headers) == {("id\nof row", "text"), ("id", "text")}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+    assert readers.read_reviews(spark, str(tmp_path / "b.csv.gz")).first().text == "y"

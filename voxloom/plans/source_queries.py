@@ -58,6 +58,50 @@ def scan_optional(spark, d):
     return _rows(readers.read_optional(spark, [f"{folder}/absent", there], REVIEW_SCHEMA))
 
 
+FILE_ROWS, BROKEN_AT = 200, 12   # documents of a file, and the row of a file whose quote is never closed
+
+
+@query("csv_quarantine", f"""
+WITH lines AS (SELECT doc_id, source, lang, doc_id % 10 AS kind FROM documents)
+SELECT 'whole' AS part, CAST(doc_id AS VARCHAR) AS id, CASE kind WHEN 3 THEN source || chr(10) || 'x, y' WHEN 4 THEN '"' || source ELSE source END AS text
+FROM lines WHERE kind NOT IN (1, 2)
+UNION ALL SELECT 'whole', 'b' || doc_id, source FROM lines WHERE doc_id % {FILE_ROWS} < {BROKEN_AT}
+UNION ALL SELECT CASE kind WHEN 1 THEN 'missing fields' ELSE 'extra fields' END, NULL,
+  CASE kind WHEN 1 THEN doc_id || ',' || source ELSE doc_id || ',' || source || ',' || lang || ',more' END FROM lines WHERE kind IN (1, 2)
+UNION ALL SELECT 'broken quote', NULL,
+  string_agg('b' || doc_id || ',' || CASE WHEN doc_id % {FILE_ROWS} = {BROKEN_AT} THEN '"' ELSE '' END || source || ',' || lang, chr(10) ORDER BY doc_id)
+FROM lines WHERE doc_id % {FILE_ROWS} >= {BROKEN_AT} GROUP BY doc_id // {FILE_ROWS}""")
+def csv_quarantine(spark, d):
+    """Files with blanks in their names; records with too few or too many fields, one with an open quote.
+
+    The well-formed rows, as a tolerant scan reads them, and the quarantined records by reason.
+    """
+    folder = scratch_path(spark, "raw data")
+    doc, kind = F.col("doc_id").cast("string"), F.col("doc_id") % 10
+    docs = V.table(spark, d, "documents")
+    line = (F.when(kind == 1, F.concat_ws(",", doc, "source"))
+            .when(kind == 2, F.concat_ws(",", doc, "source", "lang", F.lit("more")))
+            .when(kind == 3, F.concat(doc, F.lit(',"'), "source", F.lit('\nx, y",'), "lang"))
+            .when(kind == 4, F.concat(doc, F.lit(',"""'), "source", F.lit('",'), "lang")).otherwise(F.concat_ws(",", doc, "source", "lang")))
+    broken = F.concat(F.lit("b"), doc, F.lit(","), F.when(F.col("doc_id") % FILE_ROWS == BROKEN_AT, '"').otherwise(""), "source", F.lit(","), "lang")
+    file = F.floor(F.col("doc_id") / FILE_ROWS).alias("file")
+
+    def write(name, value):
+        # Files of some rows, each behind its header, as people send them.
+        header = docs.select(file).distinct().select("file", F.lit(-1).cast("long").alias("doc_id"), F.lit("id,text,app").alias("value"))
+        rows = header.unionByName(docs.select(file, "doc_id", value.alias("value")))
+        (rows.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "value")
+         .write.partitionBy("file").text(f"{folder}/{name}"))
+
+    write("all rows", line)
+    write("open quote", broken)
+    glob = f"{folder}/*"
+    good = readers.read_csv(spark, glob, REVIEW_SCHEMA, True).select(F.lit("whole").alias("part"), "id", "text")
+    kept = sinks.write_quarantine(readers.malformed_records(spark, glob), scratch_path(spark, "quarantine"))
+    bad = spark.read.parquet(kept).select(F.col("reason").alias("part"), F.lit(None).cast("string").alias("id"), F.rtrim("record").alias("text"))
+    return good.unionByName(bad)
+
+
 @query("scan_pruned", "SELECT doc_id AS id, lang FROM documents")
 def scan_pruned(spark, d):
     return V.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang")

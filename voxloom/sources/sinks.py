@@ -35,6 +35,12 @@ def write_new(df: DataFrame, path: str, fmt: str = "csv") -> str:
     return path
 
 
+def write_quarantine(records: DataFrame, path: str) -> str:
+    """Malformed records (file, reason, record) of a run, added to those of earlier runs."""
+    records.write.mode("append").partitionBy("reason").parquet(path)
+    return path
+
+
 def results_or_empty(spark: SparkSession, frames: list[DataFrame],
                      schema: T.StructType) -> DataFrame:
     """All result frames in one typed table, header-only when there is none."""
