@@ -536,3 +536,61 @@ def test_running_totals_start_no_job(spark):
     before = len(status.getJobIdsForGroup())
     ranking.running_cap(spark.range(1000).withColumn("n", F.lit(1)), ["id"], "n", 10)
     assert len(status.getJobIdsForGroup()) == before
+
+
+def test_null_ids_have_no_seeded_order(spark):
+    df = spark.createDataFrame([("a", 1), (None, 1), ("b", 2)], "id string, g int")
+    for made in (lambda: ranking.seeded_rank(df, "id"), lambda: ranking.mark_quota(df, "id", ["g"], F.lit(1)),
+                 lambda: ranking.seeded_sample(df, "id", 2)):
+        with pytest.raises(Exception, match="id on every row"):
+            made().collect()
+
+
+def test_exact_median(spark):
+    for values in ([], [3], [1, 2], [5, 1, 1, 9], [2] * 50 + [7] * 49, list(range(101)) + [None]):
+        df = spark.createDataFrame([(v,) for v in values], "v int")
+        known = sorted(v for v in values if v is not None)
+        want = (known[(len(known) - 1) // 2] + known[len(known) // 2]) / 2 if known else None
+        assert metrics.exact_median(df, "v").first().median == want
+
+
+def test_worklist_asks_each_text_once(spark, tmp_path):
+    from voxloom.sources import sinks
+
+    path = str(tmp_path / "cache")
+    texts = spark.createDataFrame([(t,) for t in [" a ", "a", "bb", "", None, "long one", "long two"]], "text string")
+    assert sinks.read_cache(spark, path).count() == 0
+    first = sorted(r.text for r in joins.worklist(texts, "text", sinks.read_cache(spark, path), 4).collect())
+    assert first == ["a", "bb", "long"]
+    assert sinks.add_to_cache(spark.createDataFrame([("a", "A"), ("bb", None), ("long", "L")], "text string, translated string"), path) == 1
+    assert joins.worklist(texts, "text", sinks.read_cache(spark, path), 4).count() == 0
+    assert sinks.add_to_cache(spark.createDataFrame([("bb", "B"), ("new", "N")], "text string, translated string"), path) == 2
+    assert {r.text: r.translated for r in sinks.read_cache(spark, path).collect()} == {"a": "A", "bb": "B", "long": "L", "new": "N"}
+    found = joins.lookup_fallback(texts.withColumn("id", F.monotonically_increasing_id()), "text", sinks.read_cache(spark, path), max_chars=4)
+    assert sorted(r.translated for r in found.collect()) == ["", "", "A", "A", "B", "L", "L"]
+
+
+def test_partitions_and_sheets_that_stay(spark, tmp_path):
+    import os
+
+    from voxloom.sources import sinks
+
+    def files(folder):
+        return {os.path.join(r, f): os.stat(os.path.join(r, f)).st_mtime_ns for r, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+    rows = spark.createDataFrame([("a", "s 1/2"), ("b", "t"), ("c", "t")], "id string, sheet string")
+    path = str(tmp_path / "t")
+    sinks.write_table(rows, path, ["sheet"])
+    before = files(path)
+    sinks.write_table(rows.filter("sheet = 't'").withColumn("id", F.lit("new")), path, ["sheet"], replace="partitions")
+    after = files(path)
+    assert {f: m for f, m in before.items() if "sheet=t" not in f} == {f: m for f, m in after.items() if "sheet=t" not in f}
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == ["a", "new", "new"]
+    with pytest.raises(ValueError):
+        sinks.write_table(rows, path, replace="partitions")
+    sheets = str(tmp_path / "sheets")
+    assert sinks.write_new_sheets(rows.filter("id = 'a'"), sheets, "sheet") == []
+    held = files(sheets)
+    assert sinks.write_new_sheets(rows.withColumn("id", F.lit("z")), sheets, "sheet") == ["s 1/2"]
+    assert held.items() <= files(sheets).items()
+    assert sorted((r.id, r.sheet) for r in spark.read.parquet(sheets).collect()) == [("a", "s 1/2"), ("z", "t"), ("z", "t")]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from voxloom.functions.text import null_text, present, strip_space, truncate_text
 from voxloom.operators.dedup import keep_first
 from voxloom.operators.shaping import fan_out
+from voxloom.schema import TRANSLATION_CHARS
 
 HOT_SHARE = 1000   # a key is hot from 1/1000 of all rows, hence at most 1000 hot keys
 SALTS = 64
@@ -69,16 +70,13 @@ def lookup_fallback(texts: DataFrame, text: str, lookup: DataFrame, id_col: str
     a translation say nothing. With ``max_chars`` the lookup was asked with that much of a text
     (a request limit), so both sides are cut to it; the own text stays whole.
     """
-    def asked(c: Column) -> Column:
-        return c if max_chars is None else truncate_text(c, max_chars)
-
     own = strip_space(null_text(text))
     table = keep_first(
         lookup.filter(F.col("translated").isNotNull()).select(
-            asked(strip_space(null_text("text"))).alias("_asked"),
+            asked_text("text", max_chars).alias("_asked"),
             F.col("translated").alias("_found")),
         ["_asked"], ["_found"])
-    keyed = texts.withColumn("_own", own).withColumn("_asked", asked(F.col("_own")))
+    keyed = texts.withColumns({"_own": own, "_asked": asked_text(text, max_chars)})
     joined = salted_lookup(keyed, table, ["_asked"], "left", [id_col])
     empty = F.col("_own") == ""
     return (joined
@@ -88,6 +86,27 @@ def lookup_fallback(texts: DataFrame, text: str, lookup: DataFrame, id_col: str
             .drop("_own", "_asked", "_found"))
 
 
+def asked_text(text: Column | str, max_chars: int | None = None) -> Column:
+    """What a translation service is asked for a text: trimmed and cut to the limit of a request."""
+    own = strip_space(null_text(text))
+    return own if max_chars is None else strip_space(truncate_text(own, max_chars))
+
+
+def worklist(texts: DataFrame, text: str, cache: DataFrame, max_chars: int | None = TRANSLATION_CHARS) -> DataFrame:
+    """(text): the different texts that are still to be asked, each once.
+
+    What stands in ``cache`` is not asked again, with a translation or without (null: it failed).
+    Copies collapse on the map side; texts meet the cache by hash first, so that long ones are
+    rarely compared.
+    """
+    def hashed(c: str) -> tuple[Column, Column]:
+        asked = asked_text(c, max_chars)
+        return F.xxhash64(asked).alias("_hash"), asked.alias("text")
+
+    new = texts.select(*hashed(text)).filter(F.col("text") != "").distinct()
+    return new.join(cache.select(*hashed("text")).distinct(), ["_hash", "text"], "left_anti").select("text")
+
+
 def changed_text(original: Column | str, variant: Column | str) -> Column:
     """Rows whose text differs after trimming both sides."""
     return strip_space(null_text(original)) != strip_space(null_text(variant))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.labels import id_label
 from voxloom.functions.stats import f1
+from voxloom.operators.ranking import running_total
 from voxloom.schema import LABEL_IDS
 
 TRUTH, PRED = "label_id", "pred_id"
@@ -156,6 +157,26 @@ def corpus_totals(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return one[0].unionByName(one[1]).groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
 
 
+def exact_median(df: DataFrame, value: str) -> DataFrame:
+    """One row ``median``: the mean of the two values in the middle; null for no value.
+
+    Rows are counted per value with partial sums, and ranks are running totals over that histogram:
+    no task sees more than a slice of the distinct values.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_total(counts, [value], "_n", "_before")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    # Of the values in the middle, the lower has rank (n - 1) div 2 and the upper n div 2, from 0.
+    low, high = F.floor((total - 1) / 2), F.floor(total / 2)
+    end = F.col("_before") + F.col("_n")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_before") <= rank) & (rank < end), F.col(value)))
+
+    return placed.agg(((at(low) + at(high)) / 2).cast("double").alias("median"))
+
+
 def corpus_span(df: DataFrame, date: str, words: str) -> DataFrame:
-    return df.agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"),
-                  F.median(words).alias("median_words"))
+    """First and last date and the exact median length, as one row."""
+    return df.agg(F.min(date).alias("first_date"), F.max(date).alias("last_date")).withColumn(
+        "median_words", exact_median(df, words).scalar())

@@ -23,8 +23,10 @@ CUTS = 64
 
 
 def seeded_hash(id_col: Column | str, seed: int = SEED) -> Column:
-    """Reproducible random order key of a row."""
-    return F.md5(F.concat(F.lit(f"{seed}-"), _c(id_col).cast("string")))
+    """Reproducible random order key of a row. A row without an id has no place in the order: an error."""
+    key = _c(id_col).cast("string")
+    none = F.raise_error(F.lit("a seeded order needs an id on every row, found null")).cast("string")
+    return F.when(key.isNull(), none).otherwise(F.md5(F.concat(F.lit(f"{seed}-"), key)))
 
 
 def _offsets(df: DataFrame, groups: Sequence[str]) -> DataFrame:

@@ -132,6 +132,30 @@ def sink_ignore_existing(spark, d):
     return _rows(spark.read.schema(REVIEW_SCHEMA).parquet(path))
 
 
+@query("sink_partitions", f"""
+WITH {V.REVIEWS_SQL} SELECT id, CASE WHEN app = 'fr' THEN 'changed' ELSE text END AS text, rating, epoch, source, app FROM reviews
+WHERE app <> 'fr' OR rating IS NOT NULL""")
+def sink_partitions(spark, d):
+    """A second run of one partition; the files of the others stay."""
+    path = scratch_path(spark, "partitions")
+    rows = reviews(spark, d)
+    sinks.write_table(rows, path, ["app"])
+    rerun = rows.filter("app = 'fr' and rating is not null").withColumn("text", F.lit("changed"))
+    sinks.write_table(rerun, path, ["app"], replace="partitions")
+    return _rows(spark.read.schema(REVIEW_SCHEMA).parquet(path))
+
+
+@query("sink_new_sheets", f"""
+WITH {V.REVIEWS_SQL} SELECT id, CASE WHEN app = 'de' THEN 'later' ELSE text END AS text, app FROM reviews WHERE app IN ('en', 'fr', 'de')""")
+def sink_new_sheets(spark, d):
+    """A new sheet joins those that are there; these keep their rows."""
+    path = scratch_path(spark, "sheets")
+    rows = reviews(spark, d).select("id", "text", "app")
+    sinks.write_new_sheets(rows.filter("app in ('en', 'fr')"), path, "app")
+    sinks.write_new_sheets(rows.filter("app in ('fr', 'de')").withColumn("text", F.lit("later")), path, "app")
+    return spark.read.parquet(path).select("id", "text", "app")
+
+
 @query("empty_result_schema", """
 SELECT '' AS tier, '' AS model, 0.0::DOUBLE AS accuracy, 0.0::DOUBLE AS macro_f1 FROM documents WHERE false""")
 def empty_result_schema(spark, d):
