@@ -14,18 +14,21 @@ memory of a task is bounded by a window and its longest document. Within a windo
 The longer the window, the more even the costs; the results of a task depend on its rows alone, so
 a lost task is simply run again. Sequence ids are unique over all tasks.
 
-Words are tokenised once and kept in bounded tables per worker: the tokenizer drops white space and
-never joins characters across it, so the ids of a text are those of its words.
+Words, or their letters and marks, are tokenised once and kept in bounded tables per worker: the
+tokenizer drops white space and never joins characters across it, so the ids of a text are those of
+its words.
 
 Null and empty texts are the end id alone. Repeated rows and null ids are documents like any other;
-an empty table gives no rows.
+a very long text is tokenised whole and cut into full sequences; further columns of any name are not
+read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import sys
 import zlib
+from array import array
 from functools import cache
 
 import numpy as np
@@ -43,22 +46,56 @@ CAPACITY = 4096
 WINDOW_TOKENS = 1 << 21
 #: Cost of a token, and of a pair of tokens in one document, in units of the former.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
-#: Words of a table; a worker holds two of them.
+#: Units of a table; a worker holds two of them.
 KNOWN_WORDS = 400_000
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long")
 _IDS = np.dtype("<u4")
-#: Words of ASCII and Latin-1 letters, with marks behind: one piece of letters, one of marks.
-_PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+([.,;:!?]*)")
+#: Byte-level tokenizers write the bytes 0x80 to 0xA0 and 0xAD of a text as letters from U+0122 on, others as Latin-1.
+_BYTE_LETTERS = {b: 0x122 + i for i, b in enumerate([*range(0x80, 0xA1), 0xAD])}
+_PROBES = [w.encode() for w in ("a", "the", "zymurgy", "über", "àéîõüýþßæ", "façade", "incomprehensibilities", ".", "?!", ".,;:!?")]
+#: Bytes of text tokenised at once: the more, the fewer look-ups of a frequent unit.
+SLICE_BYTES = 4 << 20
+_LETTER, _MARK, _LATIN = (np.zeros(256, bool) for _ in range(3))
+_LETTER[ord("A"): ord("Z") + 1] = _LETTER[ord("a"): ord("z") + 1] = True
+_MARK[list(b".,;:!?")] = True
+_LATIN[0x80:0xC0] = True  # behind 0xC3: the Latin-1 letters, but for two signs
+_LATIN[[0x97, 0xB7]] = False
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[ord("A"): ord("Z") + 1] += 32
 
 
 def cost(n):
     return LINEAR * n + QUADRATIC * n * n
 
 
+def units(texts: words.Texts, split: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, where units start and end, which are simple): words, and their letters and marks apart.
+
+    A word of ASCII and Latin-1 letters with marks behind is two simple units: the tokenizer ignores
+    case and never joins the two, so words that differ in case or marks share their letters' ids.
+    All other words are one unit as they stand.
+    """
+    data, starts, ends = texts.data, texts.starts, texts.ends
+    if not split or not len(starts):
+        return data, starts, ends, np.zeros(len(starts), bool)
+    letter, mark = _LETTER[data], _MARK[data]
+    pair = (data[:-1] == 0xC3) & _LATIN[data[1:]]
+    letter[:-1] |= pair
+    letter[1:] |= pair
+    letters, marks = (np.concatenate(([0], np.cumsum(x, dtype=np.int32))) for x in (letter, mark))
+    n = letters[ends] - letters[starts]
+    cut = starts + n
+    plain = (n > 0) & (n + marks[ends] - marks[starts] == ends - starts) & (letters[cut] - letters[starts] == n)
+    data = np.where(np.repeat(plain, np.diff(np.append(starts, len(data)))), words.lower(data[starts[0]:], _SMALL), data[starts[0]:])
+    data = np.concatenate((texts.data[: starts[0]], data))
+    two = np.flatnonzero(plain & (cut < ends))
+    return data, np.insert(starts, two + 1, cut[two]), np.insert(ends, two, cut[two]), np.insert(plain, two + 1, True)
+
+
 class WordTokens:
-    """Ids of words, as little-endian bytes, in two bounded tables: recent words, and those before."""
+    """Ids of units, as little-endian bytes, in two bounded tables: recent units, and those before."""
 
     def __init__(self, path: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -74,6 +111,9 @@ class WordTokens:
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool) if suffix else None
         if suffix:
             self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # A byte-level tokenizer that takes small letters and marks as they are, each unit as one piece.
+        self.direct = array("I").itemsize == 4 and sys.byteorder == "little"
+        self.direct = self.direct and self._encode_simple(_PROBES) == self._encode(_PROBES)
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
@@ -81,50 +121,48 @@ class WordTokens:
         codes = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
         return [np.array(code.ids, _IDS).tobytes() for code in codes]
 
-    def _encode_plain(self, some: list[bytes], pieces: np.ndarray) -> list[bytes]:
-        """Of words whose number of pieces is known, as one text: a piece ends with an id marked so."""
+    def _encode_simple(self, some: list[bytes]) -> list[bytes]:
+        """Of simple units, straight from the tokenizer's model where that is the same."""
+        if not self.direct:
+            return self._encode_joined(some)
+        own = self.tokenizer.model.tokenize
+        return [array("I", [t.id for t in own(w.decode("latin-1").translate(_BYTE_LETTERS))]).tobytes() for w in some]
+
+    def _encode_joined(self, some: list[bytes]) -> list[bytes]:
+        """Of units that are one piece each, as one text: a piece ends with an id marked so."""
         [code] = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
         ids = np.array(code.ids, _IDS)
         ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != pieces.sum() or not len(ids) or ends[-1] != len(ids):
+        if len(ends) != len(some) or ends[-1] != len(ids):
             return self._encode(some)
-        cuts = np.concatenate(([0], ends[np.cumsum(pieces) - 1])).tolist()
-        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    def learn(self, new: list[bytes]) -> None:
-        plain, pieces, others = [], [], []
-        for w in new:
-            m = _PLAIN.fullmatch(w) if self.last is not None else None
-            if m:
-                plain.append(w)
-                pieces.append(1 + bool(m[1]))
-            else:
-                others.append(w)
-        for at in range(0, len(plain), 512):
-            some = plain[at: at + 512]
-            self.known.update(zip(some, self._encode_plain(some, np.array(pieces[at: at + 512])), strict=True))
-        for at in range(0, len(others), 512):
-            some = others[at: at + 512]
-            self.known.update(zip(some, self._encode(some), strict=True))
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist(), strict=True)]
+
+    def learn(self, new: list[bytes], encode) -> None:
+        for at in range(0, len(new), 512):
+            some = new[at: at + 512]
+            self.known.update(zip(some, encode(some), strict=True))
 
     def documents(self, texts: words.Texts) -> list[bytes]:
-        """The ids of each row. Each different word of the slice is looked up once."""
-        raw, h = texts.data.tobytes(), texts.hashes()
+        """The ids of each row. Each different unit of the slice is looked up once."""
+        data, starts, ends, simple = units(texts, self.last is not None)
+        raw, h = data.tobytes(), words.word_hashes(data, starts, ends)
         _, first, at = np.unique(h, return_index=True, return_inverse=True)
-        parts = [raw[a:b] for a, b in zip(texts.starts[first].tolist(), texts.ends[first].tolist(), strict=True)]
+        parts = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         if len(self.known) > KNOWN_WORDS:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
-        new = [w for w in parts if w not in known]
-        known.update((w, before[w]) for w in new if w in before)
-        self.learn([w for w in new if w not in known])
+        new = [(w, s) for w, s in zip(parts, simple[first].tolist(), strict=True) if w not in known]
+        known.update((w, before[w]) for w, _ in new if w in before)
+        self.learn([w for w, s in new if s and w not in known], self._encode_simple)
+        self.learn([w for w, s in new if not s and w not in known], self._encode)
         codes = [known[w] for w in parts]
         flat = np.frombuffer(b"".join(codes), _IDS)
         sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
         begin = np.cumsum(sizes) - sizes
         size = sizes[at]  # of each word in turn
         rows = len(texts.offsets) - 1
-        row = np.repeat(np.repeat(np.arange(rows), np.diff(texts.doc_first)), size)
+        row = np.repeat(np.repeat(np.arange(rows), np.diff(np.searchsorted(starts, texts.offsets))), size)
         place = np.arange(len(row))
         out = np.full(len(row) + rows, END, dtype=_IDS)
         out[place + row] = flat[np.repeat(begin[at] - (np.cumsum(size) - size), size) + place]
@@ -192,7 +230,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
         held, size = [], 0
         for batch in batches:
             ids = words.plain_column(batch, "doc_id").to_pylist()
-            for texts in words.slices(words.plain_column(batch, "text")):
+            for texts in words.slices(words.plain_column(batch, "text"), SLICE_BYTES):
                 for doc_id, code in zip(ids[texts.rows], tokens.documents(texts), strict=True):
                     held.append((doc_id, code))
                     size += len(code) // 4
