@@ -89,3 +89,129 @@ def test_misspelt_words_share_grams():
     row, bucket = toxicity.grams(part)
     score = np.bincount(row, margins[bucket], 2) / np.bincount(row, minlength=2) + bias
     assert score[0] > score[1]
+
+
+M = (1 << 64) - 1
+
+
+def plain_mix(h):
+    for _ in range(2):
+        h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & M
+    return h ^ h >> 32
+
+
+def word_hash(w):
+    [part] = words.slices(pa.array([w]))
+    return int(part.hashes()[0])
+
+
+def plain_features(text):
+    """{bucket: value} of the hashed words, pairs, shapes and shape pairs of one text."""
+    k = [int(x) for x in quality._K]
+
+    def kind(b):
+        return ord("a") if chr(b).islower() and b < 128 else ord("A") if chr(b).isupper() and b < 128 else ord("0") if chr(b).isdigit() and b < 128 else min(b, 128)
+
+    def paired(hashes, seed):
+        before = [0, *hashes][:len(hashes)]
+        return [plain_mix(((seed if b == h else b * k[0] + h) + seed) & M) for h, b in zip(hashes, before, strict=True)]
+
+    found = (text or "").encode().split()
+    hashes = [word_hash(w.decode()) for w in found]
+    shapes = [plain_mix((((kind(w[0]) * 257 + kind(w[max(len(w) - 2, 0)])) * 257 + kind(w[-1])) + k[1]) & M) for w in found]
+    counts = {}
+    for h in [*hashes, *paired(hashes, k[1]), *shapes, *paired(shapes, k[2])]:
+        counts[h >> 64 - quality.BITS] = counts.get(h >> 64 - quality.BITS, 0) + 1
+    norm = sum(counts.values()) ** 0.5
+    return {b: n ** 0.5 / norm for b, n in counts.items()}
+
+
+def plain_ftrl(texts, labels):
+    """Per-coordinate follow-the-regularised-leader, feature by feature."""
+    z, n, z0, n0 = {}, {}, 0.0, 0.0
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= quality.L1:
+            return 0.0
+        sign = 1 if z[f] > 0 else -1
+        return (sign * quality.L1 - z[f]) / ((quality.BETA + n[f] ** 0.5) / quality.ALPHA + quality.L2)
+
+    for _ in range(quality.EPOCHS):
+        for t, y in zip(texts, labels, strict=True):
+            x = plain_features(t)
+            w, w0 = {f: weight(f) for f in x}, -z0 * quality.ALPHA / (quality.BETA + n0 ** 0.5)
+            error = 1 / (1 + np.exp(-(sum(w[f] * v for f, v in x.items()) + w0))) - y
+            for f, v in x.items():
+                grown = n.get(f, 0.0) + (error * v) ** 2
+                z[f] = z.get(f, 0.0) + error * v - (grown ** 0.5 - n.get(f, 0.0) ** 0.5) / quality.ALPHA * w[f]
+                n[f] = grown
+            z0 += error - ((n0 + error * error) ** 0.5 - n0 ** 0.5) / quality.ALPHA * w0
+            n0 += error * error
+    return {f: weight(f) for f in z}, -z0 * quality.ALPHA / (quality.BETA + n0 ** 0.5)
+
+
+LINES = ["good plain words here", "BUY NOW!!! 50% 50% off", "", "one", "é Ünï – ok", "a a a b", "Click HERE click here", "the cat sat on the mat"]
+
+
+def test_quality_features_steps_and_scores_match_plain_python(spark):
+    texts = LINES * 3
+    labels = [1, 0, 0, 1, 1, 0, 0, 1] * 3
+    [part] = words.slices(pa.array(texts))
+    row, feature, value = quality.features(part)
+    for i, t in enumerate(texts):
+        got = dict(zip(feature[row == i].tolist(), value[row == i].tolist(), strict=True))
+        assert got == pytest.approx(plain_features(t))
+    weights, intercept = quality.fit(texts, labels)
+    want, plain_intercept = plain_ftrl(texts, labels)
+    assert intercept == pytest.approx(plain_intercept, abs=1e-6)
+    assert {int(f): weights[f] for f in np.flatnonzero(weights)} == pytest.approx({f: w for f, w in want.items() if w}, abs=1e-5)
+    scored = quality.score(documents(spark, [*LINES, None]), (weights, intercept)).collect()
+    for r in scored:
+        text = ([*LINES, None])[r.doc_id]
+        margin = sum(want.get(f, 0.0) * v for f, v in plain_features(text).items()) + plain_intercept
+        assert r.score == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-5)
+
+
+def test_toxicity_grams_steps_and_scores_match_plain_python(spark, monkeypatch):
+    def plain_grams(text):
+        data = b" " + bytes(c + 32 if 65 <= c <= 90 else 32 if c in b" \t\n\v\f\r" else c for c in (text or "").replace("Ü", "ü").replace("É", "é").encode()) + b" "
+        out = []
+        for n in range(toxicity.SHORTEST, toxicity.LONGEST + 1):
+            for i in range(len(data) - n + 1):
+                piece = data[i:i + n]
+                if b" " not in piece[1:-1]:
+                    h = 0
+                    for c in piece:
+                        h = (h * int(toxicity._BASE) + int(toxicity._BYTE[c])) & M
+                    out.append(plain_mix((h + n) & M) >> 64 - toxicity.BITS)
+        return out
+
+    [part] = words.slices(pa.array([*LINES, None, "x"]))
+    row, bucket = toxicity.grams(part)
+    for i, t in enumerate([*LINES, None, "x"]):
+        assert sorted(bucket[row == i].tolist()) == sorted(plain_grams(t))
+    # One epoch of one example, step by step.
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    texts, labels = ["bad word", "good day"], [1, 0]
+    margins, bias = toxicity.fit(texts, labels, seed=5)
+    rng = np.random.default_rng(5)
+    table = rng.normal(0, 0.01, (1 << toxicity.BITS, toxicity.DIM)).astype(np.float32).astype(float)
+    softmax = rng.normal(0, 0.5, (toxicity.DIM, 2)).astype(np.float32).astype(float)
+    b, seen_softmax, seen_b, order = np.zeros(2), np.full((toxicity.DIM, 2), 1e-8), np.full(2, 1e-8), np.arange(2)
+    rng.shuffle(order)
+    for i in order:
+        bag = plain_grams(texts[i])
+        mean = sum(table[g] for g in bag) / len(bag)
+        p = np.exp(mean @ softmax + b)
+        error = p / p.sum() - np.eye(2)[labels[i]]
+        back = softmax @ error
+        seen_softmax += np.outer(mean, error) ** 2
+        softmax = softmax - toxicity.WEIGHT_RATE * np.outer(mean, error) / np.sqrt(seen_softmax)
+        seen_b += error ** 2
+        b = b - toxicity.BIAS_RATE * error / np.sqrt(seen_b)
+        for g in bag:
+            table[g] -= toxicity.RATE * back / len(bag)
+    assert margins == pytest.approx(table @ (softmax[:, 1] - softmax[:, 0]), rel=1e-3, abs=1e-3) and bias == pytest.approx(b[1] - b[0], abs=1e-5)
+    for r in toxicity.score(documents(spark, LINES), (margins, bias)).collect():
+        bag = plain_grams(LINES[r.doc_id])
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(sum(margins[g] for g in bag) / max(len(bag), 1) + bias))), abs=1e-4)

@@ -8,7 +8,7 @@ bounded labelled sample in numpy; L1 keeps them sparse. Every whole text is then
 dot product in Arrow batches; the weights are ``2^BITS`` floats, the only thing broadcast.
 
 Null and empty texts get the score of the intercept alone; ties, repeated rows and further columns
-have no effect; an empty table gives no rows; without labels of both classes every score is 0.5.
+of any name have no effect; very long texts are scored whole, alone in their slice; an empty table gives no rows; without labels of both classes every score is 0.5.
 """
 
 from __future__ import annotations
@@ -67,11 +67,12 @@ def features(texts: words.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, keys & ((1 << BITS) - 1), value / norm[row]
 
 
-def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
+def fit(texts: pa.Array | list[str], labels: list[int]) -> tuple[np.ndarray, float]:
     """(weights, intercept)."""
     examples = []
-    for part in words.slices(pa.array(texts, pa.string())):
+    for part in words.slices(pa.array(texts, pa.string()) if isinstance(texts, list) else texts):
         row, feature, value = features(part)
+        feature, value = feature.astype(np.int32), value.astype(np.float32)
         at = np.searchsorted(row, np.arange(len(part.offsets)))
         examples += [(feature[a:b], value[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
@@ -97,8 +98,8 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", rows_per_class: int = ROWS_PER_CLASS,
           max_chars: int = MAX_CHARS) -> tuple[np.ndarray, float]:
-    """Fit on the bounded sample of labelled rows that are not held out."""
-    return fit(*training.labelled_sample(docs, labels, label, rows_per_class, max_chars))
+    """Fit, in a task, on the bounded sample of labelled rows that are not held out."""
+    return training.fitted(training.sample_rows(docs, labels, label, rows_per_class, max_chars), fit)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:

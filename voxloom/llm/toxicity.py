@@ -4,13 +4,12 @@ A text is the bag of its character n-grams (``SHORTEST`` to ``LONGEST`` bytes of
 text, blanks mark where words begin and end, none crosses a blank), hashed into ``2^BITS`` rows of
 an embedding table. The mean of the bag's rows goes through a linear softmax of two classes;
 embeddings (plain steps that shrink) and softmax (Adagrad) are learnt together over a bounded
-labelled sample. A
-misspelt word shares most n-grams with the word it stands for, so it needs no row of its own.
+labelled sample. A misspelt word shares most n-grams with the word it stands for, so it needs no row of its own.
 Because mean and softmax are linear, scoring needs one number per row, ``E (w1 - w0)``: that table
 of ``2^BITS`` floats is the only thing broadcast, and every whole text is scored in Arrow batches.
 
 Null and empty texts get the score of the softmax bias alone; ties, repeated rows and further
-columns have no effect; an empty table gives no rows; without labels of both classes every score
+columns of any name have no effect; very long texts are scored whole, alone in their slice; an empty table gives no rows; without labels of both classes every score
 is 0.5.
 """
 
@@ -62,12 +61,12 @@ def grams(texts: words.Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(buckets)
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 0) -> tuple[np.ndarray, float]:
+def fit(texts: pa.Array | list[str], labels: list[int], seed: int = 0) -> tuple[np.ndarray, float]:
     """(one number per bucket, bias): the margin of class 1 over class 0."""
     if len(set(labels)) < 2:
         return np.zeros(1 << BITS, np.float32), 0.0
     examples = []
-    for part in words.slices(pa.array(texts, pa.string())):
+    for part in words.slices(pa.array(texts, pa.string()) if isinstance(texts, list) else texts):
         row, bucket = grams(part)
         keys, counts = np.unique(row << BITS | bucket, return_counts=True)
         at = np.searchsorted(keys >> BITS, np.arange(len(part.offsets)))
@@ -102,8 +101,8 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> tuple[np.ndarray,
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_class: int = ROWS_PER_CLASS,
           max_chars: int = MAX_CHARS) -> tuple[np.ndarray, float]:
-    """Fit on the bounded sample of labelled rows that are not held out."""
-    return fit(*training.labelled_sample(docs, labels, label, rows_per_class, max_chars))
+    """Fit, in a task, on the bounded sample of labelled rows that are not held out."""
+    return training.fitted(training.sample_rows(docs, labels, label, rows_per_class, max_chars), fit)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Which labelled rows a classifier learns from, and its scores as a DataFrame.
+"""Which labelled rows a classifier learns from, its fit in a task, and its scores as a DataFrame.
+
+The bounded sample of texts is fitted in one task; the driver sees ids and lengths of the rows that
+may be taken (at most ``rows_per_class`` of each class) and the fitted numbers, no text.
 
 Rows are split by ``crc32(doc_id as text) mod 5``: remainder 0 is held out, the rest may be learnt
 from. A null ``doc_id`` counts as the empty text, hence as held out.
@@ -8,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +25,14 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int,
-                    max_chars: int) -> tuple[list[str], list[int]]:
-    """Texts and 0/1 labels to learn from, in a fixed pseudo-random order.
+def sample_rows(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int, max_chars: int) -> DataFrame | None:
+    """rank, doc_id, y, text of the rows to learn from; ``rank`` and ``doc_id`` order them.
 
     Of each class the ``rows_per_class`` rows with the smallest hash of ``doc_id`` are taken. A text
     that no longer fits into ``max_chars`` is passed over, not cut, and those behind it still count:
-    a bounded sample, whatever the size of the tables or of a single text. Labels that are null or not 0/1, and rows that are held out, are left out. Of
-    repeated rows of a ``doc_id`` the smallest text counts; null texts are empty.
+    a bounded sample, whatever the size of the tables or of a single text. Labels that are null or
+    not 0/1, and rows that are held out, are left out. Of repeated rows of a ``doc_id`` the smallest
+    text counts; null texts are empty. None if there is no such row.
     """
     rank = F.xxhash64("doc_id")
     known = labels.filter(F.col(label).isin(0, 1)).filter(~held_out()).groupBy("doc_id").agg(
@@ -43,13 +48,41 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
                 budget -= r["_n"]
                 chosen.append((r["doc_id"], y))
     if not chosen:
-        return [], []
+        return None
     wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, _y int")
     # Two sides of at most 2 x rows_per_class rows: the chosen ids are proven small.
-    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "_y").agg(F.min("text").alias("text"))
-            .orderBy(rank, "doc_id").collect())
-    return [r["text"] for r in rows], [r["_y"] for r in rows]
+            .select(rank.alias("rank"), "doc_id", F.col("_y").alias("y"), "text"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int,
+                    max_chars: int) -> tuple[list[str], list[int]]:
+    """Texts and 0/1 labels of ``sample_rows`` in their order, for small samples and tests."""
+    sample = sample_rows(docs, labels, label, rows_per_class, max_chars)
+    rows = sample.orderBy("rank", "doc_id").collect() if sample is not None else []
+    return [r["text"] for r in rows], [r["y"] for r in rows]
+
+
+def fitted(sample: DataFrame | None, fit: Callable) -> tuple[np.ndarray, float]:
+    """``fit`` (texts as an Arrow array, labels) -> (numbers, intercept), in the one task that holds the sample."""
+    if sample is None:
+        return fit(pa.array([], pa.string()), [])
+    ship_package(sample.sparkSession)
+
+    def run(batches):
+        whole = pa.Table.from_batches(list(batches), pa.schema([("y", pa.int32()), ("text", pa.string())])).combine_chunks()
+        labels, texts = whole.column("y").to_pylist(), whole.column("text").combine_chunks()
+        del whole
+        numbers, intercept = fit(texts, labels)
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([numbers.astype(np.float32).tobytes()], pa.binary()), pa.array([float(intercept)])], ["numbers", "intercept"])
+
+    # All rows of the bounded sample go to one task, in the order that they are learnt in.
+    row = (sample.repartition(1).sortWithinPartitions("rank", "doc_id").select("y", "text")
+           .mapInArrow(run, "numbers binary, intercept double").first())
+    return np.frombuffer(bytes(row["numbers"]), np.float32), row["intercept"]
 
 
 def score_documents(docs: DataFrame, scorer: Callable, threshold: float) -> DataFrame:
