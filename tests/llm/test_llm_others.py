@@ -72,6 +72,31 @@ def test_top_k(spark):
     assert sorted(tuple(r) for r in topk.search_every(few, 1).collect()) == plain_top(rows[:2] + rows[300:301], 1, 5)
 
 
+def test_last_round_visits_all_annuli(spark, monkeypatch):
+    """Vectors so alike in length and spread that bounds hardly prune; more annuli than any round names."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=12)]) for i in range(400)]
+    data = topk.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    asked = data.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    index = topk.Index(data, pivots=48, annuli=8)
+    assert len(index.cells) > topk.ROUNDS[-1]
+    assert sorted(tuple(r) for r in index.search(asked, 5, rounds=(1, 2)).collect()) == plain_top(rows, 20, 5)
+
+
+def test_scores_beyond_longs_are_an_error(spark):
+    def table(rows):
+        return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    large = [(50, [2e6, 1.0]), (1, [3e6, -2.0]), (2, [-2e6, 4.0])]
+    assert sorted(tuple(r) for r in topk.search_every(table(large), 50).collect()) == plain_top(large, 50, 5)
+    for v in ([3e7], [4e16], [1e300]):
+        with pytest.raises(ValueError, match="64-bit"):
+            topk.search_every(table([(50, [1e7]), (1, v), (2, [3e7])]), 50)
+    with pytest.raises(ValueError, match="64-bit"):
+        data = topk.vectors(table([(1, [1.0])]))
+        topk.Index(data).search(topk.vectors(table([(1, [1e17])])).withColumnRenamed("vec_id", "query_id"))
+
+
 def test_crowded_annuli_are_split(spark, monkeypatch):
     monkeypatch.setattr(topk, "VISITORS", 7)
     rows = [(i, [1.0, float(i % 3)]) for i in range(200)]

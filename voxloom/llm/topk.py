@@ -16,10 +16,11 @@ crowded annulus (equal vectors, for instance) is spread. Broadcast are only the
 per annulus.
 
 Components become floor(scale * x); scores are integers. Vectors that are null or hold null, NaN or
-infinite components, and rows without id, take no part; nor do components of 3e16 or more, whose
-scaled value a long cannot hold. Shorter vectors count as padded with zeros.
-Of rows with the same id the smallest vector counts. Ties go to the smaller id; fewer candidates
-than k give fewer rows; an empty table gives none.
+infinite components, and rows without id, take no part. Vectors so long that the product of two
+norms reaches 2^63 are an error, since a score would not fit a long. Shorter vectors count as
+padded with zeros. Of rows with the same id the smallest vector counts. Ties go to the smaller id;
+fewer candidates than k give fewer rows; further columns of any name are not read; an empty table
+gives none.
 """
 
 from __future__ import annotations
@@ -38,14 +39,16 @@ ANNULI = 8
 SAMPLE = 8192
 BLOCK = 4096
 VISITORS = 1024
-#: Annuli visited by a query per round; the last round visits all that its bound leaves.
-ROUNDS = (4, 24, PIVOTS * ANNULI)
+#: Annuli visited by a query up to the end of each round; a last round visits all that its bound leaves.
+ROUNDS = (4, 24)
+#: Scores must be below this; floating-point norms that are checked against it may be off a little.
+LARGEST = 2.0**63 * (1 - 1e-9)
 
 
 def vectors(rows: DataFrame, scale: int = 256) -> DataFrame:
     """vec_id, vec (array of long) of every row that takes part, one per id."""
     x = F.col("embedding")
-    whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < 3e16))
+    whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf")))
     return (rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id is not null").filter(whole)
             .select("vec_id", F.transform(x, lambda v: F.floor(v.cast("double") * scale)).alias("vec"))
             .groupBy("vec_id").agg(F.min("vec").alias("vec")))
@@ -112,14 +115,24 @@ def _best(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return row[chosen], column[chosen]
 
 
+def _squared_norm():
+    return F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double") * v)
+
+
+def _check_scores(a: float, b: float) -> None:
+    """Squared norms whose product bounds the square of every score."""
+    if a * b >= LARGEST * LARGEST:
+        raise ValueError(f"vectors too long: a score may reach {(a * b) ** 0.5:.3g}, beyond 64-bit integers")
+
+
 class Index:
     """The cells of all vectors of ``data`` (vec_id, vec)."""
 
     def __init__(self, data: DataFrame, pivots: int = PIVOTS, annuli: int = ANNULI, block: int = BLOCK):
         ship_package(data.sparkSession)
-        norm = F.aggregate("vec", F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double") * v)
-        stats = data.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim"), F.max(norm).alias("most")).first()
+        stats = data.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim"), F.max(_squared_norm()).alias("most")).first()
         self.size, self.dim, self.most = stats["n"], stats["dim"] or 0, stats["most"] or 0.0
+        _check_scores(self.most, self.most)
         if not self.size:
             return
         sample = [r["vec"] for r in data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
@@ -219,9 +232,10 @@ class Index:
         none = "query_id long, rank int, vec_id long, score long"
         if not self.size:
             return queries.sparkSession.createDataFrame([], none)
+        _check_scores(self.most, queries.agg(F.max(_squared_norm())).first()[0] or 0.0)
         best, first = None, 0
         ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        for last in rounds:
+        for last in [*(r for r in rounds if r < len(self.cells)), len(self.cells)]:
             state = queries.withColumn("worst", F.lit(None).cast("long"))
             if best is not None:
                 full = best.filter(F.col("rank") == k).select("query_id", F.col("score").alias("worst"))
@@ -231,8 +245,6 @@ class Index:
                 found = found.union(best.select("query_id", "vec_id", "score"))
             best = written(found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k), "best")
             first = last
-            if first >= len(self.cells):
-                break
         return best.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
