@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from helpers import components, documents, edge_documents, fingerprint, without_repeats
+from helpers import SCHEMA, components, documents, edge_documents, fingerprint, without_repeats
 
 from voxloom.llm import components as stars
 from voxloom.llm import simhash, substrings
@@ -44,6 +44,18 @@ def test_one_document_of_a_group_stays(spark):
     assert sorted(i for i in ids if i is not None) == [0, 3, 4, 5, 6, 7] and ids.count(None) == 1
 
 
+def test_two_texts_under_one_id_count_each_for_itself(spark):
+    first, other, third = ("alpha beta gamma delta", "one two three four five", "un deux trois quatre cinq six")
+    rows = [(3, first), (5, first), (5, other), (7, other), (9, third), (9, third), (1, third)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, t, "en", "s", 1, 0.5, 7, "x", 1, 2) for i, t in order], SCHEMA)
+        assert sorted((r.doc_id, r.text) for r in simhash.keep_first(docs).collect()) == [(1, third), (3, first), (5, other)]
+    same = spark.createDataFrame([(1, first, "en"), (1, other, "en"), (1, first, "de")], "doc_id long, text string, lang string")
+    kept = [tuple(r) for r in simhash.keep_first(same).collect()]
+    assert len(kept) == 2 and {t for _, t, _ in kept} == {first, other}
+    assert sorted(kept) == sorted(tuple(r) for r in simhash.keep_first(same.repartition(3, "lang")).collect())
+
+
 def test_any_plan_finds_all_links():
     rng = np.random.default_rng(0)
     centre = rng.integers(0, 2**63, 40, dtype=np.int64)

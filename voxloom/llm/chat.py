@@ -12,8 +12,9 @@ compared are distinct, so a conversation logged by a third of all ids is a singl
 conversation comes in one row per slice (nearly always one).
 
 Turns are ordered by (turn, role, text), nulls first; repeated rows count once; null roles and
-texts are empty. Rows without ``conv_id`` belong to no conversation and are left out. An empty
-table gives no rows.
+texts are empty, texts of any length are kept whole. Rows without ``conv_id`` belong to no
+conversation and are left out. Further columns, whatever their names, are not read. An empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -24,8 +24,9 @@ take more blocks. The passages of a block go to indexes of at most ``RANK`` pass
 own SVD, which loses nothing to it; the indexes of a block share its passes over the documents.
 
 Null texts are empty; items without terms leak nowhere. Repeated rows are judged alike, of repeated
-items each counts; null ids are carried along; ties keep the smaller position. Empty tables give no
-rows.
+items each counts; null ids are carried along; ties keep the smaller position. Very long texts are read
+whole; ``find`` reads no further columns, ``keep_clean`` keeps them under any name. Empty tables give
+no rows.
 """
 
 from __future__ import annotations

@@ -19,7 +19,11 @@ documents, for the terms of supported pairs only: tasks look words up in a bit t
 chance. Counts are aggregated before they are shuffled.
 
 Null texts are empty. Rows are told apart by id and text: null ids, repeated rows and ties are
-harmless, equal rows get equal results. An empty table gives no rows.
+harmless, equal rows get equal results. An entity in every row discloses nothing. Very long texts
+are scanned whole; further columns of any name are not read. An empty table gives no rows.
+
+A text counts each of its terms with each of its entities that stand in ``SUPPORT`` texts or more: rows
+grow with terms times entities of a text.
 """
 
 from __future__ import annotations
@@ -227,7 +231,8 @@ def disclosures(scan: DataFrame, docs: DataFrame, held: DataFrame, entities: Dat
     rated = both.join(entities, "entity").join(_frequencies(docs, both.select("term")), "term")
     n_et = F.col("n_et")
     mutual = F.log(F.lit(float(total)) * n_et / (F.col("n_e") * F.col("n_t")))
-    rated = rated.withColumn("disclosure", mutual / F.log(F.lit(float(total)) / F.col("n_e")))
+    # An entity in every row tells rows apart no more than a term could: its own information is 0.
+    rated = rated.withColumn("disclosure", F.try_divide(mutual, F.log(F.lit(float(total)) / F.col("n_e"))))
     return rated.filter(F.col("disclosure") >= generalise).select("entity", "term", "disclosure")
 
 

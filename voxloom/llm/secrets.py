@@ -88,8 +88,8 @@ def parts(rows: DataFrame) -> DataFrame:
 
 def _near(weak: DataFrame, others: DataFrame, scope: int) -> DataFrame:
     """The rows of ``weak`` with a row of ``others`` in the same text at most ``scope`` away."""
-    slices = others.select("id", "row", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.explode(F.array_distinct(
-        F.array(F.floor(F.col("start") / scope), F.floor(F.col("end") / scope)))).alias("slice"))
+    slices = others.select("id", "row", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.explode(
+        F.sequence(F.floor(F.col("start") / scope), F.floor(F.col("end") / scope))).alias("slice"))
     reach = weak.withColumn("slice", F.explode(F.sequence(
         F.floor(F.col("start") / scope) - 1, F.floor(F.col("end") / scope) + 1)))
     gap = F.greatest(F.col("b.o_start") - F.col("a.end"), F.col("a.start") - F.col("b.o_end"))

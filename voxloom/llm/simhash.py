@@ -18,7 +18,8 @@ Scale: equal fingerprints collapse to one row first, so copies cost nothing. A b
 of 8 bits of which 5 must agree, with 40-bit keys. Components are found by star contraction.
 
 Null texts are empty. Null ids never become a component's id (a component of null ids only has a
-null id). Repeated rows get equal results; ties cannot occur; an empty table gives no rows.
+null id). Repeated rows get equal results; ties cannot occur; very long texts are hashed whole, alone
+in their slice; further columns of any name are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -77,18 +78,20 @@ def fingerprint_rows(texts: words.Texts) -> np.ndarray:
     return packed.view(np.uint64).ravel().view(np.int64)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (a long) of every row, from its whole text."""
+def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (a long) and the columns ``keep`` of every row, from its whole text."""
     ship_package(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
 
     def run(batches):
         for batch in batches:
             parts = [fingerprint_rows(t) for t in words.slices(words.plain_column(batch, "text"))]
             yield pa.RecordBatch.from_arrays(
-                [words.plain_column(batch, "doc_id"), pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))],
-                ["doc_id", "fp"])
+                [*(words.plain_column(batch, c) for c in ("doc_id", *keep)), pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))],
+                ["doc_id", *keep, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, f"{schema}, fp bigint")
 
 
 def _partitions(bits: np.ndarray, m: int) -> list[list[int]]:
@@ -235,24 +238,34 @@ def links(nodes: DataFrame, crowd: int = CROWD, radius: int = RADIUS) -> DataFra
     return rest.union(_links(_probes(members, finer), radius))
 
 
-def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every row of ``docs``."""
-    prints = written(fingerprints(docs), "fingerprints")
+def _classes(docs: DataFrame, crowd: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp, root (smallest fingerprint of the component), component_id and ``keep`` of every row."""
+    prints = written(fingerprints(docs, keep), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     root = roots(links(nodes.select("fp"), crowd)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     classes = nodes.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    return prints.join(classes.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id of every row of ``docs``."""
+    return _classes(docs, crowd).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """The document of the smallest id of each component, all columns, one row per id.
+    """One row of each component, all columns: of its rows with its smallest id, the one with the
+    smallest hash of the text, then of all columns.
 
-    Rows without id take no part and stay as they are.
+    A row counts by its own fingerprint: two different texts under one id both stay where each is
+    the first of its component. Rows without id take no part and stay as they are.
     """
-    named = docs.filter("doc_id is not null")
-    kept = near_duplicates(named.select("doc_id", "text"), crowd).filter("doc_id = component_id").select("doc_id").distinct()
-    return (named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.filter("doc_id is null")))
+    text, row = "_first_text", "_first_row"
+    named = docs.filter("doc_id is not null").withColumns(
+        {text: F.xxhash64(F.coalesce("text", F.lit(""))), row: F.xxhash64(*docs.columns)})
+    firsts = (_classes(named, crowd, (text, row)).filter("doc_id = component_id")
+              .groupBy("root").agg(F.min(F.struct("doc_id", text, row)).alias("of")).select("of.doc_id", f"of.{row}"))
+    # Rows that agree in every column are alike; one of them stays.
+    kept = named.join(firsts, ["doc_id", row], "left_semi").dropDuplicates(["doc_id", row])
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))

@@ -1,6 +1,10 @@
-"""Repeated passages: relative Lempel-Ziv factors against indexed reference blocks.
+"""Repeated passages: documents against the indexed blocks of all smaller ones.
 
-A document is factored against what documents of smaller ids hold. Blocks are cut by content: each
+In place of the greedy longest-match parse of relative Lempel-Ziv, which needs one suffix index of
+all earlier text, blocks and windows are matched by hash. What is removed is the same: a word is in
+a window that a smaller document holds exactly if it is in a common factor of that length.
+
+A document is compared with what documents of smaller ids hold. Blocks are cut by content: each
 window of ``WINDOW`` words has as its anchor the smallest hash of its ``GRAM``-word grams, and
 neighbouring windows of one anchor make a block. A window has the same anchor in every document, so
 it can only repeat within blocks of that anchor. Every block of every document is indexed as a
@@ -8,18 +12,19 @@ reference; none is sampled, capped or dropped.
 
 1. Anchors of one document only cannot repeat and are done with.
 2. Blocks are indexed by (anchor, hash of the block) with the smallest document that holds them. A
-   block that a smaller document holds as well is one long factor: the greedy step.
-3. Where a smaller document holds the anchor but not the whole block, a factor begins or ends
+   block that a smaller document holds as well repeats as a whole.
+3. Where a smaller document holds the anchor but not the whole block, a repeat begins or ends
    inside the block. There the windows are checked one by one against the windows of all other
    blocks of the anchor, indexed with the smallest document that holds each.
 
-Words covered by a factor are removed, the others are joined by one space. Each step is an
+Words covered by a repeat are removed, the others are joined by one space. Each step is an
 aggregation to a minimum and a join unique on one side: no step pairs documents, so a passage that
 a third of all documents share costs each of them one row per block. Keys have 128 bits: the
 anchor and the hash of block or window.
 
 Null texts have no words. A null id counts as larger than any id and is never a reference.
-Repeated rows of one id are no reference for each other. An empty table gives no rows.
+Repeated rows of one id are no reference for each other. Further columns are not read; very long
+texts are worked on whole, alone in their slice. An empty table gives no rows.
 """
 
 from __future__ import annotations
