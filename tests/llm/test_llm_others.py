@@ -167,3 +167,42 @@ def test_pipeline_stages(spark, tmp_path):
     assert near == 0
     assert sum(r.length for r in corpus_pipeline.run(spark, sf).collect()) == sum(
         r.length for r in corpus_pipeline.packed(spark, docs, sf).collect())
+
+
+def pipeline_tables(spark, folder, docs, labels, items):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_pipeline_of_edge_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, a null id, columns with clashing names."""
+    leak = " ".join(f"leak{i}" for i in range(30))
+    docs = edge_documents(spark, [f"before {leak} after", "password=longenough123 in a text", "same words here now", "same words here now"])
+    labels = [(i, 1, 0) for i in range(12)] + [(3, None, None), (None, 1, 1)]
+    pipeline_tables(spark, tmp_path / "a", docs, labels, [(1, leak), (2, None), (3, "")])
+    held = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        held = stage(spark, held, str(tmp_path / "a"))
+        held.write.parquet(str(tmp_path / name))
+        held = spark.read.parquet(str(tmp_path / name))
+        assert held.columns == docs.columns
+    rows = {r.doc_id: r.text for r in held.collect()}
+    # 1 and 2 are as empty as 0, 7 leaks, 10 repeats 9, rows 3 and 4 are there twice.
+    assert sorted(rows, key=str) == sorted([0, 3, 4, 5, 6, 8, 9, None], key=str) and held.count() == 8
+    assert rows[8] == "[assign] in a text" and rows[5] == "long " * 60_000
+    pieces = corpus_pipeline.run(spark, str(tmp_path / "a")).collect()
+    whole = {}
+    for r in pieces:
+        whole[r.doc_id] = whole.get(r.doc_id, 0) + r.length
+        assert whole[r.doc_id] <= r.doc_tokens
+    assert set(whole) == set(rows) and whole == {r.doc_id: r.doc_tokens for r in pieces}
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 0, 0), (2, 1, 0)]])
+def test_pipeline_of_empty_tables(spark, tmp_path, labels):
+    pipeline_tables(spark, tmp_path / "b", documents(spark, []), labels, [])
+    assert corpus_pipeline.run(spark, str(tmp_path / "b")).count() == 0
+    docs = documents(spark, ["only one text", None])
+    pipeline_tables(spark, tmp_path / "c", docs, labels, [])
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path / "c")).collect()} == {0, 1}
