@@ -101,8 +101,12 @@ def test_language_model_is_the_join_within_the_row(spark, tmp_path):
     found = model.transform(df)
     assert {r.id: r.language for r in found.collect()} == want
     assert [want[len(texts) - 3 + i] for i in range(3)] == list(LINES) and want[80] == "unknown"
+    for limit in (2, 100):
+        known = language.LanguageModel(profiles=learnt, languages=sorted(LINES), words=language.frequent_words(df, "cleaned_text", limit))
+        assert {r.id: r.language for r in known.transform(df).collect()} == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Exchange", "Python", "Arrow"))
+    model = known
     PipelineModel([model]).write().save(str(tmp_path / "language"))
     again = PipelineModel.load(str(tmp_path / "language"))
     assert {r.id: r.language for r in again.transform(df).collect()} == want and again.stages[0].uid == model.uid

@@ -1,8 +1,9 @@
 """Language identification from character trigram profiles learnt on the corpus.
 
 ``LanguageModel`` is a savable transformer that scores a text inside its row: the profile is a
-bounded table in the expression, and the sums over the grams of a text are a fold of an array. Profiles
-beyond that bound are joined by ``identify_language``.
+bounded table in the expression, and the sums over the grams of a text are a fold of an array. For
+frequent words the sums are in a second such table, so that most words cost one look-up. Profiles
+beyond the bound are joined by ``identify_language``.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from voxloom.session import checkpointed
 GRAM = 3
 BROADCAST_GRAMS = 1_000_000   # profile rows up to which the table is broadcast
 SCALE = 1_000_000     # log-probabilities as integers: sums do not depend on row order
+KNOWN_WORDS = 20_000
 WORD_RE = r"\p{L}+"
 UNKNOWN = "unknown"
 
@@ -64,6 +66,12 @@ def learn_profiles(labelled: DataFrame, text: str = "cleaned_text", language: st
         scaled(1.0 / smoothed).alias("missing")))
 
 
+def frequent_words(df: DataFrame, text: str = "cleaned_text", limit: int = KNOWN_WORDS) -> DataFrame:
+    """(word): the most frequent words of a corpus, ties to the smaller; a learnt artefact as well."""
+    counted = df.select(F.explode(_words(text)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return checkpointed(counted.orderBy(F.desc("n"), "word").limit(limit).select("word"))
+
+
 def gram_table(profiles: DataFrame, languages: Sequence[str]) -> DataFrame:
     """(gram, w0, w1, ..): the weight of every gram in each language."""
     def weight_of(i: int, column: str) -> Column:
@@ -80,33 +88,51 @@ class LanguageModel(Transformer, HasInputCol, HasOutputCol, MLWritable, MLReadab
     """The best profile for a text, ties to the first language; ``unknown`` without any known gram."""
 
     @keyword_only
-    def __init__(self, profiles: DataFrame, languages: Sequence[str], inputCol: str = "cleaned_text",
-                 outputCol: str = "language"):
+    def __init__(self, profiles: DataFrame, languages: Sequence[str], words: DataFrame | None = None,
+                 inputCol: str = "cleaned_text", outputCol: str = "language"):
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol)
-        self.languages = list(languages)
-        self.profiles = profiles
+        self.languages, self.profiles, self.words = list(languages), profiles, words
         self._weights = [f"w{i}" for i in range(len(self.languages))]
-        self._table = InlineTable(gram_table(profiles, self.languages), "gram", self._weights, LIMIT)
-
-    def detect(self, text: Column | str) -> Column:
-        """The language of a text, from its row alone."""
+        self._grams = InlineTable(gram_table(profiles, self.languages), "gram", self._weights, LIMIT)
+        self._known = None
+        if words is not None and self._grams.size:
+            # Sums of the grams of frequent words, by the same expressions as for any other word.
+            limit = max(1, min(KNOWN_WORDS, LIMIT // len(self.languages)))
+            found = words.select("word").limit(limit).select("word", self._gram_places(F.array("word")).alias("_at")).filter(F.size("_at") > 0)
+            sums = found.select("word", *[self._total(F.col("_at"), self._grams, w).alias(w) for w in self._weights])
+            self._known = InlineTable(sums, "word", self._weights, limit)
+
+    def _gram_places(self, some: Column) -> Column:
+        """Places of the known grams of an array of words."""
         def places(word: Column) -> Column:
             return F.transform(F.sequence(F.lit(1), F.length(word) - (GRAM - 1)),
-                               lambda i: self._table.find(F.substring(word, i, F.lit(GRAM))))
+                               lambda i: self._grams.find(F.substring(word, i, F.lit(GRAM))))
 
-        def total(known: Column, weight: str) -> Column:
-            return F.aggregate(known, F.lit(0).cast("long"), lambda s, p: s + self._table.value(p, weight))
+        return F.filter(F.flatten(F.transform(F.transform(some, _padded), places)), F.isnotnull)
 
-        def best(known: Column) -> Column:
-            sums = F.array(*[total(known, w) for w in self._weights])
+    @staticmethod
+    def _total(places: Column, table: InlineTable, weight: str) -> Column:
+        return F.aggregate(places, F.lit(0).cast("long"), lambda s, p: s + table.value(p, weight))
+
+    def detect(self, text: Column | str) -> Column:
+        """The language of a text, from its row alone."""
+        def best(grams: Column, known: Column | None = None) -> Column:
+            sums = F.array(*[self._total(grams, self._grams, w) + (
+                0 if known is None else self._total(known, self._known, w)) for w in self._weights])
             first = bound(sums, lambda s: F.array_position(s, F.array_max(s))).cast("int")
-            return F.when(F.size(known) > 0, F.get(F.array(*map(F.lit, self.languages)), first - 1)).otherwise(F.lit(UNKNOWN))
+            found = F.size(grams) > 0 if known is None else F.size(grams) + F.size(known) > 0
+            return F.when(found, F.get(F.array(*map(F.lit, self.languages)), first - 1)).otherwise(F.lit(UNKNOWN))
+
+        def looked_up(words: Column, places: Column) -> Column:
+            rare = F.filter(words, lambda w, i: F.get(places, i).isNull())
+            return bound(self._gram_places(rare), lambda grams: bound(F.filter(places, F.isnotnull), lambda known: best(grams, known)))
 
-        if not self._table.size:
+        if not self._grams.size:
             return F.lit(UNKNOWN)
-        grams = F.flatten(F.transform(F.transform(_words(text), _padded), places))
-        return bound(F.filter(grams, F.isnotnull), best)
+        if self._known is None or not self._known.size:
+            return bound(self._gram_places(_words(text)), lambda grams: best(grams))
+        return bound(_words(text), lambda words: bound(F.transform(words, self._known.find), lambda places: looked_up(words, places)))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.getOutputCol(), self.detect(F.col(self.getInputCol())))
@@ -126,15 +152,19 @@ class _Writer(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         spark = self.model.profiles.sparkSession
-        DefaultParamsWriter.saveMetadata(self.model, path, spark, extraMetadata={"languages": self.model.languages})
+        DefaultParamsWriter.saveMetadata(self.model, path, spark, extraMetadata={
+            "languages": self.model.languages, "words": self.model.words is not None})
         self.model.profiles.write.parquet(f"{path}/profiles")
+        if self.model.words is not None:
+            self.model.words.write.parquet(f"{path}/words")
 
 
 class _Reader(MLReader):
     def load(self, path: str) -> LanguageModel:
         spark = SparkSession.active()
         metadata = DefaultParamsReader.loadMetadata(path, spark)
-        model = LanguageModel(profiles=spark.read.parquet(f"{path}/profiles"), languages=metadata["languages"])
+        words = spark.read.parquet(f"{path}/words") if metadata["words"] else None
+        model = LanguageModel(profiles=spark.read.parquet(f"{path}/profiles"), languages=metadata["languages"], words=words)
         DefaultParamsReader.getAndSetParams(model, metadata)
         model._resetUid(metadata["uid"])
         return model

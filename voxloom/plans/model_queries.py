@@ -212,8 +212,9 @@ def language_model(spark, d, text="cleaned_text"):
     """Learnt from the train part of the documents with a language."""
     docs = documents(spark, d)
     parts = stratified_split(docs.select("id", "lang"), "id", "lang", 0.2).filter("part = 'train'")
-    profiles = language.learn_profiles(docs.join(parts.select("id"), "id", "left_semi"), "text", "lang")
-    return language.LanguageModel(profiles=profiles, languages=V.LANGUAGES, inputCol=text)
+    train = docs.join(parts.select("id"), "id", "left_semi")
+    return language.LanguageModel(profiles=language.learn_profiles(train, "text", "lang"), languages=V.LANGUAGES,
+                                  words=language.frequent_words(train, "text"), inputCol=text)
 
 
 @query("language_id", f"""
