@@ -3,14 +3,14 @@
 For each language, how far the words of each source lie from those of each other source, and which
 terms set a source apart from its language.
 
-1. Each task folds whole documents into a hash table of stripes, (lang, term) -> (document
-   frequency, {source: count}). When the table holds ``HELD`` counts or ``HELD_BYTES`` of terms, its
-   stripes go to the shuffle and it starts anew.
-2. Stripes are dealt and sorted by (lang, term), and merged as a stream: a task holds one stripe at
-   a time, which has at most one count per source. Terms in fewer than ``MIN_DOCS`` documents of a
-   language go.
-3. Sizes of the groups (lang, source) are sums over the merged stripes. Their list is handed to all
-   tasks: the result has a row for each pair of them, so they are about the square root of it.
+1. The groups (lang, source) are listed and handed to all tasks: the result has a row for each pair
+   of them in a language, so the list is about the square root of it.
+2. Each task folds whole documents into a table of stripes, (lang, term) -> (document frequency,
+   {source: count}), terms hashed by dictionary encoding. When the table holds ``HELD`` counts or
+   ``HELD_BYTES`` of terms, its stripes go to the shuffle and it starts anew.
+3. Stripes are dealt and sorted by (lang, term), and merged as a stream: of a key that goes on, a
+   task holds one merged stripe, with at most one count per source. Terms in fewer than ``MIN_DOCS``
+   documents of a language go. Sizes of the groups are sums over the merged stripes.
 4. Merged stripes emit divergences: a stripe adds, for each source that has the term and every
    source of the language, what differs from the case that neither has it; that case is the same for
    all terms and is added once per pair. So work grows with counts times sources, not terms times
@@ -27,11 +27,9 @@ of 0; an empty table gives no rows. Very long texts are folded whole.
 
 from __future__ import annotations
 
-from collections import defaultdict
-from itertools import groupby
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,101 +40,161 @@ from voxloom.session import ship_package
 MIN_DOCS = 3
 TOP = 200
 SCALE = 1_000_000_000
-HELD, HELD_BYTES = 200_000, 32 << 20
+HELD, HELD_BYTES = 300_000, 16 << 20
+#: Terms whose best are not chosen yet.
+CANDIDATES = 100_000
 #: Numbers of an intermediate matrix.
-CELLS = 1 << 20
-BATCH = 4096
+CELLS = 1 << 18
+BATCH = 8_000
+#: Bytes of text folded at once.
+SLICE_BYTES = 1 << 18
 
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("A"): ord("Z") + 1] = _LETTER[ord("a"): ord("z") + 1] = _LETTER[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"): ord("Z") + 1] += 32
-_VALUES = words.byte_values(~_LETTER)
 
-STRIPES = "lang string, term string, docs long, sources array<string>, counts array<long>"
+STRIPES = "lang int, term string, docs long, sources array<int>, counts array<long>"
 _EMITTED = "lang int, source int, other int, term string, value long"
 
 
+class Groups:
+    """The sources of each language, both in order; a source is known by its place in its language."""
+
+    def __init__(self, pairs: list[tuple[str, str]]):
+        self.names: list[str] = sorted({lang for lang, _ in pairs})
+        self.sources: list[list[str]] = [[] for _ in self.names]
+        self.place: dict[tuple[str, str], tuple[int, int]] = {}
+        number = {name: i for i, name in enumerate(self.names)}
+        for lang, source in sorted(pairs):
+            own = self.sources[number[lang]]
+            self.place[lang, source] = number[lang], len(own)
+            own.append(source)
+        self.most = max(map(len, self.sources), default=1)
+
+    def of(self, langs: pa.Array, sources: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Language and place of the source of each row."""
+        found = [self.place[x] for x in zip(langs.to_pylist(), sources.to_pylist(), strict=True)]
+        out = np.array(found, np.int64).reshape(-1, 2)
+        return out[:, 0], out[:, 1]
+
+
+def _first_of_runs(*columns: np.ndarray) -> np.ndarray:
+    change = np.ones(len(columns[0]), bool)
+    change[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(change)
+
+
+def _stripes(lang: np.ndarray, terms: pa.Array, docs: np.ndarray, stripe: np.ndarray, source: np.ndarray,
+             count: np.ndarray, most: int) -> pa.RecordBatch:
+    """Stripes (lang, term, docs) with their counts, given as (stripe, source, count) in any order, equal ones added up."""
+    key = stripe * most + source
+    order = np.argsort(key, kind="stable")
+    first = _first_of_runs(key[order])
+    key, count = key[order][first], np.add.reduceat(count[order], first)
+    offsets = np.searchsorted(key, np.arange(len(docs) + 1) * most).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(lang, pa.int32()), terms, pa.array(docs, pa.int64()),
+         pa.ListArray.from_arrays(offsets, pa.array(key % most, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(count, pa.int64()))],
+        ["lang", "term", "docs", "sources", "counts"])
+
+
+def _letter_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(the terms of some texts, dictionary-encoded, how many stand before each text)."""
+    starts, ends = words.word_bounds(data, offsets, ~_LETTER)
+    solid = np.ascontiguousarray(_LOWER[data[_LETTER[data]]])
+    bounds = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int32)
+    terms = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(solid))
+    return terms.dictionary_encode(), np.searchsorted(starts, offsets)
+
+
 class Table:
-    """Stripes of the documents folded so far."""
+    """Counts of the documents folded so far; terms are dictionary-encoded per slice of texts until they leave."""
 
-    def __init__(self):
-        self.stripes: dict[tuple[str, bytes], list] = {}
-        self.counts = self.bytes = 0
+    def __init__(self, most: int):
+        self.most = most
+        self._clear()
 
-    def fold(self, data: np.ndarray, offsets: np.ndarray, langs: list[str], sources: list[str]) -> None:
-        data = _LOWER[data]
-        starts, ends = words.word_bounds(data, offsets, ~_LETTER)
-        if not len(starts):
+    def _clear(self) -> None:
+        self.terms, self.docs, self.counts, self.held, self.bytes, self.size = [], [], [], 0, 0, 0
+
+    def fold(self, data: np.ndarray, offsets: np.ndarray, lang: np.ndarray, source: np.ndarray) -> None:
+        terms, first = _letter_runs(data, offsets)
+        size = len(terms.dictionary)
+        if not size:
             return
-        _, first, at = np.unique(words.word_hashes(data, starts, ends, _VALUES), return_index=True, return_inverse=True)
-        size, raw = len(first), data.tobytes()
-        terms = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        rows = np.repeat(np.arange(len(langs)), np.diff(np.searchsorted(starts, offsets)))
-        each, n = np.unique(rows * size + at, return_counts=True)  # one of each document and term
-        numbers: dict[tuple[str, str], int] = {}
-        group = np.array([numbers.setdefault(pair, len(numbers)) for pair in zip(langs, sources, strict=True)])
-        names = list(numbers)
-        key, place = np.unique(group[each // size] * size + each % size, return_inverse=True)
-        docs, counts = np.bincount(place), np.bincount(place, n).astype(np.int64)
-        for k, d, c in zip(key.tolist(), docs.tolist(), counts.tolist(), strict=True):
-            (lang, source), term = names[k // size], terms[k % size]
-            stripe = self.stripes.get((lang, term))
-            if stripe is None:
-                stripe = self.stripes[lang, term] = [0, {}]
-                self.bytes += len(term)
-            stripe[0] += d
-            self.counts += source not in stripe[1]
-            stripe[1][source] = stripe[1].get(source, 0) + c
+        row = np.repeat(np.arange(len(lang)), np.diff(first))
+        each, n = np.unique(row * size + terms.indices.to_numpy(), return_counts=True)  # one of each document and term
+        row, term = each // size, each % size
+        self.terms.append(terms.dictionary)
+        for held, key, value in ((self.docs, lang[row] * size + term, np.ones(len(each), np.int64)),
+                                 (self.counts, (lang[row] * self.most + source[row]) * size + term, n)):
+            key, at = np.unique(key, return_inverse=True)
+            held.append((key // size, key % size + self.size, np.bincount(at, value).astype(np.int64)))
+        self.size += size
+        self.held += len(self.counts[-1][0])
+        self.bytes += terms.dictionary.nbytes
 
     def full(self) -> bool:
-        return self.counts >= HELD or self.bytes >= HELD_BYTES
+        return self.held >= HELD or self.bytes >= HELD_BYTES
 
     def emptied(self):
         """All stripes in batches; the table is empty afterwards."""
-        stripes, self.stripes, self.counts, self.bytes = self.stripes, {}, 0, 0
-        rows = [(lang, term.decode(), docs, list(s), list(s.values())) for (lang, term), (docs, s) in stripes.items()]
-        for i in range(0, len(rows), BATCH):
-            yield _batch(rows[i: i + BATCH])
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                      ["lang", "term", "docs", "sources", "counts"])
-
-
-def stripes(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+        if self.terms:
+            names = pa.concat_arrays(self.terms).dictionary_encode()
+            known, size = names.indices.to_numpy().astype(np.int64), len(names.dictionary)
+            lang, term, docs = (np.concatenate(x) for x in zip(*self.docs, strict=True))
+            group, each, count = (np.concatenate(x) for x in zip(*self.counts, strict=True))
+            self._clear()
+            key, at = np.unique(lang * size + known[term], return_inverse=True)
+            docs = np.bincount(at, docs).astype(np.int64)
+            stripe = np.searchsorted(key, group // self.most * size + known[each])
+            whole = _stripes(key // size, names.dictionary.take(pa.array(key % size)), docs, stripe, group % self.most, count, self.most)
+            for i in range(0, len(whole), BATCH):
+                yield whole.slice(i, BATCH)
+
+
+def _merged(batch: pa.RecordBatch, most: int) -> pa.RecordBatch:
+    """Stripes in order of (lang, term), those of one key added up."""
+    lang, terms, docs, sources, counts = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in batch.columns)
+    lang = lang.to_numpy()
+    new = np.ones(len(lang), bool)
+    new[1:] = (lang[1:] != lang[:-1]) | pc.not_equal(terms[1:], terms[:-1]).to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(new)
+    stripe = np.repeat(np.cumsum(new) - 1, pc.list_value_length(sources).to_numpy())
+    return _stripes(lang[first], terms.take(pa.array(first)), np.add.reduceat(docs.to_numpy(), first), stripe,
+                    sources.flatten().to_numpy().astype(np.int64), counts.flatten().to_numpy(), most)
+
+
+def stripes(docs: DataFrame, groups: Groups, min_docs: int = MIN_DOCS) -> DataFrame:
     """``STRIPES`` of ``docs`` (text, lang, source): each kept term of a language once."""
     ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(groups)
+    most = groups.most
 
     def fold(batches):
-        table = Table()
+        table = Table(most)
         for batch in batches:
             data, offsets = words.text_buffer(words.plain_column(batch, "text"))
-            langs, sources = (words.plain_column(batch, c).to_pylist() for c in ("lang", "source"))
-            for a, b in words.row_cuts(offsets, words.SLICE_BYTES):
-                table.fold(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], langs[a:b], sources[a:b])
+            lang, source = shared.value.of(*(words.plain_column(batch, c) for c in ("lang", "source")))
+            for a, b in words.row_cuts(offsets, SLICE_BYTES):
+                table.fold(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], lang[a:b], source[a:b])
                 if table.full():
                     yield from table.emptied()
         yield from table.emptied()
 
     def merge(batches):
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        out = []
-        for (lang, term), same in groupby(rows, key=lambda r: r[:2]):
-            total, counts = 0, defaultdict(int)
-            for _, _, docs, names, numbers in same:
-                total += docs
-                for name, n in zip(names, numbers, strict=True):
-                    counts[name] += n
-            if total >= min_docs:
-                out.append((lang, term, total, list(counts), list(counts.values())))
-                if len(out) == BATCH:
-                    yield _batch(out)
-                    out = []
-        if out:
-            yield _batch(out)
+        held = None  # the last stripe: its key may go on in the next batch
+        for batch in batches:
+            if not len(batch):
+                continue
+            batch = batch if held is None else pa.Table.from_batches([held, batch.cast(held.schema)]).combine_chunks().to_batches()[0]
+            whole = _merged(batch, most)
+            held = whole.slice(len(whole) - 1)
+            done = whole.slice(0, len(whole) - 1)
+            yield done.filter(pc.greater_equal(done.column(2), min_docs))
+        if held is not None:
+            yield held.filter(pc.greater_equal(held.column(2), min_docs))
 
     folded = docs.select("text", *[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]).mapInArrow(fold, STRIPES)
     return folded.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(merge, STRIPES)
@@ -159,45 +217,72 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class Language:
-    """Sources of a language in order, with the number of their kept words, and the number of terms."""
+    """Number of the kept words of each source of a language, and of its kept terms."""
 
-    def __init__(self, sources: list[str], sizes: list[int], terms: int):
-        self.place = {s: i for i, s in enumerate(sources)}
+    def __init__(self, sizes: list[int], terms: int):
         self.totals = np.array(sizes, np.int64) + terms
-        self.total = sum(sizes) + terms
-        self.absent = share(np.zeros(len(sources), np.int64), self.totals)
+        self.total = np.array(sum(sizes) + terms)
+        self.absent = share(np.zeros(len(sizes), np.int64), self.totals)
 
 
-def _pair_sums(lang: Language, term: np.ndarray, source: np.ndarray, count: np.ndarray, terms: int):
-    """(from, sums, reverse sums) per block of sources: what stripes add to the pairs (source, block) and (block, source)."""
-    size = len(lang.place)
-    p = share(count, lang.totals[source])
+def _pair_sums(lang: Language, stripe: np.ndarray, source: np.ndarray, p: np.ndarray, step: int):
+    """(first of a block of sources, sums): what stripes add to the pairs (source, block) and (block, source)."""
+    size = len(lang.totals)
     order = np.argsort(source, kind="stable")
-    step = max(1, CELLS // max(size, terms, len(term)))
+    first = _first_of_runs(source[order])
+    row = np.cumsum(np.diff(stripe, prepend=stripe[0]) > 0)
     for low in range(0, size, step):
         block = np.arange(low, min(low + step, size))
-        rows = np.tile(lang.absent[block], (terms, 1))
-        has = np.zeros(rows.shape, bool)
+        shares = np.tile(lang.absent[block], (row[-1] + 1, 1))
+        has = np.zeros(shares.shape, bool)
         inside = (source >= low) & (source < low + step)
-        rows[term[inside], source[inside] - low] = p[inside]
-        has[term[inside], source[inside] - low] = True
+        shares[row[inside], source[inside] - low] = p[inside]
+        has[row[inside], source[inside] - low] = True
         mine, other = lang.absent[:, None], lang.absent[block]
-        ahead = divergence(p[:, None], rows[term]) - divergence(mine, other)[source]
-        back = np.where(has[term], 0, divergence(other, p[:, None]) - divergence(other, mine)[source])
+        ahead = divergence(p[:, None], shares[row]) - divergence(mine, other)[source]
+        back = np.where(has[row], 0, divergence(other, p[:, None]) - divergence(other, mine)[source])
         sums = np.zeros((2, size, len(block)), np.int64)
-        first = np.flatnonzero(np.append(True, np.diff(source[order]) > 0))
         for k, x in enumerate((ahead, back)):
             sums[k, source[order][first]] = np.add.reduceat(x[order], first)
         yield low, sums
 
 
-def emitted(kept: DataFrame, languages: dict[str, Language], names: list[str], top: int = TOP) -> DataFrame:
-    """``_EMITTED``: sums of pairs and best terms, of each task; sources by their place, languages by that in ``names``."""
-    shared = kept.sparkSession.sparkContext.broadcast((languages, {name: i for i, name in enumerate(names)}))
+class Best:
+    """The best terms of each group so far."""
+
+    def __init__(self, top: int):
+        self.top, self.held, self.rows = top, [], 0
+        self.floor: dict[tuple[int, int], int] = {}
+
+    def add(self, lang: int, source: np.ndarray, value: np.ndarray, terms: pa.Array) -> None:
+        least = np.array([self.floor.get((lang, s), -1) for s in range(source.max(initial=-1) + 1)], np.int64)
+        good = np.flatnonzero(value >= least[source]) if len(source) else source
+        if len(good):
+            self.held.append(pa.table({"lang": pa.array(np.full(len(good), lang), pa.int32()), "source": pa.array(source[good], pa.int32()),
+                                       "term": terms.take(pa.array(good)), "value": pa.array(value[good])}))
+            self.rows += len(good)
+        if self.rows > CANDIDATES:
+            self.held = [self.trimmed()]
+            self.rows = len(self.held[0])
+
+    def trimmed(self) -> pa.Table:
+        whole = pa.concat_tables(self.held).combine_chunks()
+        whole = whole.take(pc.sort_indices(whole, [("lang", "ascending"), ("source", "ascending"), ("value", "descending"), ("term", "ascending")]))
+        lang, source, value = (whole.column(c).to_numpy() for c in ("lang", "source", "value"))
+        first = _first_of_runs(lang, source)
+        rank = np.arange(len(lang)) - np.repeat(first, np.diff(np.append(first, len(lang))))
+        for at in np.flatnonzero(rank == self.top - 1):
+            self.floor[int(lang[at]), int(source[at])] = int(value[at])
+        return whole.filter(pa.array(rank < self.top))
+
+
+def emitted(kept: DataFrame, languages: list[Language | None], top: int = TOP) -> DataFrame:
+    """``_EMITTED``: sums of pairs and best terms of each task; languages and sources by their places."""
+    shared = kept.sparkSession.sparkContext.broadcast(languages)
+    names = [f.split()[0] for f in _EMITTED.split(", ")]
 
     def run(batches):
-        languages, number = shared.value
-        sums, best = {}, defaultdict(list)
+        sums, best = {}, Best(top)
 
         def pairs():
             for (lang, low), (ahead, back) in sums.items():
@@ -206,40 +291,36 @@ def emitted(kept: DataFrame, languages: dict[str, Language], names: list[str], t
                     sides = [pa.array(source, pa.int32()), pa.array(column + low, pa.int32())]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(source), lang), pa.int32()), *(sides[::-1] if turned else sides),
-                         pa.nulls(len(source), pa.string()), pa.array(x[source, column])], [f.split()[0] for f in _EMITTED.split(", ")])
+                         pa.nulls(len(source), pa.string()), pa.array(x[source, column])], names)
             sums.clear()
 
         for batch in batches:
-            langs = np.array([number[x] for x in batch.column(batch.schema.get_field_index("lang")).to_pylist()])
-            for i in np.unique(langs):
+            langs = batch.column(batch.schema.get_field_index("lang")).to_numpy()
+            for i in np.unique(langs).tolist():
                 own = batch.filter(pa.array(langs == i))
-                columns = [own.column(own.schema.get_field_index(c)).to_pylist() for c in ("term", "sources", "counts")]
-                lang, terms = languages[names[i]], columns[0]
-                term = np.repeat(np.arange(len(terms)), [len(c) for c in columns[2]])
-                source = np.array([lang.place[s] for stripe in columns[1] for s in stripe])
-                count = np.array([n for stripe in columns[2] for n in stripe], np.int64)
-                for low, added in _pair_sums(lang, term, source, count, len(terms)):
-                    sums[i, low] = sums[i, low] + added if (i, low) in sums else added
-                    if sum(x.size for x in sums.values()) > 8 * CELLS:
-                        yield from pairs()
-                whole = np.zeros(len(terms), np.int64)
-                np.add.at(whole, term, count)
-                p, q = share(count, lang.totals[source]), share(whole, np.array(lang.total))[term]
+                terms, sources, counts = (own.column(own.schema.get_field_index(c)) for c in ("term", "sources", "counts"))
+                lang, size = shared.value[i], pc.list_value_length(sources).to_numpy()
+                stripe = np.repeat(np.arange(len(size)), size)
+                source, count = sources.flatten().to_numpy().astype(np.int64), counts.flatten().to_numpy()
+                p = share(count, lang.totals[source])
+                step = max(1, CELLS // len(lang.totals))
+                ends = np.concatenate(([0], np.cumsum(size)))
+                for a, b in words.row_cuts(ends, max(1, CELLS // min(step, len(lang.totals)))):
+                    some = slice(ends[a], ends[b])
+                    for low, added in _pair_sums(lang, stripe[some], source[some], p[some], step):
+                        sums[i, low] = sums[i, low] + added if (i, low) in sums else added
+                        if sum(x.size for x in sums.values()) > 8 * CELLS:
+                            yield from pairs()
+                whole = np.add.reduceat(count, ends[:-1])
+                q = share(whole, lang.total)[stripe]
                 apart = np.flatnonzero(p > q)
-                value = divergence(p, q)
-                for s, v, t in zip(source[apart].tolist(), value[apart].tolist(), term[apart].tolist(), strict=True):
-                    held = best[i, s]
-                    held.append((-v, terms[t]))
-                    if len(held) >= 4 * top:
-                        held.sort()
-                        del held[top:]
+                best.add(i, source[apart], divergence(p, q)[apart], terms.take(pa.array(stripe[apart])))
         yield from pairs()
-        for (i, s), held in best.items():
-            held = sorted(held)[:top]
-            columns = [[int(i)] * len(held), [s] * len(held), [None] * len(held), [t for _, t in held], [-v for v, _ in held]]
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                             [f.split()[0] for f in _EMITTED.split(", ")])
+        if best.held:
+            last = best.trimmed()
+            none = pa.chunked_array([pa.nulls(len(last), pa.int32())])
+            for out in pa.table([last["lang"], last["source"], none, last["term"], last["value"]], names).to_batches():
+                yield out
 
     return kept.mapInArrow(run, _EMITTED)
 
@@ -247,34 +328,30 @@ def emitted(kept: DataFrame, languages: dict[str, Language], names: list[str], t
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     """lang, source, part, item, value, rank of ``docs`` (text, lang, source)."""
     spark = docs.sparkSession
-    kept = written(stripes(docs, min_docs), "stripes")
-    sizes = (kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
-             .groupBy("lang", F.col("c.sources").alias("source")).agg(F.sum("c.counts").alias("n")))
-    groups = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    rows = sorted(groups.join(sizes, ["lang", "source"], "left").select("lang", "source", F.coalesce("n", F.lit(0))).collect())
+    pairs = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]).distinct().collect()
+    groups = Groups([(r["lang"], r["source"]) for r in pairs])
+    kept = written(stripes(docs, groups, min_docs), "stripes")
+    sizes = {(r["lang"], r["source"]): r["n"] for r in kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("c")).groupBy(
+        "lang", F.col("c.sources").alias("source")).agg(F.sum("c.counts").alias("n")).collect()}
     terms = {r["lang"]: r["n"] for r in kept.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages, table, names = {}, [], []
-    for number, (lang, own) in enumerate(groupby(rows, key=lambda r: r[0])):
-        own, n_terms = list(own), terms.get(lang, 0)
-        names.append(lang)
-        if n_terms:
-            languages[lang] = Language([r[1] for r in own], [r[2] for r in own], n_terms)
-        table += [(number, lang, i, r[1], int(languages[lang].absent[i]) if n_terms else 1, n_terms) for i, r in enumerate(own)]
-    named = spark.createDataFrame(table, "number int, lang string, place int, source string, absent long, terms long")
-    found = written(emitted(kept, languages, names, top), "divergences")
+    languages = [Language([sizes.get((i, k), 0) for k in range(len(own))], terms[i]) if i in terms else None
+                 for i, own in enumerate(groups.sources)]
+    table = [(i, groups.names[i], k, name, int(languages[i].absent[k]) if i in terms else 1, terms.get(i, 0))
+             for i, own in enumerate(groups.sources) for k, name in enumerate(own)]
+    named = spark.createDataFrame(table, "lang int, lang_name string, source int, name string, absent long, terms long")
+    found = written(emitted(kept, languages, top), "divergences")
 
     left, right = named.alias("a"), named.alias("b")
-    pairs = left.join(right, (F.col("a.number") == F.col("b.number")) & (F.col("a.place") != F.col("b.place"))).select(
-        F.col("a.number").alias("lang"), F.col("a.place").alias("source"), F.col("b.place").alias("other"), F.lit(None).cast("string").alias("term"),
+    pairs = left.join(right, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.source") != F.col("b.source"))).select(
+        F.col("a.lang").alias("lang"), F.col("a.source").alias("source"), F.col("b.source").alias("other"), F.lit(None).cast("string").alias("term"),
         F.expr("a.terms * ((a.absent - b.absent) * (a.absent - b.absent) div b.absent)").alias("value"))
     sums = found.filter("other is not null").unionByName(pairs).groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
-    sources = named.select(F.col("number").alias("lang"), F.col("place").alias("source"), F.col("lang").alias("lang_name"), F.col("source").alias("name"))
-    others = sources.select("lang", F.col("source").alias("other"), F.col("name").alias("item"))
+    others = named.select("lang", F.col("source").alias("other"), F.col("name").alias("item"))
     pair = sums.join(others, ["lang", "other"]).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
     term = found.filter("other is null").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
     rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
     return (pair.unionByName(term).withColumn("rank", rank).filter((F.col("part") == "pair") | (F.col("rank") <= top))
-            .join(sources, ["lang", "source"])
+            .join(named, ["lang", "source"])
             .select(F.col("lang_name").alias("lang"), F.col("name").alias("source"), "part", "item", "value", "rank"))
 
 
