@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.text import _c
 
+# --- fixed values: how forum pages write dates --------------------------------
 POST_DATE_RE = r"[A-Z][a-z]{2} \d{1,2} \d{4}, \d{1,2}:\d{2} [AP]M"
 POST_DATE_FORMAT = "MMM d yyyy, h:mm a"
+# ----------------------------------------------------------------------------
 
 
 def epoch_to_ts(seconds: Column | str) -> Column:

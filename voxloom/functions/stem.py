@@ -43,6 +43,8 @@ def _token(pattern: str, new: str) -> tuple[str, str]:
 
 
 # --- fixed values: irregular forms and suffix rules ---------------------------
+# The rules of M. F. Porter, "An algorithm for suffix stripping" (1980); the extensions and the irregular
+# forms are those of the Porter stemmer of the Natural Language Toolkit in its default mode.
 STEPS: list[tuple[str, str]] = [
     # Irregular forms and tokens of one or two letters.
     _token("(sk)ies", f"{DONE}$1y"),

@@ -9,10 +9,12 @@ from voxloom.taxonomy import Taxonomy, aspect_regex, keyword_regex
 
 # White space in the wide sense: Unicode White_Space plus the four information separators.
 SPACE = r"\s\x{1c}-\x{1f}"
+# --- fixed values: what cleaning takes for addresses, tags and repeats ----------
 URL_RE = rf"(?U)https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 TAG_RE = r"<[^>]+>"
 # UNIX_LINES: only a line feed is exempt from squeezing.
 REPEAT_RE = r"(?d)(.)\1{2,}"
+# ----------------------------------------------------------------------------
 SPACE_RE = rf"(?U)[{SPACE}]+"
 EDGE_SPACE_RE = rf"(?U)^[{SPACE}]+|[{SPACE}]+$"
 SENTENCE_RE = rf"(?U)(?<=[.!?])[{SPACE}]+|\n+"

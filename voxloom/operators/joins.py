@@ -28,8 +28,8 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   how: str = "left", salt_by: Sequence[str] | None = None) -> DataFrame:
     """Left or inner join of ``left`` to a keyed table, hot keys spread over SALTS partitions.
 
-    Other joins would return the copies of the table's hot rows. Only rows of the table with a hot key are copied, SALTS times each. The broadcast hot
-    list has at most HOT_SHARE rows by construction.
+    Other joins would return the copies of the table's hot rows. Only rows of the table with a hot
+    key are copied, SALTS times each. The broadcast hot list has at most HOT_SHARE rows by construction.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted_lookup joins left or inner, not {how!r}")
