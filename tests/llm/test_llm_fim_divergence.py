@@ -5,10 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from compare import compare, duck
 from helpers import SCHEMA, documents, edge_documents, sha
 
-from voxloom.llm import divergence, fim, queries
+from voxloom.llm import divergence, fim
 
 
 def plain_fim(doc_id, text):
@@ -131,8 +130,3 @@ def test_shares_beyond_machine_numbers():
     count = np.array([0, 5, 10**12, 3 * 10**15])
     for total in (4 * 10**15, 2**60):
         assert divergence.share(count, np.array(total)).tolist() == [1 + 10**9 * (c + 1) // total for c in count.tolist()]
-
-
-@pytest.mark.parametrize("name", ["op12_fim", "op13_divergence"])
-def test_whole_small_table_matches_sql(spark, small, name):
-    assert compare(spark, duck(small), small, queries.QUERIES[name], queries.SQL[name]) is None
