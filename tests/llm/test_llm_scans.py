@@ -3,7 +3,9 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import documents, edge_documents, joined, pii_spans, secret_spans, sha
+from pyspark.sql import functions as F
 
 from voxloom.llm import decontamination as decon
 from voxloom.llm import pii, secrets
@@ -56,6 +58,67 @@ def test_an_entity_in_every_document_reveals_nothing(spark):
     assert all(r.n_email == 1 and r.spans.startswith("email:") and "," not in r.spans for r in rows) and len(rows) == 6
 
 
+def plain_disclosures(texts, near=pii.NEAR, support=pii.SUPPORT, least=pii.GENERALISE):
+    """{(e-mail address, term): disclosure}, counted pair by pair."""
+    def cut(text):
+        return [(m[0].lower(), m.start(), m.end()) for m in pii._TERM.finditer(text)]
+
+    held, stands = {}, {}
+    for i, text in enumerate(texts):
+        terms = cut(text)
+        for w in {w for w, _, _ in terms}:
+            stands.setdefault(w, set()).add(i)
+        spans = [(s, e) for k, s, e in pii_spans(text)]
+        for s, e in dict.fromkeys((text[s:e].lower(), (s, e)) for s, e in reversed(spans)):
+            own_start, own_end = e
+            left = [w for w, _, b in terms if b <= own_start][-near:]
+            right = [w for w, a, _ in terms if a >= own_end][:near]
+            seen = {}
+            for at, (w, a, b) in enumerate(terms):
+                if not any(a < y and x < b for x, y in spans) and w not in seen:
+                    seen[w] = (tuple(x for x, _, _ in terms[max(at - near, 0): at + near + 1]), tuple(left), tuple(right))
+            for w, around in seen.items():
+                held.setdefault((s, w), []).append((i, around))
+    n_e = {}
+    for (e, _), found in held.items():
+        n_e.setdefault(e, set()).update(i for i, _ in found)
+    out = {}
+    for (e, w), found in held.items():
+        if len({x for _, x in found}) >= support and len(n_e[e]) < len(texts):
+            mutual = np.log(len(texts) * len(found) / (len(n_e[e]) * len(stands[w])))
+            share = mutual / np.log(len(texts) / len(n_e[e]))
+            if share >= least:
+                out[e, w] = share
+    return out
+
+
+def test_disclosures_match_plain_counts(spark):
+    rng = random.Random(12)
+    owners = {f"p{k}@corp.example": [f"Name{k}", f"town{k % 3}"] for k in range(5)}
+    texts = []
+    for _ in range(150):
+        words_ = [f"f{rng.randrange(80)}" for _ in range(rng.randrange(12, 40))]
+        for who in rng.sample(sorted(owners), rng.choice([0, 0, 0, 1, 1, 2])):
+            for term in owners[who]:
+                words_.insert(rng.randrange(len(words_)), term)
+            words_.insert(rng.randrange(len(words_)), who)
+        texts.append(" ".join(words_))
+    texts += texts[:5]
+    docs = documents(spark, texts)
+    rows = pii._keyed(docs)
+    scan = pii.written(pii._scan(rows), "scan")
+    each = scan.select("doc_id", "row", "text", F.explode("entities").alias("entity"))
+    entities = each.groupBy("entity").agg(F.count("*").alias("n_e"))
+    held, total = each.join(entities, "entity"), len(texts)
+    frequent = pii._frequent(held, rows, total, pii.NEAR)
+    occurred = pii._occurrences(held, pii.NEAR, frequent, total, pii.GENERALISE)
+    none = np.zeros(0, np.int64)
+    assert 5 < len(frequent[0]) and occurred.count() < pii._occurrences(held, pii.NEAR, (none, none), total, pii.GENERALISE).count()
+    got = {(r.entity, r.term): r.disclosure for r in pii.disclosures(occurred, rows, entities, total).collect()}
+    want = {(pii._entity("email", e), int(pii.term_hashes([w])[0])): d for (e, w), d in plain_disclosures(texts).items()}
+    assert got == pytest.approx(want) and len(want) > 5
+
+
 def test_terms_far_from_their_entity(spark):
     rng = random.Random(1)
     def fill(n):

@@ -22,8 +22,9 @@ Null texts are empty. Rows are told apart by id and text: null ids, repeated row
 harmless, equal rows get equal results. An entity in every row discloses nothing. Very long texts
 are scanned whole; further columns of any name are not read. An empty table gives no rows.
 
-A text counts each of its terms with each of its entities that stand in ``SUPPORT`` texts or more: rows
-grow with terms times entities of a text.
+A text counts its terms with each of its entities that stand in ``SUPPORT`` texts or more, but for terms
+too frequent to disclose the entity whatever the counts: rows grow with rare terms times entities of a
+text.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ SUPPORT = 3
 REMOVE = 0.8
 GENERALISE = 0.5
 TABLE_BITS = 24
+#: Frequent terms, the most frequent first, that tasks know the frequency of before pairs are counted.
+MOST_FREQUENT = 1 << 20
 
 BASE = ("email", "ip", "card", "phone")
 TERMS = ("removed", "generalised")
@@ -160,30 +163,69 @@ def occurrences(text: str, entity: int, near: int = NEAR) -> tuple[np.ndarray, .
     return codes, start, end, is_first, around.view(np.int64)
 
 
-def _occurrences(held: DataFrame, near: int) -> DataFrame:
-    """The occurrences of ``held`` (doc_id, row, text, entity)."""
+def _frequent(held: DataFrame, docs: DataFrame, total: int, near: int) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, n_t) of terms of ``held`` that stand in so many rows that some entity cannot be disclosed by them.
+
+    Of those at most ``MOST_FREQUENT``: the more are known, the fewer pairs are counted in vain.
+    """
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            new: set[int] = set()
+            for text, entity in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                new.update(np.unique(occurrences(text, entity, near)[0]).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(new - seen), pa.int64())], ["term"])
+            seen = seen | new if len(seen) < MOST_FREQUENT else set()
+
+    terms = written(held.dropDuplicates(["row"]).select("text", "entity").mapInArrow(run, "term long").distinct(), "terms")
+    found = (_frequencies(docs, terms).filter(F.col("n_t").cast("double") * F.col("n_t") > total)
+             .orderBy(F.desc("n_t"), "term").limit(MOST_FREQUENT).toPandas().sort_values("term"))
+    return found["term"].to_numpy(np.int64), found["n_t"].to_numpy(np.int64)
+
+
+def _occurrences(held: DataFrame, near: int, frequent: tuple[np.ndarray, np.ndarray], total: int, least: float) -> DataFrame:
+    """The occurrences of ``held`` (doc_id, row, text, entity, n_e) whose term may disclose the entity.
+
+    A term in n_t of N rows discloses an entity in n_e of them by log(N / n_t) / log(N / n_e) at most,
+    which is when it stands in all of its rows; below ``least`` the pair need not be counted.
+    """
+    shared = held.sparkSession.sparkContext.broadcast(frequent)
     names = ["doc_id", "row", "entity", "term", "start", "end", "first", "around"]
 
     def run(batches):
         for batch in batches:
-            for i, (row, text, entity) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
-                term, start, end, first, around = occurrences(text, entity, near)
+            terms, counts = shared.value
+            for i, (row, text, entity, n_e) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True)):
+                found = occurrences(text, entity, near)
+                at = np.minimum(np.searchsorted(terms, found[0]), max(len(terms) - 1, 0))
+                n_t = np.where(terms[at] == found[0], counts[at], 1) if len(terms) else np.ones(len(found[0]))
+                may = np.log(total / n_t) >= least * np.log(total / n_e) - 1e-9
+                term, start, end, first, around = (x[may] for x in found)
                 n = len(term)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(np.full(n, i))), pa.array(np.full(n, row, np.int64)), pa.array(np.full(n, entity, np.int64)),
                      pa.array(term), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(first), pa.array(around)], names)
 
-    return held.select("doc_id", "row", "text", "entity").mapInArrow(
+    return held.select("doc_id", "row", "text", "entity", "n_e").mapInArrow(
         run, "doc_id long, row long, entity long, term long, start int, end int, first boolean, around long")
 
 
 def _frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, n_t: in how many rows each of ``terms`` (term) stands, over all rows."""
-    size = 1 << TABLE_BITS
+    size, part = 1 << TABLE_BITS, 1 << (TABLE_BITS - 4)
+
+    def segment(slots: pa.Table) -> pa.Table:
+        """Bits of a sixteenth of the table."""
+        slot = slots.column("slot").to_numpy()
+        bits = np.zeros(part, bool)
+        bits[slot % part] = True
+        return pa.table({"segment": pa.array([int(slot[0]) // part], pa.int64()),
+                         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
     slots = terms.select((F.col("term").bitwiseAND(size - 1)).alias("slot")).distinct()  # at most 2^TABLE_BITS
     table = np.zeros(size // 8, dtype=np.uint8)
-    taken = np.array([r["slot"] for r in slots.toLocalIterator()], dtype=np.int64)
-    np.bitwise_or.at(table, taken >> 3, (1 << (taken & 7)).astype(np.uint8))
+    for row in slots.groupBy(F.floor(F.col("slot") / part).alias("of")).applyInArrow(segment, "segment long, bits binary").collect():
+        table[row["segment"] * part // 8: (row["segment"] + 1) * part // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
@@ -216,10 +258,10 @@ def _frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return found.groupBy("term").agg(F.sum("n").alias("n_t")).join(terms.select("term").distinct(), "term", "left_semi")
 
 
-def disclosures(scan: DataFrame, docs: DataFrame, held: DataFrame, entities: DataFrame, support: int = SUPPORT,
-                generalise: float = GENERALISE, near: int = NEAR) -> DataFrame:
-    """entity, term, disclosure of the pairs at or above the lower threshold."""
-    pairs = _occurrences(held, near).filter("first")  # a pair counts once per document
+def disclosures(occurred: DataFrame, docs: DataFrame, entities: DataFrame, total: int, support: int = SUPPORT,
+                generalise: float = GENERALISE) -> DataFrame:
+    """entity, term, disclosure of the pairs of ``occurred`` at or above the lower threshold."""
+    pairs = occurred.filter("first")  # a pair counts once per document
     # Rows of a pair first by surroundings, so that the larger counts are sums of partial ones.
     by_around = pairs.groupBy("entity", "term", "around").agg(F.count("*").alias("n"))
     both = (by_around.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("surroundings"))
@@ -227,7 +269,6 @@ def disclosures(scan: DataFrame, docs: DataFrame, held: DataFrame, entities: Dat
     both = written(both, "pairs")
     if both.isEmpty():
         return both.select("entity", "term", F.lit(None).cast("double").alias("disclosure"))
-    total = scan.count()
     rated = both.join(entities, "entity").join(_frequencies(docs, both.select("term")), "term")
     n_et = F.col("n_et")
     mutual = F.log(F.lit(float(total)) * n_et / (F.col("n_e") * F.col("n_t")))
@@ -254,9 +295,10 @@ def find(docs: DataFrame, near: int = NEAR, support: int = SUPPORT, remove: floa
     # A pair has at most as many surroundings as its entity has different texts: no others can be supported.
     entities = written(each.groupBy("entity").agg(F.count("*").alias("n_e"), F.count_distinct("row").alias("texts"))
                        .filter(F.col("texts") >= support).select("entity", "n_e"), "entities")
-    held = each.join(entities, "entity", "left_semi")
-    telling = written(disclosures(scan, rows, held, entities, support, generalise, near), "telling")
-    flagged = _occurrences(held.join(telling.select("entity").distinct(), "entity", "left_semi"), near).join(
+    held, total = each.join(entities, "entity"), scan.count()
+    frequent = _frequent(held, rows, total, near)
+    telling = written(disclosures(_occurrences(held, near, frequent, total, generalise), rows, entities, total, support, generalise), "telling")
+    flagged = _occurrences(held.join(telling.select("entity").distinct(), "entity", "left_semi"), near, frequent, total, generalise).join(
         telling, ["entity", "term"])
     kind = F.when(F.col("disclosure") >= remove, 0).otherwise(1)
     spans = flagged.groupBy("doc_id", "row", "start", "end").agg(F.min(kind).alias("k")).groupBy("doc_id", "row").agg(
