@@ -420,6 +420,13 @@ def test_vocabulary_floor_is_exact(spark, size):
     assert got == want
 
 
+def test_a_split_leaves_the_rows_where_they_are(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 3).cast("string").alias("label")).repartition(8)
+    parts = ranking.stratified_split(df, "id", "label")
+    assert parts.groupBy(F.spark_partition_id()).count().count() == 8
+    assert {r.label: r["count"] for r in parts.filter("part = 'test'").groupBy("label").count().collect()} == {"0": 133, "1": 133, "2": 133}
+
+
 @pytest.fixture(scope="module")
 def sentiment(spark):
     rnd = random.Random(11)
