@@ -117,3 +117,22 @@ def test_language_is_the_last_step_of_preprocessing(spark):
     df = spark.createDataFrame(rows, "id string, source string, text string")
     model = language.LanguageModel(profiles=profiles(spark), languages=sorted(LINES))
     assert {r.id: r.language for r in corpus.preprocess(df, language=model).collect()} == {"1": "fr", "3": "de"}
+
+
+def test_blocks_hold_each_row_and_fit_a_cache(spark, monkeypatch):
+    monkeypatch.setattr(svm, "BLOCK_ENTRIES", 50)
+    rng = np.random.default_rng(8)
+    x = np.where(rng.random((200, 9)) < 0.3, rng.normal(size=(200, 9)), 0.0)
+    x[[0, 7, 199]] = 0
+    rows = [(float(i), Vectors.sparse(9, [(j, v) for j, v in enumerate(r) if v]) if i % 3 else Vectors.dense(r)) for i, r in enumerate(x)]
+    kept = [b for part in svm.blocks(spark.createDataFrame(rows, ["label_id", "features"]).coalesce(1)).collect()
+            for b in [svm.Block(*(np.frombuffer(v, k) for v, k in zip(part, (np.int32, np.int32, np.float64, np.int32), strict=True)))]]
+    assert len(kept) > 20 and all(len(b.indices) <= 50 for b in kept)
+    got = np.zeros((200, 10))
+    for b in kept:
+        got[np.repeat(b.labels, b.sizes), b.indices] = b.weights
+    assert (got == np.hstack([x, np.ones((200, 1))])).all()
+    w = rng.normal(size=(10, 3))
+    assert np.vstack([b.times(w) for b in kept]) == pytest.approx(got @ w)
+    c = rng.normal(size=(200, 3))
+    assert sum(b.transposed(c[b.labels], 10) for b in kept) == pytest.approx(got.T @ c)

@@ -8,7 +8,8 @@ margin lacks, and the intercept is penalised like any weight:
 All classes are solved together by Newton steps; each step solves its linear system by conjugate
 gradients. Losses, gradients and products with the Hessian are sums over rows: a task adds up its
 rows in numpy, and the sums of tasks are added up as a tree, so the driver sees a few vectors of
-classes x features per pass. Rows are packed into blocks once and stay on the executors.
+classes x features per pass. Rows are packed once into blocks that fit a processor's cache and stay
+on the executors.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.linalg import DenseMatrix, Vectors
@@ -29,6 +31,7 @@ from voxloom.session import ship_package
 TOLERANCE = 1e-5    # size of the gradient, relative to the first one, that ends a fit
 MAX_STEPS = 100
 MAX_PRODUCTS = 60    # Hessian products of one step
+BLOCK_ENTRIES = 1 << 16    # entries of a block, unless a single row has more
 TREE = 32    # sums of up to so many tasks go to the driver directly
 BLOCK_SCHEMA = "sizes binary, indices binary, weights binary, labels binary"
 
@@ -45,12 +48,11 @@ class Block:
     def times(self, w: np.ndarray) -> np.ndarray:
         """Rows x classes of products with ``w`` (features x classes)."""
         first = np.cumsum(self.sizes) - self.sizes
-        return np.add.reduceat(self.weights[:, None] * w[self.indices], first, axis=0)
+        return np.stack([np.add.reduceat(self.weights * x[self.indices], first) for x in np.ascontiguousarray(w.T)], axis=1)
 
     def transposed(self, c: np.ndarray, features: int) -> np.ndarray:
         """Features x classes: the rows, weighted by ``c`` (rows x classes), added up."""
-        row = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        return np.stack([np.bincount(self.indices, self.weights * c[row, k], features) for k in range(c.shape[1])], axis=1)
+        return np.stack([np.bincount(self.indices, self.weights * np.repeat(x, self.sizes), features) for x in np.ascontiguousarray(c.T)], axis=1)
 
     def signs(self, classes: int) -> np.ndarray:
         return np.where(self.labels[:, None] == np.arange(classes), 1.0, -1.0)
@@ -63,18 +65,29 @@ def blocks(featured: DataFrame, features: str = "features", label: str = "label_
             vectors, labels = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int32)
             if not len(labels):
                 continue
-            kind = np.asarray(vectors.field("type"))
-            values = vectors.field("values").to_pylist()
-            indices = vectors.field("indices").to_pylist()
-            sizes = vectors.field("size").to_pylist()
-            width = [n if k == 0 else len(v) for k, n, v in zip(kind, sizes, values, strict=True)]
-            index = [np.append(np.arange(w) if k else np.array(i, np.int32), w)
-                     for k, i, w in zip(kind, indices, width, strict=True)]
-            weight = [np.append(v, 1.0) for v in values]
-            columns = [np.array([len(i) for i in index], np.int32), np.concatenate(index).astype(np.int32),
-                       np.concatenate(weight), labels]
-            yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns],
-                                             [f.split()[0] for f in BLOCK_SCHEMA.split(", ")])
+            values = vectors.field("values")
+            width = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(width)
+            row = np.repeat(np.arange(len(width)), width)
+            # A dense vector has an entry for each feature, a sparse one tells which.
+            place = np.arange(len(row))
+            index = place - (ends - width)[row]
+            sparse = np.asarray(vectors.field("type")) == 0
+            index[sparse[row]] = vectors.field("indices").flatten().to_numpy(zero_copy_only=False)
+            size = np.where(sparse, vectors.field("size").fill_null(0).to_numpy(zero_copy_only=False), width)
+            # Each row with its constant behind.
+            sizes, last = (width + 1).astype(np.int32), ends + np.arange(len(width))
+            indices, weights = np.empty(len(row) + len(width), np.int32), np.ones(len(row) + len(width))
+            indices[place + row], indices[last] = index, size
+            weights[place + row] = values.flatten().to_numpy(zero_copy_only=False)
+            at, ends = 0, last + 1
+            while at < len(sizes):
+                begin = int(ends[at - 1]) if at else 0
+                after = max(int(np.searchsorted(ends, begin + BLOCK_ENTRIES, "right")), at + 1)
+                columns = [sizes[at:after], indices[begin: ends[after - 1]], weights[begin: ends[after - 1]], labels[at:after]]
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns],
+                                                 [f.split()[0] for f in BLOCK_SCHEMA.split(", ")])
+                at = after
 
     return featured.select(features, F.col(label).cast("int")).mapInArrow(run, BLOCK_SCHEMA)
 
