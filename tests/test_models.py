@@ -136,3 +136,19 @@ def test_blocks_hold_each_row_and_fit_a_cache(spark, monkeypatch):
     assert np.vstack([b.times(w) for b in kept]) == pytest.approx(got @ w)
     c = rng.normal(size=(200, 3))
     assert sum(b.transposed(c[b.labels], 10) for b in kept) == pytest.approx(got.T @ c)
+
+
+def test_profiles_read_each_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    rows = [(k, t) for k, t in LINES.items()] * 5
+    df = spark.createDataFrame(rows, "language string, cleaned_text string").withColumn("cleaned_text", counted("cleaned_text"))
+    learnt = language.learn_profiles(df)
+    assert read.value == len(rows)
+    assert sorted(map(tuple, learnt.collect())) == sorted(map(tuple, language.learn_profiles(
+        spark.createDataFrame(rows, "language string, cleaned_text string")).collect()))
