@@ -420,6 +420,27 @@ def test_vocabulary_floor_is_exact(spark, size):
     assert got == want
 
 
+@pytest.mark.parametrize("n_max", [1, 2, 3])
+def test_frequencies_are_those_of_the_documents(spark, monkeypatch, n_max):
+    monkeypatch.setattr(features, "SLICE_TOKENS", 40)
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choices(["aa", "Bb", "été", "日本", "x", "_9", "c1"], k=rnd.randrange(30))) for _ in range(90)]
+    docs = spark.createDataFrame(list(enumerate([*texts, None, "", "!", "aa " * 100])), "id int, text string")
+    want = features.document_terms(docs, "id", "text", n_max).groupBy("term").agg(F.count("*"), F.sum("tf"))
+    got = features.frequencies(docs, "text", n_max).collect()
+    assert len(got) > 5 and sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
+
+
+def test_tfidf_of_repeated_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(features, "SLICE_TOKENS", 12)
+    rows = [(i % 7 or None, " ".join(["aa", "bb", "cc", "dd"][: 1 + i % 4]) * (1 + i % 2)) for i in range(40)] + [(9, None), (9, "aa"), (10, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    few, joined = ([tuple(r) for r in features.tfidf(df, "id", "text", max_features=n).collect()] for n in (1000, features.BROADCAST_FEATURES + 1))
+    few, joined = (sorted(x, key=lambda r: (r[0] or 0, r[1], r[2])) for x in (few, joined))
+    assert [r[:2] for r in few] == [r[:2] for r in joined] and len(few) > 40
+    assert [r[2] for r in few] == pytest.approx([r[2] for r in joined], rel=1e-12)
+
+
 def test_a_split_leaves_the_rows_where_they_are(spark):
     df = spark.range(2000).select("id", (F.col("id") % 3).cast("string").alias("label")).repartition(8)
     parts = ranking.stratified_split(df, "id", "label")
