@@ -152,3 +152,50 @@ def test_profiles_read_each_text_once(spark):
     assert read.value == len(rows)
     assert sorted(map(tuple, learnt.collect())) == sorted(map(tuple, language.learn_profiles(
         spark.createDataFrame(rows, "language string, cleaned_text string")).collect()))
+
+
+def test_passes_have_as_many_tasks_as_entries_are_worth(spark, monkeypatch):
+    """A small set in many partitions goes through each pass of a fit in one task, rows unchanged."""
+    rng = np.random.default_rng(5)
+    rows = [(float(i % 3), Vectors.dense(r)) for i, r in enumerate(rng.normal(size=(90, 4)))]
+    packed = svm.blocks(spark.createDataFrame(rows, ["label_id", "features"]).repartition(20))
+    assert svm._extent(packed) == (90 * 5, 2)
+    assert svm.dealt(packed, 90 * 5).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(svm, "TASK_ENTRIES", 100)
+    few = svm.dealt(packed, 90 * 5)
+    assert few.rdd.getNumPartitions() == 5
+    assert svm.dealt(packed, 10**6) is packed
+    own = lambda b: b.transposed(b.signs(np.arange(3)), 5).ravel()
+    assert svm.summed(few, own) == pytest.approx(svm.summed(packed, own))
+    widths, summed = [], svm.summed
+    monkeypatch.setattr(svm, "TASK_ENTRIES", 1 << 22)
+    monkeypatch.setattr(svm, "summed", lambda rows, *a, **k: widths.append(rows.getNumPartitions()) or summed(rows, *a, **k))
+    svm.fit(spark.createDataFrame(rows, ["label_id", "features"]).repartition(20))
+    assert set(widths) == {1}
+
+
+def test_products_read_only_rows_with_a_loss():
+    rng = np.random.default_rng(6)
+    x = np.where(rng.random((60, 7)) < 0.5, rng.normal(size=(60, 7)), 0.0)
+    x[:, -1] = 1
+    row, at = np.nonzero(x)
+    block = svm.Block(np.bincount(row).astype(np.int32), at, x[row, at], rng.integers(0, 3, 60).astype(np.int32))
+    w, these = rng.normal(size=(7, 2)), np.array([0, 2])
+    w[-1] = -2
+    lack = np.where(block.labels[:, None] == these, 1.0, -1.0) * (x @ w) < 1
+    left = block.lacking(w, these)
+    assert 0 < len(left.sizes) < 60 and (left.active == lack[lack.any(1)]).all()
+    assert (left.labels == block.labels[lack.any(1)]).all() and len(left.indices) == (x[lack.any(1)] != 0).sum()
+    d = rng.normal(size=(7, 2))
+    assert left.transposed(left.active * left.times(d), 7) == pytest.approx(x.T @ (lack * (x @ d)))
+    nothing = block.lacking(np.where(np.arange(7)[:, None] == 6, -9.0, 0.0), np.array([7]))
+    assert len(nothing.sizes) == 0
+
+
+def test_a_fit_goes_on_when_no_row_has_a_loss_left(spark):
+    """Rows far on their sides: the Hessian is then the penalty alone."""
+    rows = [(float(i % 2), Vectors.dense([(2 * (i % 2) - 1) * 1e3])) for i in range(20)]
+    got = svm.solve(svm.blocks(spark.createDataFrame(rows, ["label_id", "features"])).cache(), 1, 2, tolerance=1e-7)
+    x = np.array([[v[0], 1.0] for _, v in rows])
+    for k in range(2):
+        assert got[:, k] == pytest.approx(plain_newton(x, np.where(np.arange(20) % 2 == k, 1.0, -1.0), 1.0), abs=1e-6)

@@ -42,14 +42,16 @@ def fit_classifier(train: DataFrame, kind: str = "logreg", id_col: str = "id",
     The rows are read for their count, the vocabulary and the vectors, so they are cut from
     their lineage once: cleaning, splits and text variants do not run again. The solver
     reads the vectors at every step until its tolerance is met, so those stay on the executors
-    and spill to their disks, in the partitions of the rows; gradients are added up as a tree.
+    and spill to their disks, in the partitions of the rows; gradients are added up as a tree. The
+    SVM's solver keeps blocks of its own, for which the vectors are read once.
     """
     require_columns(train, [id_col, text, "label_id"])
     rows = checkpointed(
         train.select(id_col, text, F.col("label_id").cast("double").alias("label_id")))
     stages = tfidf_stages(rows, id_col, text, min_df, max_features)
-    featured = featurize(stages, rows).select("features", "label_id").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    featured = featurize(stages, rows).select("features", "label_id")
+    if kind != "svm":
+        featured = featured.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = _fit(kind, featured, max_iter)
     finally:
