@@ -36,7 +36,7 @@ MAX_STEPS = 100
 MAX_PRODUCTS = 60    # Hessian products of one step
 FORCING = 0.1    # share of the gradient that a step may leave over
 BLOCK_ENTRIES = 1 << 16    # entries of a block, unless a single row has more
-TASK_ENTRIES = 1 << 22    # entries of a task in a pass, unless its blocks fell unevenly
+TASK_ENTRIES = 1 << 23    # entries of a task in a pass, unless its blocks fell unevenly
 LEAST_ENTRIES = 1 << 18    # entries that are worth a task of their own, where cores are free
 TREE = 32    # sums of up to so many tasks go to the driver directly
 BLOCK_SCHEMA = "sizes binary, indices binary, weights binary, labels binary"
@@ -124,9 +124,14 @@ def stored(rows: DataFrame) -> RDD:
 
 
 def dealt(rows: DataFrame, entries: int) -> DataFrame:
-    """The blocks in as many partitions as ``entries`` are worth a task each, never in more than before."""
+    """The blocks in as many partitions as ``entries`` are worth a task each, never in more than before.
+
+    Beyond the number of cores they are whole rounds of tasks. Workers read one block at a time, so a
+    task's entries bound its time, not its memory; few tasks are summed without a shuffle in each pass.
+    """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     tasks = max(-(-entries // TASK_ENTRIES), min(cores, -(-entries // LEAST_ENTRIES)), 1)
+    tasks = -(-tasks // cores) * cores if tasks > cores else tasks
     return rows.repartition(tasks) if tasks < rows.rdd.getNumPartitions() else rows
 
 
